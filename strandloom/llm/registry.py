@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, secret_scan, sharding
+from . import bpe, digest, jaccard_join, language, mixing, neighbours, secret_scan, sharding
 
 QUERIES = {
     "op1_bpe": bpe.op1,
     "op3_sharding": sharding.op3,
     "op4_secret_scan": secret_scan.op4,
     "op5_mixing": mixing.op5,
+    "op6_language": language.op6,
+    "op7_jaccard_join": jaccard_join.op7,
+    "op9_neighbours": neighbours.op9,
+    "op10_fingerprints": digest.op10,
 }
 ORACLE_SQL = {"op5_mixing": mixing.OP5_SQL}
