@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, digest, jaccard_join, language, mixing, neighbours, secret_scan, sharding
+from . import bpe, digest, jaccard_join, language, mixing, neighbours, secret_scan, sharding, toxicity
 
 QUERIES = {
     "op1_bpe": bpe.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_mixing": mixing.op5,
     "op6_language": language.op6,
     "op7_jaccard_join": jaccard_join.op7,
+    "op8_toxicity": toxicity.op8,
     "op9_neighbours": neighbours.op9,
     "op10_fingerprints": digest.op10,
 }
