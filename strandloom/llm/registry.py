@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, digest, jaccard_join, language, mixing, neighbours, secret_scan, sharding, toxicity
+from . import bpe, digest, jaccard_join, language, mixing, neighbours, repeats, secret_scan, sharding, toxicity
 
 QUERIES = {
     "op1_bpe": bpe.op1,
+    "op2_repeats": repeats.op2,
     "op3_sharding": sharding.op3,
     "op4_secret_scan": secret_scan.op4,
     "op5_mixing": mixing.op5,

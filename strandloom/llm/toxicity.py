@@ -4,8 +4,8 @@ The kernel of two strings sums over all three-letter subsequences with small gap
 number of letters skipped, so an insult with inserted or missing characters stays close to itself. Strings are the
 units of a sentence: its words, and single letters written apart taken as one. Landmarks are units of the labelled
 sample; K^-1/2 of the landmarks' kernel maps a unit to a vector, in which a linear machine is trained. A labelled text
-is a bag of units: a toxic one counts by the unit that speaks most for its label, a clean one by its most toxic unit and
-others, and both are chosen anew by the machine of each round.
+is a bag of units: a toxic one counts by the units that speak for its label and by its most toxic one, a clean one by its
+most toxic unit and others, and the most toxic ones are chosen anew by the machine of each round.
 
 The machine's value is linear in kernel values, and these are linear in the unit's subsequence weights; so it is folded
 into one table with a weight for each three symbols, and a text costs a few array operations a byte, whatever the number
@@ -44,6 +44,12 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 LEAST_NORM, MOST_NORM = 4.0, 10.0
 #: A text's evidence: the values of its TOP units, the number of those above 0, and its length.
 TOP = 3
+#: Weight of either class's errors against the machine's width.
+COST = 3_000.0
+#: How strongly a unit of the sample must speak for the label to be positive by itself; weight of a clean text's most toxic unit.
+TELLING, HARD = 10.0, 20.0
+#: Other units of clean texts that the machine sees.
+CLEAN_UNITS = 15_000
 
 
 @dataclass
@@ -199,35 +205,42 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
     values, vectors = np.linalg.eigh(phi @ phi.T)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     table = phi.T @ root  # symbols**3 x landmarks: a unit's vector is the sum of its subsequences' rows
-    z = np.zeros((len(units), table.shape[1]))
-    for at in range(0, len(units), 2000):
-        part = [u.replace(b" ", b".") or b"." for u in units[at : at + 2000]]
-        b, o = _pack(part)
-        r, v, _ = unit_values(b, o, table)
-        z[at + r] = v
-    # The first choice: each toxic text's unit that speaks most for the label.
-    value = np.where(np.isfinite(speaks) & (rate > 8), speaks, -np.inf)
-    w, bias = np.zeros(table.shape[1]), 0.0
+    spelt = [u.replace(b" ", b".") or b"." for u in units]
+    known: dict[int, np.ndarray] = {}
+
+    def vectors_of(chosen: np.ndarray) -> np.ndarray:
+        new = [u for u in chosen if u not in known]
+        for at in range(0, len(new), 2000):
+            b, o = _pack([spelt[u] for u in new[at : at + 2000]])
+            r, v, _ = unit_values(b, o, table)
+            z = np.zeros((len(o) - 1, table.shape[1]))
+            z[r] = v
+            known.update(zip(new[at : at + 2000], z, strict=True))
+        return np.array([known[u] for u in chosen])
+
+    all_body, all_off = _pack(spelt)
+    # Units that speak for the label by themselves are positive throughout; each toxic text adds its most toxic one.
+    telling = np.flatnonzero((speaks > TELLING) & (rate > 8))
+    if not len(telling):
+        telling = np.argsort(-speaks, kind="stable")[:1]
     order = np.argsort(np.random.default_rng(0).random(len(units)))
-    clean_units = order[seen[0][order] > 0][:30_000]
-    hard = np.zeros(0, int)
-    for turn in range(rounds):
+    clean_units = order[seen[0][order] > 0][:CLEAN_UNITS]
+    best, hard = np.zeros(0, int), np.zeros(0, int)
+    for _ in range(rounds):
+        good = np.union1d(telling, best)
+        neg = np.setdiff1d(np.union1d(clean_units, hard), good)
+        weight = np.where(np.isin(neg, hard), HARD, 1.0)
+        often = np.sqrt(seen[1][good])
+        cost = COST * np.concatenate([often / often.sum(), weight / max(1.0, weight.sum())])
+        w, bias = _svm(np.vstack([vectors_of(good), vectors_of(neg)]), np.concatenate([np.ones(len(good)), -np.ones(len(neg))]), cost)
+        value = np.full(len(units), bias)
+        r, v, _ = unit_values(all_body, all_off, table @ w)
+        value[r] = v[:, 0] + bias
         by = np.lexsort((value[bag_unit], bag_row))
         last = by[np.append(np.diff(bag_row[by]) > 0, True)]
-        best, of = bag_unit[last], y[bag_row[last]]
-        good = best[(of == 1) & np.isfinite(value[best]) & (rate[best] > 3)]
-        if turn:
-            hard = np.concatenate([hard, best[of == 0]])
-        if not len(good):
-            return nothing
-        neg = np.concatenate([clean_units, np.unique(hard)])
-        neg = neg[~np.isin(neg, good)]
-        points = np.concatenate([good, neg])
-        target = np.concatenate([np.ones(len(good)), -np.ones(len(neg))])
-        heavy = np.concatenate([np.ones(len(clean_units)), np.full(len(np.unique(hard)), 20.0)])[~np.isin(np.concatenate([clean_units, np.unique(hard)]), good)]
-        cost = np.concatenate([np.full(len(good), 1000.0 / len(good)), 1000.0 * heavy / max(1.0, heavy.sum())])
-        w, bias = _svm(z[points], target, cost)
-        value = z @ w + bias
+        top, of = bag_unit[last], y[bag_row[last]]
+        best = top[(of == 1) & (rate[top] > 3)]
+        hard = np.union1d(hard, top[of == 0])
     curve = _logistic(_evidence(row, value[uid], len(texts), bias), y)
     return Model((table @ w).astype(np.float64), bias, curve)
 
