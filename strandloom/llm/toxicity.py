@@ -30,8 +30,8 @@ DECAY = 0.6
 #: Places of the second and third letter after the first.
 STEPS = tuple((a, b) for b in (2, 3, 4) for a in range(1, b))
 #: The bound of the labelled sample: so many toxic and so many clean texts, the first by a hash of the id.
-SAMPLE_TOXIC, SAMPLE_CLEAN = 1200, 2400
-LANDMARKS = 96
+SAMPLE_TOXIC, SAMPLE_CLEAN = 1600, 3200
+LANDMARKS = 200
 #: Symbols: 0 is no letter, 1 to 26 are a to z, 27 is the start of a unit, the rest stand for the last bytes of other letters.
 START, SYMBOLS = 27, 40
 CUBE = SYMBOLS**3
@@ -45,9 +45,11 @@ LEAST_NORM, MOST_NORM = 4.0, 10.0
 #: A text's evidence: the values of its TOP units, the number of those above 0, and its length.
 TOP = 3
 #: Weight of either class's errors against the machine's width.
-COST = 3_000.0
+COST = 6_000.0
 #: How strongly a unit of the sample must speak for the label to be positive by itself; weight of a clean text's most toxic unit.
 TELLING, HARD = 10.0, 20.0
+#: Weight of the changed spellings of such units, by all others, and the toxic texts that a unit must be in to be changed.
+VARIED, OFTEN = 0.15, 25
 #: Other units of clean texts that the machine sees.
 CLEAN_UNITS = 15_000
 
@@ -176,6 +178,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def _variants(unit: bytes) -> list[bytes]:
+    """The unit with a character put in, with marks between its letters, and with its letters apart."""
+    letters = [unit[i : i + 1] for i in range(len(unit))]
+    cuts = sorted({len(unit) // 3, len(unit) // 2, 2 * len(unit) // 3} - {0})
+    return [unit[:i] + c + unit[i:] for i in cuts for c in (b"x", b".")] + [b".".join(letters), b"\xc2\xb7".join(letters)]
+
+
 def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
     """The machine from a sample of labelled texts. With one class alone or no texts, every score is 0."""
     nothing = Model(np.zeros(CUBE), -1.0, np.append(np.zeros(TOP + 2), -5.0))
@@ -226,13 +235,19 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
     order = np.argsort(np.random.default_rng(0).random(len(units)))
     clean_units = order[seen[0][order] > 0][:CLEAN_UNITS]
     best, hard = np.zeros(0, int), np.zeros(0, int)
+    changed = [(v, seen[1][u]) for u in telling if len(units[u]) >= 4 and seen[0][u] == 0 and seen[1][u] >= OFTEN for v in _variants(spelt[u])]
+    b, o = _pack([v for v, _ in changed])
+    r, v, _ = unit_values(b, o, table)
+    apart = np.zeros((len(changed), table.shape[1]))
+    apart[r] = v
+    apart_cost = np.sqrt(np.array([n for _, n in changed], float))
     for _ in range(rounds):
         good = np.union1d(telling, best)
         neg = np.setdiff1d(np.union1d(clean_units, hard), good)
         weight = np.where(np.isin(neg, hard), HARD, 1.0)
         often = np.sqrt(seen[1][good])
-        cost = COST * np.concatenate([often / often.sum(), weight / max(1.0, weight.sum())])
-        w, bias = _svm(np.vstack([vectors_of(good), vectors_of(neg)]), np.concatenate([np.ones(len(good)), -np.ones(len(neg))]), cost)
+        cost = COST * np.concatenate([often / often.sum(), VARIED * apart_cost / max(1e-9, apart_cost.sum()), weight / max(1.0, weight.sum())])
+        w, bias = _svm(np.vstack([vectors_of(good), apart, vectors_of(neg)]), np.concatenate([np.ones(len(good) + len(apart)), -np.ones(len(neg))]), cost)
         value = np.full(len(units), bias)
         r, v, _ = unit_values(all_body, all_off, table @ w)
         value[r] = v[:, 0] + bias

@@ -40,7 +40,7 @@ def test_gapped_insults():
     model = X.train(texts, toxic)
     clean = texts[1]
     same = lambda t: X.text_scores(pa.array([t]), model)[0]
-    for w in ("block-head block.head", "n i t w i t and n-i-t-w-i-t", "SCOUNDREL scoun-drel", "nitxwit scou*ndrel"):
+    for w in ("block.head blockhxead", "nit.wit nitwxit", "SCOUNDREL scounxdrel", "nitxwit scou.ndrel"):
         assert same(clean + " " + w) > 0.5 > same(clean)
 
 
