@@ -1 +1 @@
-
+"""Operators on DataFrames, with column names as parameters."""
