@@ -1,5 +1,410 @@
-"""Registered queries over the driver's tables and their oracle SQL."""
+"""Registered queries: each operator over whole tables, with the same result in SQL.
 
+The tables hold no genomes, so reads are derived from them: bases are a digest's digits spelt as bases, places and
+qualities are keys, days and quantities.
+"""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..config import MOUSE
+from ..functions import sequence as S
+from ..operators import consensus, genotypes, insertions, intervals, ordered
+
+HEX = "0123456789abcdef"
+SPELT, POOR = "ACGTACGTACGTACGT", "AAAAAATTTTTTACGT"
+ADAPTER = MOUSE.adapters[0]
+
+
+def _table(spark, sf_dir, name) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bases(key: Column | str, alphabet: str = SPELT) -> Column:
+    return F.translate(F.md5(F.col(key).cast("string") if isinstance(key, str) else key.cast("string")), HEX, alphabet)
+
+
+def _sql_bases(key: str, alphabet: str = SPELT) -> str:
+    return f"translate(md5(CAST({key} AS VARCHAR)), '{HEX}', '{alphabet}')"
+
+
+def _day(column: str) -> Column:
+    return F.datediff(column, F.lit("1995-01-01"))
+
+
+SQL_DAY = "datediff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE))"
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 FLAGSHIP = "genotype_matrix_filter"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query(f"SELECT l_orderkey, l_partkey, l_linenumber, seq, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM (SELECT *, {_sql_bases('l_partkey')} AS seq FROM lineitem)")
+def revcomp_reads(spark, sf_dir):
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", bases("l_partkey").alias("seq"), S.revcomp(bases("l_partkey")).alias("rc"))
+
+
+@query("""
+SELECT o_orderkey, array_to_string(list_transform(range(1, 9), lambda i: chr(CAST(least((o_orderkey * 7 + i * i * 11) % 100 + 33, 126) AS INTEGER))), '') AS phred,
+       array_to_string(list_transform(range(1, 9), lambda i: least((o_orderkey * 7 + i * i * 11) % 100, 93)), ',') AS decoded
+FROM orders""")
+def quality_strings(spark, sf_dir):
+    qual = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: ((F.col("o_orderkey") * 7 + i * i * 11) % 100).cast("int"))
+    text = _table(spark, sf_dir, "orders").select("o_orderkey", S.phred(qual).alias("phred"))
+    return text.select("o_orderkey", "phred", F.array_join(S.unphred(F.col("phred")).cast("array<string>"), ",").alias("decoded"))
+
+
+_CLIP = f"CASE o_orderkey % 4 WHEN 0 THEN substr('{ADAPTER}', CAST(o_orderkey % 20 + 1 AS INTEGER), 12) WHEN 1 THEN repeat(substr(b, 1, 2), 6) WHEN 2 THEN repeat(substr(b, 1, 1), 12) ELSE substr(b, 1, CAST(o_orderkey % 12 + 1 AS INTEGER)) END"
+_LISTED = "[" + ", ".join(f"'{a}'" for a in MOUSE.adapters) + "]"
+
+
+@query(f"""
+SELECT o_orderkey, s, length(s) >= 2 AND (s IN ('GGGGGGGGGGGG', 'CCCCCCCCCCCC', 'AAAAAAAAAAAA')
+       OR (s[1] <> s[2] AND repeat(s[1:2], 6) = s[1:12])
+       OR list_bool_or(list_transform({_LISTED}, lambda a: contains(a, s) OR contains(a, reverse(translate(s, 'ACGT', 'TGCA')))))) AS adapter
+FROM (SELECT o_orderkey, {_CLIP} AS s FROM (SELECT o_orderkey, {_sql_bases('o_orderkey')} AS b FROM orders))""")
+def adapter_flags(spark, sf_dir):
+    clips = _table(spark, sf_dir, "orders").select("o_orderkey", bases("o_orderkey").alias("b")).select("o_orderkey", F.expr(_CLIP.replace("INTEGER", "INT")).alias("s"))
+    return clips.select("o_orderkey", "s", S.is_adapter(F.col("s")).alias("adapter"))
+
+
+_READ = f"concat(substr(b, 1, CAST(o_orderkey % 20 + 1 AS INTEGER)), substr('{ADAPTER}', 1, CAST(o_custkey % 15 AS INTEGER)), substr(b, 25, CAST(o_orderkey % 3 AS INTEGER)), repeat('G', CAST(o_custkey % 8 AS INTEGER)))"
+
+
+@query(f"""
+SELECT o_orderkey, s, CAST(CASE WHEN length(s) < 2 THEN 0 WHEN e.j >= 4 THEN e.i - e.j ELSE t END AS INTEGER) AS kept FROM (
+  SELECT o_orderkey, s, t, list_reduce(list_prepend({{'j': 0, 'i': 0, 'c': ''}}, list_transform(range(1, t + 1), lambda p: {{'j': 0, 'i': 0, 'c': s[p]}})),
+    lambda a, x: CASE WHEN a.j >= 10 THEN a ELSE {{'j': CASE WHEN x.c = substr('{ADAPTER}', a.j + 1, 1) THEN a.j + 1 WHEN x.c = 'A' THEN 1 ELSE 0 END, 'i': a.i + 1, 'c': ''}} END) AS e
+  FROM (SELECT o_orderkey, s, CASE WHEN g >= 5 THEN greatest(1, length(s) - g) ELSE length(s) END AS t
+        FROM (SELECT o_orderkey, {_READ} AS s, length(regexp_extract({_READ}, 'G*$')) AS g FROM (SELECT o_orderkey, o_custkey, {_sql_bases('o_orderkey')} AS b FROM orders))))""")
+def adapter_trim(spark, sf_dir):
+    reads = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", bases("o_orderkey").alias("b")).select("o_orderkey", F.expr(_READ.replace("INTEGER", "INT")).alias("s"))
+    return reads.select("o_orderkey", "s", S.clean_length(F.col("s")).alias("kept"))
+
+
+_MIXED = "concat(substr(a, 1, CAST(l_orderkey % 25 AS INTEGER)), substr(z, CAST(l_orderkey % 25 + 1 AS INTEGER)))"
+
+
+@query(f"""
+SELECT l_orderkey, l_partkey, l_linenumber, score, score >= 0.6 AS agrees FROM (
+  SELECT *, list_sum(list_transform(range(1, 25), lambda p: CASE WHEN a[p] = b[p] THEN 1 ELSE -2 END)) / 24.0 AS score
+  FROM (SELECT *, {_MIXED} AS b FROM (SELECT *, {_sql_bases('l_partkey')} AS a, {_sql_bases('l_orderkey')} AS z FROM lineitem)))""")
+def match_score_gate(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").withColumn("a", bases("l_partkey")).withColumn("z", bases("l_orderkey")).withColumn("b", F.expr(_MIXED.replace("INTEGER", "INT")))
+    plain = lambda c: S.quality_seq(F.col(c), F.lit(None).cast("array<int>"))
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", S.match_score(F.array(plain("a"), plain("b"))).alias("score")).withColumn("agrees", F.col("score") >= MOUSE.match_score)
+
+
+_SIGN = lambda allele, at: f"CAST(list_sum(list_transform(range(1, 13), lambda i: CASE WHEN s[{at}] = {allele}[i] THEN 1 ELSE -1 END * ((q + {at}) % 40))) AS DOUBLE)"
+
+
+@query(f"""
+SELECT l_orderkey, l_partkey, l_linenumber, {_SIGN('r', 'i')} AS ref_ltr, {_SIGN('a', 'i')} AS alt_ltr, list_sum(list_transform(range(1, 13), lambda i: (q + i) % 40)) / 4.0 AS art_ltr,
+       {_SIGN('r', '(i + 4)')} AS ref_rtl, {_SIGN('a', '(i + 4)')} AS alt_rtl, list_sum(list_transform(range(1, 13), lambda i: (q + i + 4) % 40)) / 4.0 AS art_rtl
+FROM (SELECT *, CAST(l_quantity AS INTEGER) AS q, substr({_sql_bases('l_partkey')}, 1, 16) AS s, substr({_sql_bases('l_partkey')}, 1, 12) AS r, substr({_sql_bases('l_orderkey')}, 1, 12) AS a FROM lineitem)""")
+def qscore_ref_alt(spark, sf_dir):
+    seq, ref, alt = F.substring(bases("l_partkey"), 1, 16), F.substring(bases("l_partkey"), 1, 12), F.substring(bases("l_orderkey"), 1, 12)
+    qual = F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: (F.col("l_quantity").cast("int") + i) % 40)
+    rows = _table(spark, sf_dir, "lineitem").withColumn("x", S.allele_scores(seq, qual, ref, alt, S.LEFT_TO_RIGHT)).withColumn("y", S.allele_scores(seq, qual, ref, alt, S.RIGHT_TO_LEFT))
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", *(F.col(f"{v}.q_{k}").alias(f"{k}_{d}") for v, d in (("x", "ltr"), ("y", "rtl")) for k in ("ref", "alt", "art")))
+
+
+@query("""
+SELECT l_orderkey, l_partkey, l_linenumber,
+  CASE WHEN d < b THEN a + d WHEN d < b + c THEN NULL WHEN d < b + c + 9 THEN a + d - c WHEN d < b + c + 9 + 14 THEN a + d - c + 3 END AS query_place
+FROM (SELECT *, l_orderkey % 7 AS a, l_partkey % 20 + 1 AS b, l_suppkey % 5 AS c, CAST(l_quantity AS BIGINT) - 1 AS d FROM lineitem)""")
+def aligned_offset(spark, sf_dir):
+    op = lambda code, n: F.struct(F.lit(code).alias("op"), n.cast("int").alias("len"))
+    cigar = F.array(op(S.SOFT, F.col("l_orderkey") % 7), op(S.MATCH, F.col("l_partkey") % 20 + 1), op(S.DELETE, F.col("l_suppkey") % 5), op(S.EQUAL, F.lit(9)), op(S.INSERT, F.lit(3)), op(S.DIFFER, F.lit(14)))
+    pos = F.lit(1000) + F.col("l_quantity").cast("long") - 1
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", S.query_offset(cigar, F.lit(1000), pos).alias("query_place"))
+
+
+@query(f"""
+SELECT o_orderkey, s, CASE WHEN n > 0 THEN instr(s, repeat('A', n)) - 1 END AS run_start, n AS run_size,
+       (contains(s, 'A')::INT + contains(s, 'T')::INT + contains(s, 'G')::INT + contains(s, 'C')::INT) <= 2 AS low_complexity
+FROM (SELECT o_orderkey, s, coalesce(list_max(list_transform(regexp_extract_all(s, 'A+'), lambda x: length(x))), 0)::INT AS n FROM (SELECT o_orderkey, {_sql_bases('o_orderkey', POOR)} AS s FROM orders))""")
+def homopolymer_runs(spark, sf_dir):
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", bases("o_orderkey", POOR).alias("s"))
+    return rows.withColumn("r", S.longest_run(F.col("s"), "A")).select("o_orderkey", "s", F.col("r.start").alias("run_start"), F.col("r.size").alias("run_size"), S.is_low_complexity(F.col("s")).alias("low_complexity"))
+
+
+_RUN = "CASE l_partkey % 3 WHEN 0 THEN concat(substr(b, 1, 9), repeat('A', CAST(l_quantity AS INTEGER) % 20), substr(b, 10, 5)) WHEN 1 THEN concat(substr(b, 1, 9), repeat('T', CAST(l_quantity AS INTEGER) % 20), substr(b, 10, 5)) ELSE b END"
+
+
+@query(f"""
+SELECT l_orderkey, l_partkey, l_linenumber, kind, CASE WHEN kind IS NOT NULL THEN CASE WHEN fwd <> (kind = 'A') THEN 'R' ELSE 'L' END END AS side FROM (
+  SELECT *, CASE WHEN usable AND has_a AND ((NOT fwd AND r2) OR (fwd AND r1)) THEN 'A' WHEN usable AND NOT has_a AND has_t AND ((NOT fwd AND r1) OR (fwd AND r2)) THEN 'T' END AS kind
+  FROM (SELECT *, contains(s, repeat('A', 12)) AS has_a, contains(s, repeat('T', 12)) AS has_t, (f & 16) = 0 AS fwd, (f & 64) <> 0 AS r1, (f & 128) <> 0 AS r2, (f & 2) = 0 AND (f & 8) = 0 AS usable
+        FROM (SELECT *, {_RUN} AS s, CAST((l_orderkey * 37 + l_linenumber * 11) % 256 AS INTEGER) AS f FROM (SELECT *, {_sql_bases('l_orderkey')} AS b FROM lineitem))))""")
+def polya_detection(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").withColumn("b", bases("l_orderkey")).withColumn("s", F.expr(_RUN.replace("INTEGER", "INT")))
+    rows = rows.withColumn("f", ((F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 256).cast("int"))
+    rows = rows.withColumn("kind", S.polya_kind(F.col("s"), F.col("f")))
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", "kind", S.polya_side(F.col("f"), F.col("kind")).alias("side"))
+
+
+@query(f"""
+WITH p AS (SELECT l_suppkey, {SQL_DAY} AS pos FROM lineitem),
+g AS (SELECT *, CASE WHEN pos - lag(pos) OVER w < 6 THEN 0 ELSE 1 END AS far FROM p WINDOW w AS (PARTITION BY l_suppkey ORDER BY pos)),
+c AS (SELECT l_suppkey, pos, sum(far) OVER (PARTITION BY l_suppkey ORDER BY pos ROWS UNBOUNDED PRECEDING)::BIGINT AS cluster FROM g),
+n AS (SELECT l_suppkey, cluster, pos, count(*) AS n FROM c GROUP BY ALL)
+SELECT l_suppkey, cluster, arg_min(pos, {{'n': -n, 'p': pos}})::INT AS mode, max(n) AS n FROM n GROUP BY ALL""")
+def gap_cluster_mode(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").select("l_suppkey", _day("l_shipdate").alias("pos"))
+    return ordered.mode(ordered.gap_clusters(rows, ["l_suppkey"], "pos"), ["l_suppkey", "cluster"], "pos")
+
+
+_COPY = "CASE WHEN l_orderkey % 5 = 0 THEN z ELSE substr(a, 1, CAST(20 + l_orderkey % 12 AS INTEGER)) END"
+
+
+@query(f"""
+WITH r AS (SELECT l_partkey, {_COPY} AS s, CAST(l_quantity AS INTEGER) AS q FROM (SELECT *, {_sql_bases('l_partkey')} AS a, {_sql_bases('l_orderkey')} AS z FROM lineitem)),
+one AS (SELECT l_partkey, count(*) AS n, any_value(s) AS s, any_value(q) AS q FROM r GROUP BY 1),
+x AS (SELECT l_partkey, p, s[p] AS b, sum(q) AS w FROM (SELECT *, unnest(range(1, length(s) + 1)) AS p FROM r) GROUP BY ALL),
+d AS (SELECT l_partkey, p, arg_max(b, w) AS b, (2 * max(w) - sum(w))::INT AS d FROM x GROUP BY ALL),
+m AS (SELECT l_partkey, min(p) FILTER (d <= 0) AS cut FROM d GROUP BY 1),
+c AS (SELECT l_partkey, string_agg(b, '' ORDER BY p) AS seq, string_agg(d::VARCHAR, ',' ORDER BY p) AS qual FROM d JOIN m USING (l_partkey) WHERE cut IS NULL OR p < cut GROUP BY 1)
+SELECT l_partkey, CASE WHEN n = 1 THEN s ELSE coalesce(seq, '') END AS seq,
+       CASE WHEN n = 1 THEN array_to_string(list_transform(range(length(s)), lambda i: q), ',') ELSE coalesce(qual, '') END AS qual FROM one LEFT JOIN c USING (l_partkey)""")
+def consensus_prefix(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").withColumn("a", bases("l_partkey")).withColumn("z", bases("l_orderkey")).withColumn("s", F.expr(_COPY.replace("INTEGER", "INT")))
+    rows = rows.select("l_partkey", F.col("s").alias("seq"), F.array_repeat(F.col("l_quantity").cast("int"), F.length("s")).alias("qual"))
+    return consensus.weighted_consensus(rows, ["l_partkey"], "seq", "qual").withColumn("qual", F.array_join(F.col("qual").cast("array<string>"), ","))
+
+
+@query("""
+WITH l AS (SELECT l_suppkey, l_orderkey AS pos, l_partkey FROM lineitem WHERE l_returnflag = 'A'), r AS (SELECT l_suppkey, l_orderkey AS pos, l_partkey FROM lineitem WHERE l_returnflag = 'R'),
+j AS (SELECT l.l_suppkey, l.pos, l.l_partkey, min({'a': r.pos, 'b': r.l_partkey}) AS m, l.rowid AS id
+      FROM (SELECT *, row_number() OVER () AS rowid FROM l) l JOIN r ON l.l_suppkey = r.l_suppkey AND r.pos BETWEEN l.pos + 2 AND l.pos + 40 GROUP BY ALL)
+SELECT l_suppkey, pos, l_partkey, m.a AS right_pos, m.b AS right_l_partkey FROM j""")
+def forward_asof_pairs(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_orderkey").alias("pos"), "l_partkey", "l_returnflag")
+    return ordered.forward_pairs(rows.filter("l_returnflag = 'A'"), rows.filter("l_returnflag = 'R'"), ["l_suppkey"], "pos", payload=("l_partkey",))
+
+
+@query()
+def rescued_pairs(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_orderkey").alias("bp"), F.xxhash64("l_orderkey", "l_partkey", "l_linenumber").alias("id"), "l_returnflag", F.when(F.col("l_linenumber") % 2 == 0, "L").otherwise("R").alias("side"))
+    of = lambda flag: rows.filter(F.col("l_returnflag") == flag)
+    return ordered.pairs_with_rescue(of("A").drop("side"), of("R").drop("side"), of("N"), ["l_suppkey"])
+
+
+_READS = f"SELECT l_suppkey % 100 AS contig, {SQL_DAY} AS read_start, {SQL_DAY} + 1 + CAST(l_quantity AS INTEGER) % 9 AS read_end, l_orderkey, l_partkey, l_linenumber FROM lineitem"
+_TARGETS = "SELECT o_custkey % 100 AS contig, datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS target_start, datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) + 2 AS target_end, o_orderkey FROM orders"
+
+
+def _reads(spark, sf_dir):
+    return _table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 100).alias("contig"), _day("l_shipdate").alias("read_start"), (_day("l_shipdate") + 1 + F.col("l_quantity").cast("int") % 9).alias("read_end"), "l_orderkey", "l_partkey", "l_linenumber")
+
+
+def _targets(spark, sf_dir):
+    day = _day("o_orderdate")
+    return _table(spark, sf_dir, "orders").select((F.col("o_custkey") % 100).alias("contig"), day.alias("target_start"), (day + 2).alias("target_end"), "o_orderkey")
+
+
+@query(f"SELECT t.contig, o_orderkey, target_start, l_orderkey, l_partkey, l_linenumber, read_start, read_end FROM ({_TARGETS}) t JOIN ({_READS}) r ON t.contig = r.contig AND target_start < read_end AND read_start < target_end")
+def interval_overlap(spark, sf_dir):
+    pairs = intervals.overlap_join(_targets(spark, sf_dir), _reads(spark, sf_dir), ["contig"], ("target_start", "target_end"), ("read_start", "read_end"), width=16)
+    return pairs.select("contig", "o_orderkey", "target_start", "l_orderkey", "l_partkey", "l_linenumber", "read_start", "read_end")
+
+
+@query(f"SELECT o_orderkey, count(l_orderkey) AS n FROM ({_TARGETS}) t LEFT JOIN ({_READS}) r ON t.contig = r.contig AND target_start < read_end AND read_start < target_end GROUP BY 1")
+def region_counts(spark, sf_dir):
+    return intervals.count_overlaps(_targets(spark, sf_dir), _reads(spark, sf_dir), ["contig"], ("target_start", "target_end"), ("read_start", "read_end"), ["o_orderkey"], width=16)
+
+
+@query("""
+WITH h AS (SELECT l_suppkey, l_orderkey // 100 * 100 AS bin FROM lineitem GROUP BY ALL HAVING count(*) >= 4)
+SELECT l_suppkey, l_orderkey, l_partkey, l_linenumber FROM lineitem x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.l_suppkey = x.l_suppkey AND x.l_orderkey > bin - 50 AND x.l_orderkey < bin + 150)""")
+def hot_bin_anti_join(spark, sf_dir):
+    return intervals.without_hot_bins(_table(spark, sf_dir, "lineitem"), "l_suppkey", "l_orderkey").select("l_suppkey", "l_orderkey", "l_partkey", "l_linenumber")
+
+
+@query("""
+WITH b AS (SELECT s_suppkey AS t, s_suppkey % 7 * 1000 AS s, s_suppkey % 7 * 1000 + 5000 AS e, s_suppkey * 10 AS q, s_suppkey % 2 = 0 AS fwd FROM supplier
+           UNION ALL SELECT s_suppkey, s_suppkey % 7 * 1000 + 2500, s_suppkey % 7 * 1000 + 9000, s_suppkey, TRUE FROM supplier)
+SELECT l_suppkey, l_orderkey, l_linenumber, concat('q', t) AS lifted_contig, CASE WHEN fwd THEN q + l_orderkey - s ELSE 100000 - 1 - (q + l_orderkey - s) END AS lifted_pos, CASE WHEN fwd THEN '+' ELSE '-' END AS lifted_strand
+FROM lineitem JOIN b ON l_suppkey = t AND l_orderkey >= s AND l_orderkey < e""")
+def liftover_points(spark, sf_dir):
+    s, key = _table(spark, sf_dir, "supplier"), F.col("s_suppkey")
+
+    def block(lo, hi, q, strand):
+        return s.select(key.alias("t_contig"), lo.alias("t_start"), hi.alias("t_end"), F.concat(F.lit("q"), key).alias("q_contig"), q.alias("q_start"), F.lit(100_000).alias("q_size"), strand.alias("q_strand"))
+
+    at = key % 7 * 1000
+    blocks = block(at, at + 5000, key * 10, F.when(key % 2 == 0, "+").otherwise("-")).unionAll(block(at + 2500, at + 9000, key, F.lit("+")))
+    return intervals.lift_over(_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber"), blocks, "l_suppkey", "l_orderkey", width=2000)
+
+
+@query(f"""
+WITH g AS (SELECT p_partkey % 20 AS c, p_partkey // 20 * 32 AS g0, {_sql_bases('p_partkey')} AS s FROM part),
+t AS (SELECT *, row_number() OVER () AS id, l_suppkey % 20 AS c, l_orderkey % 3000 AS a FROM lineitem)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, coalesce(string_agg(substr(s, greatest(a, g0) - g0 + 1, least(a + 12, g0 + 32) - greatest(a, g0)), '' ORDER BY g0), '') AS bases
+FROM t LEFT JOIN g ON t.c = g.c AND a < g0 + 32 AND g0 < a + 12 GROUP BY id, l_orderkey, l_partkey, l_suppkey, l_linenumber""")
+def genome_kmers(spark, sf_dir):
+    genome = _table(spark, sf_dir, "part").select((F.col("p_partkey") % 20).alias("contig"), F.expr("p_partkey div 20 * 32").alias("chunk_start"), bases("p_partkey").alias("seq"))
+    places = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", (F.col("l_suppkey") % 20).alias("c"), (F.col("l_orderkey") % 3000).alias("a")).withColumn("e", F.col("a") + 12)
+    ids = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    # Rows that repeat in all ids are looked up once and repeated.
+    found = intervals.genome_slices(places.dropDuplicates(ids), genome, ids, "c", "a", "e", 32)
+    return places.select(*ids).join(found, ids)
+
+
+_SCORES = {"lr": "(l_orderkey * 7) % 200 - 60", "la": "(l_partkey * 3 + l_orderkey) % 200 - 110", "lx": "(l_linenumber * 5) % 40", "rr": "(l_orderkey * 11 + l_linenumber) % 220 - 60", "ra": "(l_suppkey * 13 + l_orderkey) % 180 - 110", "rx": "(l_orderkey + l_linenumber) % 40"}
+
+
+@query(f"""
+WITH s AS (SELECT l_partkey, {', '.join(f'CAST({e} AS DOUBLE)' + (' / 4' if k[1] == 'x' else '') + f' AS {k}' for k, e in _SCORES.items())} FROM lineitem),
+v AS (SELECT *, CASE WHEN greatest(lr, la) <= lx THEN 1 WHEN greatest(rr, ra) <= rx THEN 2 WHEN rr >= ra AND rr > 0 AND lr >= la AND lr > 0 THEN 3 WHEN rr >= ra AND rr > 0 AND la > 0 THEN 4 WHEN rr >= ra AND rr > 0 THEN 0
+      WHEN ra > 0 AND lr >= la AND lr > 0 THEN 5 WHEN ra > 0 AND la > 0 THEN 6 ELSE 0 END AS k FROM s),
+q AS (SELECT l_partkey, sum(CASE k WHEN 3 THEN rr - ra + lr - ra WHEN 4 THEN rr - ra WHEN 5 THEN lr - la ELSE 0 END) AS ref, sum(CASE k WHEN 4 THEN la - lr WHEN 5 THEN ra - rr ELSE 0 END) AS alt,
+      sum(CASE k WHEN 1 THEN lx - greatest(lr, la) WHEN 2 THEN rx - greatest(rr, ra) WHEN 6 THEN la - lr + ra - rr ELSE 0 END) AS art, -count(*) FILTER (k = 3) AS hom FROM v GROUP BY 1),
+c AS (SELECT *, CASE WHEN art >= greatest(ref, alt) THEN 'artefact' WHEN alt > art THEN CASE WHEN hom < 0 THEN CASE WHEN ref >= art THEN 'heterozygous' ELSE 'artefact' END WHEN alt >= ref THEN 'homozygous' ELSE 'heterozygous' END ELSE 'wild-type' END AS genotype FROM q)
+SELECT l_partkey, genotype, trunc(CASE genotype WHEN 'artefact' THEN art WHEN 'wild-type' THEN ref ELSE alt END)::BIGINT AS score_genotype, trunc(CASE genotype WHEN 'artefact' THEN greatest(ref, alt) WHEN 'wild-type' THEN alt ELSE ref END)::BIGINT AS score_alternative FROM c""")
+def genotype_call(spark, sf_dir):
+    e = {k: F.expr(v).cast("double") / (4 if k[1] == "x" else 1) for k, v in _SCORES.items()}
+    side = lambda s: F.struct(e[s + "r"].alias("q_ref"), e[s + "a"].alias("q_alt"), e[s + "x"].alias("q_art"))
+    rows = _table(spark, sf_dir, "lineitem").select("l_partkey", side("l").alias("left"), side("r").alias("right"))
+    return genotypes.call_genotypes(rows, ["l_partkey"])
+
+
+_CALLS = """SELECT l_suppkey % 10 AS sample, l_partkey AS insertion, CASE m.f WHEN 'R' THEN 'wild-type' WHEN 'A' THEN 'heterozygous' ELSE 'artefact' END AS genotype, CAST(floor(m.p) AS BIGINT) AS score_genotype
+FROM (SELECT l_suppkey % 10 AS l_suppkey, l_partkey, max({'o': l_orderkey, 'n': l_linenumber, 'p': l_extendedprice, 'f': l_returnflag}) AS m FROM lineitem GROUP BY l_suppkey % 10, l_partkey)"""
+_COLONIES = replace(MOUSE, min_wild_types=2, min_insertions=1, max_artefact=4, max_na=4, min_best_score=20_000)
+
+
+def _calls(spark, sf_dir):
+    last = F.max(F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")).alias("m")
+    rows = _table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 10).alias("sample"), F.col("l_partkey").alias("insertion")).agg(last)
+    named = F.when(F.col("m.l_returnflag") == "R", genotypes.WILD_TYPE).when(F.col("m.l_returnflag") == "A", genotypes.HETEROZYGOUS).otherwise(genotypes.ARTEFACT)
+    return rows.select("sample", "insertion", named.alias("genotype"), F.floor("m.l_extendedprice").cast("long").alias("score_genotype"))
+
+
+@query(f"""
+WITH c AS ({_CALLS}), k AS (
+  SELECT insertion FROM c GROUP BY 1 HAVING count(*) FILTER (genotype = 'wild-type') >= 2 AND count(*) FILTER (genotype = 'heterozygous') >= 1 AND count(*) FILTER (genotype = 'artefact') <= 4
+  AND (SELECT count(DISTINCT sample) FROM c) - count(*) <= 4 AND coalesce(max(score_genotype) FILTER (genotype = 'wild-type') >= 20000, TRUE) AND coalesce(max(score_genotype) FILTER (genotype = 'heterozygous') >= 20000, TRUE))
+SELECT * FROM c WHERE insertion IN (SELECT insertion FROM k)""")
+def genotype_matrix_filter(spark, sf_dir):
+    return genotypes.filter_matrix(_calls(spark, sf_dir), config=_COLONIES).select("sample", "insertion", "genotype", "score_genotype")
+
+
+@query(f"SELECT insertion, {', '.join(f'max(genotype) FILTER (sample = {i}) AS s{i}' for i in range(10))} FROM ({_CALLS}) GROUP BY 1")
+def genotype_matrix(spark, sf_dir):
+    calls = _calls(spark, sf_dir).withColumn("sample", F.concat(F.lit("s"), F.col("sample")))
+    return genotypes.to_matrix(calls, [f"s{i}" for i in range(10)])
+
+
+@query("""
+WITH c AS (SELECT l_orderkey AS qname, CASE l_returnflag WHEN 'A' THEN 'L' WHEN 'R' THEN 'R' ELSE 'P' END AS side, l_partkey * 1000 + l_suppkey * 10 + l_linenumber AS ordinal, l_linenumber % 2 = 0 AS want FROM lineitem),
+t AS (SELECT qname, max({'p': CASE side WHEN 'R' THEN 2 WHEN 'L' THEN 1 ELSE 0 END, 'o': CASE side WHEN 'P' THEN -ordinal ELSE ordinal END, 'w': want, 'bp': ordinal}) AS m,
+      bool_and(want) FILTER (side <> 'P') AS lo, bool_or(want) FILTER (side <> 'P') AS hi FROM c GROUP BY 1),
+w AS (SELECT qname, coalesce(lo, m.w) AS want, m.bp AS bp FROM t WHERE lo = hi OR lo IS NULL)
+SELECT bp, o_orderkey, o_custkey FROM w JOIN orders ON qname = o_orderkey AND want = (o_custkey % 2 = 0)""")
+def mate_lookup(spark, sf_dir):
+    claims = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("qname"), F.when(F.col("l_returnflag") == "A", "L").when(F.col("l_returnflag") == "R", "R").otherwise("P").alias("side"),
+        (F.col("l_partkey") * 1000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("ordinal"), (F.col("l_linenumber") % 2 == 0).alias("want_read1")).withColumn("bp", F.col("ordinal"))
+    reads = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("qname"), (F.col("o_custkey") % 2 == 0).alias("is_read1"), "o_orderkey", "o_custkey")
+    return insertions.find_mates(claims, reads, ["o_orderkey", "o_custkey"])
+
+
+@query("SELECT user_id, event_type AS side, arg_max(props, {'v': value, 'l': -event_id}) AS model, max(value) AS score FROM events GROUP BY 1, 2")
+def best_hit(spark, sf_dir):
+    hits = _table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("side"), F.col("props").alias("model"), F.col("value").alias("score"), "event_id")
+    return insertions.best_hit(hits, ["user_id", "side"], "model", "score", "event_id")
+
+
+@query("""
+WITH a AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'A'), b AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R'), j AS (SELECT a.l_orderkey AS x, b.l_orderkey AS y FROM a FULL JOIN b ON a.l_orderkey = b.l_orderkey)
+SELECT count(x) AS n_a, count(y) AS n_b, count(*) FILTER (x = y) AS n_both, count(*) FILTER (y IS NULL) AS only_a, count(*) FILTER (x IS NULL) AS only_b FROM j""")
+def set_overlap(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem")
+    return insertions.set_overlap(rows.filter("l_returnflag = 'A'"), rows.filter("l_returnflag = 'R'"), "l_orderkey")
+
+
+@query("SELECT * FROM (SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'A' EXCEPT SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R') UNION ALL (SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R' EXCEPT SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'A')")
+def symmetric_difference(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem")
+    return insertions.symmetric_difference(*(rows.filter(F.col("l_returnflag") == f).select("l_partkey", "l_suppkey") for f in "AR"))
+
+
+@query("SELECT l_partkey, substr(concat(lpad(CAST(l_suppkey AS VARCHAR), 7, '0'), '_', l_linenumber), 1, 7) AS patient, count(*) AS n_found FROM lineitem GROUP BY 1, 2")
+def patient_counts(spark, sf_dir):
+    file = F.concat(F.lpad(F.col("l_suppkey").cast("string"), 7, "0"), F.lit("_"), F.col("l_linenumber"))
+    return _table(spark, sf_dir, "lineitem").groupBy("l_partkey", F.substring(file, 1, 7).alias("patient")).agg(F.count("*").alias("n_found"))
+
+
+_KMERS = {"left_ref": "substr(a, 1, 12)", "left_alt": "concat(substr(a, 1, CAST(l_quantity AS INTEGER) % 13), substr(z, 1, 12 - CAST(l_quantity AS INTEGER) % 13))", "right_alt": "substr(z, 13, 12)",
+          "right_ref": "CASE l_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN concat('N', substr(a, 2, 11)) WHEN 2 THEN substr(z, 13, 12) WHEN 3 THEN substr(a, 1, 12) ELSE substr(a, 20, 12) END"}
+_LIKE = lambda r, a: f"list_sum(list_transform(range(1, 13), lambda i: CASE WHEN {r}[i] = {a}[i] THEN 1 ELSE -2 END)) > 0"
+
+
+@query(f"""
+WITH k AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in _KMERS.items())}, CASE l_partkey % 4 WHEN 0 THEN 'right_polya' WHEN 1 THEN 'left_polya' ELSE 'full' END AS kind FROM (SELECT *, {_sql_bases('l_partkey')} AS a, {_sql_bases('l_orderkey')} AS z FROM lineitem))
+SELECT l_orderkey, l_partkey, l_linenumber, kind, CASE
+  WHEN (kind <> 'right_polya' AND right_ref = '') OR (kind <> 'left_polya' AND left_ref = '') THEN 'missing'
+  WHEN (kind <> 'right_polya' AND contains(right_ref, 'N')) OR (kind <> 'left_polya' AND contains(left_ref, 'N')) THEN 'unknown_bases'
+  WHEN kind = 'right_polya' AND {_LIKE('left_ref', 'left_alt')} THEN 'left_similar' WHEN kind = 'left_polya' AND {_LIKE('right_ref', 'right_alt')} THEN 'right_similar'
+  WHEN kind = 'full' AND {_LIKE('left_ref', 'left_alt')} AND {_LIKE('right_ref', 'right_alt')} THEN 'both_similar'
+  WHEN kind = 'full' AND (left_ref = reverse(translate(right_ref, 'ACGT', 'TGCA')) OR left_ref = right_ref) THEN 'identical' END AS problem FROM k""")
+def kmer_similarity_filter(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").withColumn("a", bases("l_partkey")).withColumn("z", bases("l_orderkey"))
+    rows = rows.withColumns({c: F.expr(e.replace("INTEGER", "INT")) for c, e in _KMERS.items()}).withColumn("kind", F.when(F.col("l_partkey") % 4 == 0, insertions.RIGHT_POLYA).when(F.col("l_partkey") % 4 == 1, insertions.LEFT_POLYA).otherwise(insertions.FULL))
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", "kind", insertions.reference_problem(*(F.col(c) for c in ("kind", "left_ref", "left_alt", "right_ref", "right_alt"))).alias("problem"))
+
+
+@query("""
+WITH r AS (SELECT *, CASE WHEN event_type IS NOT DISTINCT FROM lag(event_type) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT user_id, event_id, event_type, sum(new) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS run, last_value(CASE WHEN event_type = 'error' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS section FROM r""")
+def record_runs(spark, sf_dir):
+    rows = ordered.run_numbers(_table(spark, sf_dir, "events"), ["user_id"], "event_id", F.col("event_type"))
+    return ordered.forward_fill(rows, ["user_id"], "event_id", F.when(F.col("event_type") == "error", F.col("value")), "section").select("user_id", "event_id", "event_type", "run", "section")
+
+
+@query("SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT l_suppkey FROM lineitem GROUP BY 1 HAVING count(*) > 600)")
+def file_cap(spark, sf_dir):
+    return insertions.cap_by_file(_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"), "l_suppkey", 600)
+
+
+@query(f"""
+WITH f AS (SELECT l_suppkey AS contig, CASE WHEN l_returnflag <> 'N' THEN l_orderkey END AS l, CASE WHEN l_returnflag <> 'R' THEN l_orderkey + l_linenumber END AS r FROM lineitem)
+SELECT o_orderkey, contig, "left", "right", CASE WHEN EXISTS (SELECT 1 FROM f WHERE f.contig = t.contig AND f.l = t."left" AND f.r = t."right") THEN 'exact' WHEN EXISTS (SELECT 1 FROM f WHERE f.contig = t.contig AND f.l = t."left" AND f.r IS NULL) THEN 'right_polya'
+       WHEN EXISTS (SELECT 1 FROM f WHERE f.contig = t.contig AND f.l IS NULL AND f.r = t."right") THEN 'left_polya' END AS tier
+FROM (SELECT o_orderkey, o_custkey % 100 AS contig, o_orderkey AS "left", o_orderkey + o_custkey % 7 AS "right" FROM orders) t""")
+def truth_membership(spark, sf_dir):
+    flag = F.col("l_returnflag")
+    found = _table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("contig"), F.when(flag != "N", F.col("l_orderkey")).alias("left"), F.when(flag != "R", F.col("l_orderkey") + F.col("l_linenumber")).alias("right"))
+    truth = _table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 100).alias("contig"), F.col("o_orderkey").alias("left"), (F.col("o_orderkey") + F.col("o_custkey") % 7).alias("right"))
+    return insertions.truth_tier(truth, found, ["contig"])
+
+
+@query(f"""
+WITH r AS (SELECT l_partkey, l_suppkey % 20 AS k, l_orderkey * 10 + l_linenumber AS o, {_COPY} AS s FROM (SELECT *, {_sql_bases('l_partkey')} AS a, {_sql_bases('l_orderkey')} AS z FROM lineitem)),
+n AS (SELECT l_partkey, k, count(*) AS n, min(length(s)) AS m, arg_max(s, {{'n': length(s), 'o': -o}}) AS seq FROM r GROUP BY ALL),
+p AS (SELECT r.l_partkey, r.k, p, s[p] AS b, count(*) AS w FROM (SELECT r.*, unnest(range(1, least(24, m) + 1)) AS p FROM r JOIN n ON r.l_partkey = n.l_partkey AND r.k = n.k) r GROUP BY ALL),
+q AS (SELECT l_partkey, k, p, CASE WHEN 2 * max(w) > sum(w) THEN 1 ELSE -2 END AS v FROM p GROUP BY ALL), z AS (SELECT l_partkey, k, sum(v) / count(*) AS score FROM q GROUP BY ALL)
+SELECT l_partkey, k, n AS n_merged, seq FROM n JOIN z USING (l_partkey, k) WHERE n = 1 OR score >= 0.6""")
+def insertion_merge(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").withColumn("a", bases("l_partkey")).withColumn("z", bases("l_orderkey")).withColumn("s", F.expr(_COPY.replace("INTEGER", "INT")))
+    rows = rows.select("l_partkey", (F.col("l_suppkey") % 20).alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("o"), S.quality_seq(F.col("s"), F.lit(None).cast("array<int>")).alias("clip"))
+    return insertions.merge_insertions(rows, ["l_partkey", "k"], ["clip"], "o").select("l_partkey", "k", "n_merged", F.col("clip.seq").alias("seq"))
+
+
+@query("""SELECT o_orderkey, concat('chr', o_custkey % 22, ':', o_orderkey, '-', o_orderkey + 8) AS name, concat('chr', o_custkey % 22) AS contig, o_orderkey AS "left", o_orderkey + 8 AS "right" FROM orders""")
+def insertion_names(spark, sf_dir):
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", S.insertion_name(S.with_chr((F.col("o_custkey") % 22).cast("string")), F.col("o_orderkey"), F.col("o_orderkey") + 8).alias("name"))
+    return rows.withColumn("p", S.parse_name(F.col("name"))).select("o_orderkey", "name", "p.contig", "p.left", "p.right")
