@@ -114,26 +114,37 @@ def match_score(seqs: Column, most: int = 24) -> Column:
     """
     shortest = F.array_min(F.transform(seqs, lambda q: F.length(q["seq"])))
     n = F.least(F.lit(most), shortest)
+    # Each sequence as the weights of its places, made once: array<array<struct<b, w>>>.
+    spelt = F.transform(
+        seqs,
+        lambda q: F.transform(
+            F.slice(F.split(q["seq"], ""), 1, most),
+            lambda c, i: F.struct(c.alias("b"), F.when(q["qual"].isNull(), F.lit(1)).otherwise(F.get(q["qual"], i)).alias("w")),
+        ),
+    )
 
-    def weight(p, base):
-        mine = lambda q: F.when(F.substring(q["seq"], p, F.lit(1)) == base, F.when(q["qual"].isNull(), F.lit(1)).otherwise(F.get(q["qual"], p - 1))).otherwise(F.lit(0))
-        return F.aggregate(seqs, F.lit(0), lambda acc, q: acc + mine(q))
+    def votes_for(base):
+        return lambda acc, x: acc + F.when(x["b"] == base, x["w"]).otherwise(0)
 
-    def place(p):
-        sums = F.array(*(weight(p, b) for b in BASES + "N"))
-        return F.transform(F.array(sums), lambda w: F.when(2 * F.array_max(w) > F.aggregate(w, F.lit(0), lambda a, x: a + x), 1).otherwise(-2))[0]
+    def total(all_spelt):
+        def place(p):
+            here = F.transform(all_spelt, lambda x: F.get(x, p))
+            sums = F.array(*(F.aggregate(here, F.lit(0), votes_for(b)) for b in BASES + "N"))
+            return F.transform(F.array(sums), lambda w: F.when(2 * F.array_max(w) > F.aggregate(w, F.lit(0), lambda a, x: a + x), 1).otherwise(-2))[0]
 
-    total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda acc, p: acc + place(p))
-    return F.when(n > 0, total / n)
+        return F.aggregate(F.sequence(F.lit(0), F.array_min(F.transform(all_spelt, F.size)) - 1), F.lit(0), lambda acc, p: acc + place(p))
+
+    return F.when(n > 0, F.transform(F.array(spelt), total)[0] / n)
 
 
 def pair_score(a: Column, b: Column, most: int = 24) -> Column:
     """match_score of two plain strings: both agree, or a place counts -2. A place with another letter than A, T, G, C, N has no weight."""
     n = F.least(F.lit(most), F.length(a), F.length(b))
     known = lambda c: c.isin(*(BASES + "N"))
-    letter = lambda s, p: F.substring(s, p, F.lit(1))
-    agrees = lambda p: (letter(a, p) == letter(b, p)) & known(letter(a, p)) | (known(letter(a, p)) != known(letter(b, p)))
-    return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda acc, p: acc + F.when(agrees(p), 1).otherwise(-2)) / n)
+    agrees = lambda x, y: (x == y) & known(x) | (known(x) != known(y))
+    letters = lambda s: F.split(F.substring(s, F.lit(1), n), "")
+    points = F.zip_with(letters(a), letters(b), lambda x, y: F.when(agrees(x, y), 1).otherwise(-2))
+    return F.when(n > 0, F.aggregate(points, F.lit(0), lambda acc, x: acc + x) / n)
 
 
 def is_low_complexity(seq: Column) -> Column:
@@ -165,17 +176,22 @@ def allele_scores(seq: Column, qual: Column, ref: Column, alt: Column, direction
     counts for an artefact either way.
     """
     n = F.least(F.length(seq), F.length(ref), F.length(alt))
-    at = lambda s, i: F.substring(s, i if direction == LEFT_TO_RIGHT else F.length(s) - n + i, F.lit(1))
-    q_at = lambda i: F.get(qual, (i if direction == LEFT_TO_RIGHT else F.length(seq) - n + i) - 1).cast("double")
     zero = F.struct(*(F.lit(0.0).alias(c) for c in ("q_ref", "q_alt", "q_art")))
 
-    def step(st, i):
-        base, q = at(seq, i), q_at(i)
-        side = lambda allele: F.when(base == at(allele, i), q).otherwise(-q)
-        grown = F.struct((st["q_ref"] + side(ref)).alias("q_ref"), (st["q_alt"] + side(alt)).alias("q_alt"), (st["q_art"] + q / 4).alias("q_art"))
-        return F.when(base == "N", st).otherwise(grown)
+    def end(s):
+        return F.split(F.substring(s, F.lit(1) if direction == LEFT_TO_RIGHT else F.length(s) - n + 1, n), "")
+
+    weight = F.slice(qual, F.lit(1) if direction == LEFT_TO_RIGHT else F.length(seq) - n + 1, n)
+    # The ends are arrays of the fold, so that they are made once and not at each place.
+    places = F.arrays_zip(end(seq).alias("s"), end(ref).alias("r"), end(alt).alias("a"), weight.alias("q"))
+
+    def step(st, x):
+        q = x["q"].cast("double")
+        side = lambda allele: F.when(x["s"] == allele, q).otherwise(-q)
+        grown = F.struct((st["q_ref"] + side(x["r"])).alias("q_ref"), (st["q_alt"] + side(x["a"])).alias("q_alt"), (st["q_art"] + q / 4).alias("q_art"))
+        return F.when(x["s"] == "N", st).otherwise(grown)
 
-    return F.when(n.isNull(), None).when(n == 0, zero).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), zero, step))
+    return F.when(n.isNull(), None).when(n == 0, zero).otherwise(F.aggregate(places, zero, step))
 
 
 def query_offset(cigar: Column, start: Column, pos: Column) -> Column:

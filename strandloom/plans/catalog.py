@@ -116,9 +116,10 @@ SELECT l_orderkey, l_partkey, l_linenumber, {_SIGN('r', 'i')} AS ref_ltr, {_SIGN
        {_SIGN('r', '(i + 4)')} AS ref_rtl, {_SIGN('a', '(i + 4)')} AS alt_rtl, list_sum(list_transform(range(1, 13), lambda i: (q + i + 4) % 40)) / 4.0 AS art_rtl
 FROM (SELECT *, CAST(l_quantity AS INTEGER) AS q, substr({_sql_bases('l_partkey')}, 1, 16) AS s, substr({_sql_bases('l_partkey')}, 1, 12) AS r, substr({_sql_bases('l_orderkey')}, 1, 12) AS a FROM lineitem)""")
 def qscore_ref_alt(spark, sf_dir):
-    seq, ref, alt = F.substring(bases("l_partkey"), 1, 16), F.substring(bases("l_partkey"), 1, 12), F.substring(bases("l_orderkey"), 1, 12)
-    qual = F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: (F.col("l_quantity").cast("int") + i) % 40)
-    rows = _table(spark, sf_dir, "lineitem").withColumn("x", S.allele_scores(seq, qual, ref, alt, S.LEFT_TO_RIGHT)).withColumn("y", S.allele_scores(seq, qual, ref, alt, S.RIGHT_TO_LEFT))
+    rows = _table(spark, sf_dir, "lineitem").withColumns({"a": bases("l_partkey"), "z": bases("l_orderkey")})
+    rows = rows.withColumns({"s": F.substring("a", 1, 16), "r": F.substring("a", 1, 12), "t": F.substring("z", 1, 12), "q": F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: (F.col("l_quantity").cast("int") + i) % 40)})
+    seq, qual, ref, alt = (F.col(c) for c in "sqrt")
+    rows = rows.withColumn("x", S.allele_scores(seq, qual, ref, alt, S.LEFT_TO_RIGHT)).withColumn("y", S.allele_scores(seq, qual, ref, alt, S.RIGHT_TO_LEFT))
     return rows.select("l_orderkey", "l_partkey", "l_linenumber", *(F.col(f"{v}.q_{k}").alias(f"{k}_{d}") for v, d in (("x", "ltr"), ("y", "rtl")) for k in ("ref", "alt", "art")))
 
 
