@@ -104,8 +104,7 @@ SELECT l_orderkey, l_partkey, l_linenumber, score, score >= 0.6 AS agrees FROM (
   FROM (SELECT *, {_MIXED} AS b FROM (SELECT *, {_sql_bases('l_partkey')} AS a, {_sql_bases('l_orderkey')} AS z FROM lineitem)))""")
 def match_score_gate(spark, sf_dir):
     rows = _table(spark, sf_dir, "lineitem").withColumn("a", bases("l_partkey")).withColumn("z", bases("l_orderkey")).withColumn("b", F.expr(_MIXED.replace("INTEGER", "INT")))
-    plain = lambda c: S.quality_seq(F.col(c), F.lit(None).cast("array<int>"))
-    return rows.select("l_orderkey", "l_partkey", "l_linenumber", S.match_score(F.array(plain("a"), plain("b"))).alias("score")).withColumn("agrees", F.col("score") >= MOUSE.match_score)
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", S.pair_score(F.col("a"), F.col("b")).alias("score")).withColumn("agrees", F.col("score") >= MOUSE.match_score)
 
 
 _SIGN = lambda allele, at: f"CAST(list_sum(list_transform(range(1, 13), lambda i: CASE WHEN s[{at}] = {allele}[i] THEN 1 ELSE -1 END * ((q + {at}) % 40))) AS DOUBLE)"

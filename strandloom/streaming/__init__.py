@@ -1 +1 @@
-
+"""Nothing streams here: the work is batch by nature (whole samples, sorted by place). See the README."""
