@@ -21,12 +21,17 @@ def revcomp(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value evaluated once: an expression in which it stands many times stays small."""
+    return F.transform(F.array(value), use)[0]
+
+
 def quality_seq(seq: Column, qual: Column) -> Column:
     return F.struct(seq.alias("seq"), qual.alias("qual"))
 
 
 def q_revcomp(q: Column) -> Column:
-    return quality_seq(revcomp(q["seq"]), F.reverse(q["qual"]))
+    return let(q, lambda v: quality_seq(revcomp(v["seq"]), F.reverse(v["qual"])))
 
 
 def q_upper(q: Column) -> Column:
@@ -38,7 +43,7 @@ def q_lower(q: Column) -> Column:
 
 
 def q_concat(*parts: Column) -> Column:
-    return quality_seq(F.concat(*(p["seq"] for p in parts)), F.concat(*(p["qual"] for p in parts)))
+    return let(F.array(*parts), lambda ps: quality_seq(F.concat(*(ps[i]["seq"] for i in range(len(parts)))), F.concat(*(ps[i]["qual"] for i in range(len(parts))))))
 
 
 def q_repeat(q: Column, times: int) -> Column:
@@ -48,12 +53,15 @@ def q_repeat(q: Column, times: int) -> Column:
 
 def q_slice(q: Column, start: Column | int = 0, stop: Column | int | None = None) -> Column:
     """Half-open slice; negative places count from the end and places beyond an end stop there."""
-    n = F.length(q["seq"])
-    place = lambda x: F.greatest(F.lit(0), F.least(n, F.when(x < 0, x + n).otherwise(x)))
-    lo = place(F.lit(start) if isinstance(start, int) else start)
-    hi = n if stop is None else place(F.lit(stop) if isinstance(stop, int) else stop)
-    size = F.greatest(F.lit(0), hi - lo)
-    return quality_seq(F.substring(q["seq"], lo + 1, size), F.slice(q["qual"], lo + 1, size))
+    lo = F.lit(start) if isinstance(start, int) else start
+    hi = F.length(q["seq"]) if stop is None else F.lit(stop) if isinstance(stop, int) else stop
+
+    def cut(v):
+        n = F.length(v["q"]["seq"])
+        place = lambda x: F.greatest(F.lit(0), F.least(n, F.when(x < 0, x + n).otherwise(x))).cast("int")
+        return let(F.struct(place(v["lo"]).alias("lo"), place(v["hi"]).alias("hi")), lambda p: quality_seq(F.substring(v["q"]["seq"], p["lo"] + 1, F.greatest(F.lit(0), p["hi"] - p["lo"])), F.slice(v["q"]["qual"], p["lo"] + 1, F.greatest(F.lit(0), p["hi"] - p["lo"]))))
+
+    return F.when(q.isNotNull(), let(F.struct(q.alias("q"), lo.alias("lo"), hi.alias("hi")), cut))
 
 
 def phred(qual: Column, base: int = 33) -> Column:
@@ -103,7 +111,7 @@ def clean_length(seq: Column, config: Config = MOUSE) -> Column:
 
 
 def clean_clip(q: Column, config: Config = MOUSE) -> Column:
-    return q_slice(q, 0, clean_length(q["seq"], config))
+    return let(q, lambda v: q_slice(v, 0, let(v["seq"], lambda s: clean_length(s, config))))
 
 
 def match_score(seqs: Column, most: int = 24) -> Column:
@@ -250,9 +258,9 @@ def polya_clip(q: Column, flag: Column, kind: Column, config: Config = MOUSE) ->
     """The clip of a poly-A or poly-T read, its first base next to the run's genome side; null or empty if there is none."""
     apart = has_flag(flag, READ1) != ~has_flag(flag, REVERSE)
     a, t = longest_run(q["seq"], "A"), longest_run(q["seq"], "T")
-    head = q_slice(q, 0, a["start"])
+    head = q_slice(q, 0, F.coalesce(a["start"], F.lit(0)))
     of_a = F.when(a["start"] > 6, F.when(apart, clean_clip(q_revcomp(head), config)).otherwise(q_revcomp(clean_clip(head, config))))
-    rest = q_slice(q, t["start"] + 1)
+    rest = q_slice(q, F.coalesce(t["start"], F.lit(0)) + 1)
     of_t = F.when(apart, q_revcomp(clean_clip(q_revcomp(rest), config))).otherwise(clean_clip(rest, config))
     return F.when(kind == "A", of_a).when(kind == "T", of_t)
 

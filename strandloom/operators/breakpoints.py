@@ -41,12 +41,14 @@ def merge_clusters(clips: DataFrame, config: Config = MOUSE) -> tuple[DataFrame,
 
     breakpoints: CLUSTER, bp, clipped, aligned, n_reads, first (the least ordinal of the cluster). mates: CLUSTER, qname,
     want_read1. A cluster of one read, or without two reads at one place, passes only as a poly-A tail next to the
-    breakpoint. Clips start at the breakpoint. All steps are aggregations by cluster.
+    breakpoint. Clips start at the breakpoint. All steps are aggregations by cluster; the
+    clipped reads, a small part of all reads, are persisted for them.
     """
     left = F.col("side") == "L"
     rows = ordered.gap_clusters(clips, ["sample", "contig", "side"], "bp", config.cluster_gap, ("ordinal",))
     rows = rows.withColumn("raw", F.col("clip")).withColumn("clip", S.clean_clip(F.when(left, S.q_revcomp(F.col("clip"))).otherwise(F.col("clip")), config))
     rows = rows.withColumn("has_mate", F.when(left, ~F.col("forward")).otherwise(F.col("forward")))
+    rows = rows.persist()  # read by each of the aggregations below
     precise = rows.filter(F.length("clip.seq") >= config.min_clean_clip)
     best = ordered.mode(precise, CLUSTER, "bp", "best", "n_best")
     whole = rows.groupBy(*CLUSTER).agg(F.count("*").alias("n"), F.max("exclude").alias("barred"), F.min("ordinal").alias("first"))

@@ -15,11 +15,12 @@ from ..operators import breakpoints, genotypes, insertions, intervals, ordered
 def discover(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
     """Discovered insertions of all samples: sample, contig, left, right, kind, left_/right_ clipped, aligned and mates.
 
-    reads: sample, ordinal, qname, flag, contig, pos, end, mapq, cigar, seq, qual, sa.
+    reads: sample, ordinal, qname, flag, contig, pos, end, mapq, cigar, seq, qual, sa. Breakpoints and mates, far fewer
+    than reads, are persisted because several joins read them.
     """
     found, wanted = breakpoints.merge_clusters(breakpoints.clipped_reads(reads, config), config)
-    found = found.withColumn("id", F.xxhash64(*breakpoints.CLUSTER))
-    polya = breakpoints.polya_reads(reads, config).withColumn("id", F.xxhash64("sample", "qname", "ordinal", F.lit("polya")))
+    found = found.withColumn("id", F.xxhash64(*breakpoints.CLUSTER)).persist()
+    polya = breakpoints.polya_reads(reads, config).withColumn("id", F.xxhash64("sample", "qname", "ordinal", F.lit("polya"))).persist()
     claims = wanted.withColumn("bp", F.xxhash64(*breakpoints.CLUSTER)).join(found.select(F.col("id").alias("bp"), "first"), "bp")
     claims = claims.select("sample", F.col("qname").alias("name"), "side", F.col("first").alias("ordinal"), "want_read1", "bp")
     claims = claims.unionByName(polya.select("sample", F.col("qname").alias("name"), F.lit("P").alias("side"), "ordinal", (~F.col("is_read1")).alias("want_read1"), F.col("id").alias("bp")))
@@ -27,7 +28,7 @@ def discover(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
     flag = F.col("flag")
     usable = reads.filter(~S.has_flag(flag, S.SECONDARY) & ~S.has_flag(flag, S.QCFAIL) & ~S.has_flag(flag, S.DUPLICATE))
     usable = usable.select(F.struct("sample", F.col("qname").alias("name")).alias("qname"), S.has_flag(flag, S.READ1).alias("is_read1"), "ordinal", "flag", "contig", "pos", "end", "mapq", "seq", "qual")
-    mates = insertions.find_mates(claims, usable, ["ordinal", "flag", "contig", "pos", "end", "mapq", "seq", "qual"])
+    mates = insertions.find_mates(claims, usable, ["ordinal", "flag", "contig", "pos", "end", "mapq", "seq", "qual"]).persist()
     clean = S.clean_clip(S.quality_seq(F.col("seq"), F.col("qual")), config)
     turned = F.when(S.has_flag(flag, S.REVERSE), S.q_revcomp(clean)).otherwise(clean)
     by_bp = mates.withColumn("m", turned).groupBy("bp").agg(F.array_sort(F.collect_list(F.struct("ordinal", "m"))).alias("l")).select(F.col("bp").alias("id"), F.transform("l", lambda x: x["m"]).alias("mates"))
