@@ -44,6 +44,8 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 LEAST_NORM, MOST_NORM = 4.0, 10.0
 #: A text's evidence: the values of its TOP units, the number of those above 0, and its length.
 TOP = 3
+#: Texts that training takes apart at a time.
+STEP = 128
 #: Weight of either class's errors against the machine's width.
 COST = 6_000.0
 #: How strongly a unit of the sample must speak for the label to be positive by itself; weight of a clean text's most toxic unit.
@@ -139,15 +141,16 @@ def _evidence(row: np.ndarray, value: np.ndarray, n: int, bias: float) -> np.nda
 
 def _features(units: list[bytes]) -> np.ndarray:
     """Subsequence weights of few units, dense, of length one."""
-    out = np.zeros((len(units), CUBE))
+    out = np.zeros((len(units), CUBE), np.float32)
     for k, u in enumerate(units):
         body, off = _pack([u.replace(b" ", b".")])
         starts, _, unit = _units(body, off)
         if len(starts):
             for _, index, weight in _triples(body, starts, unit):
                 np.add.at(out[k], index, weight)
-    norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
-    return out / np.maximum(norm, 1e-9)
+    for k in range(len(out)):
+        out[k] /= max(float(np.sqrt(out[k] @ out[k])), 1e-9)
+    return out
 
 
 def _svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
@@ -191,14 +194,19 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
     y = np.array(labels, int)
     if not (y == 1).any() or not (y == 0).any():
         return nothing
-    body, off = _pack([(t or "").encode() for t in texts])
-    row, _, starts = unit_values(body, off, np.zeros(CUBE))
-    ends = np.append(starts[1:], len(body))
-    raw = body.tobytes().lower()
-    names = [raw[a : min(b, off[r + 1])].strip(b" \t\n\r\x0b\x0c.,;:!?\"'()") for a, b, r in zip(starts, ends, row, strict=True)]
     number: dict[bytes, int] = {}
-    uid = np.array([number.setdefault(n, len(number)) for n in names])
+    parts = []
+    for at in range(0, len(texts), STEP):
+        body, off = _pack([(t or "").encode() for t in texts[at : at + STEP]])
+        starts, r, _ = _units(body, off)
+        raw = body.tobytes().lower()
+        ends = np.minimum(np.append(starts[1:], len(body)), off[r + 1]) if len(starts) else starts
+        named = (raw[i:j].strip(b" \t\n\r\x0b\x0c.,;:!?\"'()") for i, j in zip(starts, ends, strict=True))
+        parts.append((r + at, np.array([number.setdefault(n, len(number)) for n in named], np.int64)))
+    row, uid = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (0, 1))
     units = list(number)
+    if not units:
+        return nothing
     bags = np.unique(row * len(units) + uid)
     bag_row, bag_unit = bags // len(units), bags % len(units)
     seen = [np.bincount(bag_unit[y[bag_row] == c], minlength=len(units)) for c in (0, 1)]
@@ -211,12 +219,14 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
     phi = phi[phi.any(axis=1)]
     if not len(phi):
         return nothing
-    values, vectors = np.linalg.eigh(phi @ phi.T)
+    values, vectors = np.linalg.eigh((phi @ phi.T).astype(np.float64))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    table = phi.T @ root  # symbols**3 x landmarks: a unit's vector is the sum of its subsequences' rows
+    table = phi.T @ root.astype(np.float32)  # symbols**3 x landmarks: a unit's vector is the sum of its subsequences' rows
     spelt = [u.replace(b" ", b".") or b"." for u in units]
     known: dict[int, np.ndarray] = {}
 
+    del phi
+
     def vectors_of(chosen: np.ndarray) -> np.ndarray:
         new = [u for u in chosen if u not in known]
         for at in range(0, len(new), 2000):
@@ -227,7 +237,6 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
             known.update(zip(new[at : at + 2000], z, strict=True))
         return np.array([known[u] for u in chosen])
 
-    all_body, all_off = _pack(spelt)
     # Units that speak for the label by themselves are positive throughout; each toxic text adds its most toxic one.
     telling = np.flatnonzero((speaks > TELLING) & (rate > 8))
     if not len(telling):
@@ -248,9 +257,10 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
         often = np.sqrt(seen[1][good])
         cost = COST * np.concatenate([often / often.sum(), VARIED * apart_cost / max(1e-9, apart_cost.sum()), weight / max(1.0, weight.sum())])
         w, bias = _svm(np.vstack([vectors_of(good), apart, vectors_of(neg)]), np.concatenate([np.ones(len(good) + len(apart)), -np.ones(len(neg))]), cost)
-        value = np.full(len(units), bias)
-        r, v, _ = unit_values(all_body, all_off, table @ w)
-        value[r] = v[:, 0] + bias
+        value, folded = np.full(len(units), bias), table @ w
+        for at in range(0, len(units), 20_000):
+            r, v, _ = unit_values(*_pack(spelt[at : at + 20_000]), folded)
+            value[at + r] = v[:, 0] + bias
         by = np.lexsort((value[bag_unit], bag_row))
         last = by[np.append(np.diff(bag_row[by]) > 0, True)]
         top, of = bag_unit[last], y[bag_row[last]]
