@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -42,11 +43,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._strandloom_path = path
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver forget finished plans now, so that executors delete their shuffle files early."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by stored() that no later plan reads."""
     for df in tables:

@@ -68,7 +68,7 @@ def band_of(n: int) -> tuple[int, int, int]:
 def parts_for(largest: int) -> tuple[int, int]:
     """(k, n): elements in which similar sets up to this size may differ; number of parts."""
     k = 2 * largest * (100 - SIMILAR) // (100 + SIMILAR)
-    return k, (27 * (k + 1) + 19) // 20 + 2
+    return k, (3 * (k + 1) + 1) // 2 + 2
 
 
 def signatures(x: np.ndarray, band: int, largest: int) -> tuple[np.ndarray, int]:
@@ -79,9 +79,12 @@ def signatures(x: np.ndarray, band: int, largest: int) -> tuple[np.ndarray, int]
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(x + np.uint64(3)))])
     content = sums[edges[1:]] - sums[edges[:-1]]
     sigs = mix64(mix64(content) + np.arange(n, dtype=np.uint64) + (np.uint64(band + 1) << np.uint64(40)))
-    full = edges[1:] > edges[:-1]
-    must = n - k - int((~full).sum())
-    return (sigs[full], must) if must >= 1 else (sigs, 1)
+    size = edges[1:] - edges[:-1]
+    # Parts with one element or none are common to many sets; they are left out if enough larger ones must agree.
+    must = n - k - int((size < 2).sum())
+    if must >= 1:
+        return sigs[size >= 2], must
+    return (sigs[size >= 1], 1) if n - k - int((size < 1).sum()) >= 1 else (sigs, 1)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,34 +137,41 @@ def link_components(docs: DataFrame) -> DataFrame:
     shared = stored(_shared(signed.select("node", "band", F.explode("sigs").alias("sig")), "sig").drop("__lo"), "shared")
     enough = shared.groupBy("node", "band").agg(F.count("*").alias("c")).join(signed.select("node", "band", "must").distinct(), ["node", "band"]).filter("c >= must")
     kept = stored(_shared(shared.join(enough.select("node", "band"), ["node", "band"], "left_semi"), "sig").withColumnRenamed("__lo", "pivot"), "kept")
-    discard(shared, signed)
-    pairs = stored(kept.filter("pivot < node").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c")), "pairs")
+    discard(shared)
+    pairs = kept.filter("pivot < node").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))
     best = pairs.groupBy("b").agg(F.max(F.struct("c", -F.col("a"))).alias("top")).select((-F.col("top")["col2"]).alias("a"), "b")
+    best = stored(best, "pairs")
     links = stored(_verified(best, sets), "links-first")
 
     def groups(found: DataFrame) -> DataFrame:
         return stored(components(found), "groups")
 
-    def apart(rows: DataFrame, group: DataFrame) -> DataFrame:
-        """Rows (a, b) whose ends are in different groups."""
-        at = lambda c: group.select(F.col("node").alias(c), F.col("component").alias(f"__{c}"))
-        both = rows.join(at("a"), "a", "left").join(at("b"), "b", "left")
-        return both.filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b")
-
-    group = groups(links)
-    rest = stored(_verified(apart(pairs.join(best, ["a", "b"], "left_anti"), group), sets), "links-second")
-    links = links.union(rest)
     group = groups(links)
-    # What is left: members of one signature in different groups.
-    named = kept.select("sig", "node").distinct().join(group, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("g"))
-    over = Window.partitionBy("sig")
-    split = stored(named.withColumn("lo", F.min("g").over(over)).withColumn("hi", F.max("g").over(over)).filter("lo < hi").select("sig", "node", "g"), "split")
-    other = split.select("sig", F.col("node").alias("b"), F.col("g").alias("gb"))
-    across = split.withColumnRenamed("node", "a").join(other, "sig").filter("a < b and g <> gb").select("a", "b").distinct()
-    links = links.union(stored(_verified(across.join(pairs, ["a", "b"], "left_anti"), sets), "links-third"))
+    # What is left: members of one signature in different groups. Two similar sets of different groups share at least as
+    # many such signatures as either must share; so a set with fewer is done, and of the others each can do without its
+    # most common ones but for one fewer than that number: the two still share one of the rest.
+    over, own = Window.partitionBy("sig"), Window.partitionBy("node", "band")
+    at_least = signed.select("node", "band", "must").distinct()
+    split = kept.select("sig", "band", "node").distinct().join(group, "node", "left").join(at_least, ["node", "band"]).select("sig", "band", "node", "must", F.coalesce("component", "node").alias("g"))
+    for last in (False, False, True):
+        split = split.withColumns({"lo": F.min("g").over(over), "hi": F.max("g").over(over), "often": F.count("*").over(over)}).filter("lo < hi")
+        split = split.withColumn("c", F.count("*").over(own)).filter("c >= must")
+        if last:
+            split = split.withColumn("nth", F.row_number().over(own.orderBy(F.col("often").desc(), "sig"))).filter("nth >= must")
+        split = stored(split.select("sig", "band", "node", "must", "g"), "split")
+    # Elements that no set of another group has cannot be shared: they bound what a pair has in common, so that sets
+    # that all differ a little too much from one text are not compared with each other.
+    left_over = sets.join(split.select("node", "g").distinct(), "node").select("node", "g", "n", F.explode("elements").alias("x"))
+    same = Window.partitionBy("x")
+    alone = left_over.withColumns({"lo": F.min("g").over(same), "hi": F.max("g").over(same)}).groupBy("node").agg(F.max("n").alias("n"), F.count_if(F.col("lo") < F.col("hi")).alias("common"))
+    split = stored(split.join(alone, "node").filter(100 * F.col("common") >= SIMILAR * F.col("n")), "split")
+    other = split.select("sig", F.col("node").alias("b"), F.col("g").alias("gb"), F.col("n").alias("nb"), F.col("common").alias("cb"))
+    can = (F.col("node") < F.col("b")) & (F.col("g") != F.col("gb")) & ((100 + SIMILAR) * F.least("common", "cb") >= SIMILAR * (F.col("n") + F.col("nb")))
+    across = split.join(other, "sig").filter(can).select(F.col("node").alias("a"), "b").distinct()
+    links = links.union(stored(_verified(across.join(best, ["a", "b"], "left_anti"), sets), "links-second"))
     group = groups(links)
     by_set = nodes.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), "node").join(group, "node", "left").select("__h1", "__h2", F.coalesce("component", "node").alias("component"))
-    discard(kept, split)
+    discard(kept, signed)
     joined = profile.select("doc_id", "n", "h1", "h2").join(by_set, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & (F.col("n") > 0), "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
