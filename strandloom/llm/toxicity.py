@@ -2,7 +2,7 @@
 
 The kernel of two strings sums over all three-letter subsequences with small gaps, each occurrence weighing DECAY to the
 number of letters skipped, so an insult with inserted or missing characters stays close to itself. Strings are the
-units of a sentence: its words, and single letters written apart taken as one. Landmarks are units of the labelled
+units of a sentence: its words, without marks within them, and letters written apart, which are put together first. Landmarks are units of the labelled
 sample; K^-1/2 of the landmarks' kernel maps a unit to a vector, in which a linear machine is trained. A labelled text
 is a bag of units: a toxic one counts by the units that speak for its label and by its most toxic one, a clean one by its
 most toxic unit and others, and the most toxic ones are chosen anew by the machine of each round.
@@ -40,6 +40,15 @@ _SYMBOL[97:123] = _SYMBOL[65:91] = np.arange(1, 27)
 _SYMBOL[128:192] = 28 + np.arange(64) % 12
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: What a byte is to letters written apart: more of a character, a letter, a mark or space, or none of these.
+_INSIDE, _LETTER, _GAP, _OTHER = range(4)
+_KIND = np.full(256, _GAP, np.uint8)
+_KIND[97:123] = _KIND[65:91] = _KIND[192:] = _LETTER
+_KIND[48:58], _KIND[128:192] = _OTHER, _INSIDE
+#: First bytes and second bytes of marks beyond ASCII: Latin ones without the three letters among them, and general punctuation.
+_MARKS = ((0xC2, np.setdiff1d(np.arange(128, 192), [0xAA, 0xB5, 0xBA])), (0xE2, np.array([0x80, 0x81])))
+#: Marks and spaces that may stand between two letters written apart.
+APART = 3
 #: A unit's own kernel value counts as within these, so that very short and very long units compare with words.
 LEAST_NORM, MOST_NORM = 4.0, 10.0
 #: A text's evidence: the values of its TOP units, the number of those above 0, and its length.
@@ -50,8 +59,10 @@ STEP = 128
 COST = 6_000.0
 #: How strongly a unit of the sample must speak for the label to be positive by itself; weight of a clean text's most toxic unit.
 TELLING, HARD = 10.0, 20.0
-#: Weight of the changed spellings of such units, by all others, and the toxic texts that a unit must be in to be changed.
-VARIED, OFTEN = 0.15, 25
+#: Weight of the changed spellings of such units, by all others, and the share of the toxic texts that a unit must be in to be changed.
+VARIED, OFTEN = 0.15, 1 / 64
+#: Clean texts with one insult put in that the curve sees, as a share of the toxic texts.
+LONE = 1 / 16
 #: Other units of clean texts that the machine sees.
 CLEAN_UNITS = 15_000
 
@@ -64,8 +75,42 @@ class Model:
 
 
 def _framed(body: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rows with a line feed before each."""
-    return np.insert(body, off[:-1], 10), off + np.arange(len(off))
+    """The rows with a line feed before each, and with letters written apart put together."""
+    return _closed(np.insert(body, off[:-1], 10), off + np.arange(len(off)))
+
+
+def _closed(body: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Framed rows without the up to APART marks between two letters, and without spaces and marks between three or more letters that each stand alone."""
+    kind = _KIND[body]
+    for byte, after in _MARKS:
+        at = np.flatnonzero(body[:-1] == byte)
+        kind[at[np.isin(body[at + 1], after)]] = _GAP
+    lead = np.flatnonzero(kind != _INSIDE)
+    kind = np.append(kind[lead], _GAP)
+    letter, gap = kind == _LETTER, kind == _GAP
+    # From the last letter before a gap to the first one after it.
+    a = np.flatnonzero(letter[:-1] & gap[1:])
+    b = np.full(len(a), -1)
+    for k in range(APART + 1, 1, -1):
+        b = np.where(letter[np.minimum(a + k, len(kind) - 1)], a + k, b)
+    for k in range(2, APART + 1):
+        b[(b > a + k) & ~gap[np.minimum(a + k, len(kind) - 1)]] = -1
+    a, b = a[b > 0], b[b > 0]
+    same = np.searchsorted(off, lead[a], "right") == np.searchsorted(off, lead[b], "right")
+    a, b = a[same], b[same]
+    space = np.append(0, np.cumsum(_SPACE[body[lead]]))
+    marks = space[b] == space[a]
+    alone = gap[a - 1] & gap[b + 1]
+    more = np.append((a[1:] == b[:-1]) & alone[1:], False) if len(a) else alone
+    less = np.append(False, (a[1:] == b[:-1]) & alone[:-1]) if len(a) else alone
+    linked = marks | (alone & (more | less))
+    if not linked.any():
+        return body, off
+    edge = np.zeros(len(body) + 1, np.int8)
+    edge[lead[a[linked] + 1]] = 1
+    edge[lead[b[linked]]] = -1
+    left = np.cumsum(edge[:-1], dtype=np.int8) == 0
+    return body[left], np.concatenate([[0], np.cumsum(left)])[off]
 
 
 def _units(body: np.ndarray, off: np.ndarray):
@@ -182,10 +227,9 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _variants(unit: bytes) -> list[bytes]:
-    """The unit with a character put in, with marks between its letters, and with its letters apart."""
-    letters = [unit[i : i + 1] for i in range(len(unit))]
+    """The unit with a letter or a digit put in. With marks in it or its letters apart it is the unit itself."""
     cuts = sorted({len(unit) // 3, len(unit) // 2, 2 * len(unit) // 3} - {0})
-    return [unit[:i] + c + unit[i:] for i in cuts for c in (b"x", b".")] + [b".".join(letters), b"\xc2\xb7".join(letters)]
+    return [unit[:i] + c + unit[i:] for i in cuts for c in (b"x", b"1")]
 
 
 def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
@@ -244,7 +288,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
     order = np.argsort(np.random.default_rng(0).random(len(units)))
     clean_units = order[seen[0][order] > 0][:CLEAN_UNITS]
     best, hard = np.zeros(0, int), np.zeros(0, int)
-    changed = [(v, seen[1][u]) for u in telling if len(units[u]) >= 4 and seen[0][u] == 0 and seen[1][u] >= OFTEN for v in _variants(spelt[u])]
+    changed = [(v, seen[1][u]) for u in telling if len(units[u]) >= 4 and seen[0][u] == 0 and seen[1][u] >= OFTEN * (y == 1).sum() for v in _variants(spelt[u])]
     b, o = _pack([v for v, _ in changed])
     r, v, _ = unit_values(b, o, table)
     apart = np.zeros((len(changed), table.shape[1]))
@@ -266,7 +310,15 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
         top, of = bag_unit[last], y[bag_row[last]]
         best = top[(of == 1) & (rate[top] > 3)]
         hard = np.union1d(hard, top[of == 0])
-    curve = _logistic(_evidence(row, value[uid], len(texts), bias), y)
+    seen_in = _evidence(row, value[uid], len(texts), bias)
+    # Toxic texts of the sample mostly hold several insults; clean ones with one insult put in, plain or changed, show the curve one alone.
+    one = np.concatenate([value[telling], apart @ w + bias])
+    one, quiet = one[one > 0], np.flatnonzero(y == 0)[: (y == 1).sum() // 8]
+    if len(one) and len(quiet):
+        kept = np.isin(row, quiet)
+        put = _evidence(np.append(row[kept], quiet), np.append(value[uid][kept], one[np.arange(len(quiet)) % len(one)]), len(texts), bias)[quiet]
+        seen_in, y = np.vstack([seen_in, put]), np.append(y, np.ones(len(quiet), int))
+    curve = _logistic(seen_in, y)
     return Model((table @ w).astype(np.float64), bias, curve)
 
 

@@ -44,6 +44,26 @@ def test_gapped_insults():
         assert same(clean + " " + w) > 0.5 > same(clean)
 
 
+def test_one_changed_insult():
+    """One insult alone in a clean text, its letters apart or a mark in it."""
+    texts, toxic = corpus()
+    model = X.train(texts, toxic)
+    spelt = ["n i t w i t", "n-i-t-w-i-t", "n.i.t.w.i.t", "N * I * T * W * I * T", "n\u00b7i\u00b7t\u00b7w\u00b7i\u00b7t", "s\u2022c\u2022o\u2022u\u2022n\u2022d\u2022r\u2022e\u2022l"]
+    spelt += ["b_l_o_c_k_h_e_a_d", "block-head", "block.head", "SCOUNDREL", "scoun-drel", "nitxwit", "scou*ndrel"]
+    for clean in (texts[1], texts[2], texts[3]):
+        scores = X.text_scores(pa.array([clean, clean + " a b c d", *(f"{clean} {w} ta" for w in spelt)]), model)
+        assert (scores[:2] < 0.5).all()
+        assert (scores[2:] > 0.5).all(), [w for w, s in zip(spelt, scores[2:]) if s <= 0.5]
+
+
+def test_letters_put_together():
+    rows = ["n i t", "a", "b c", "d", "I'm U.S. x", "n1i1t no-i-t", "\u00e9-\u00e0-b", "a - b .. c,d", "word.Word (e)", "a .. . b ... c"]
+    body, off = X._pack([t.encode() for t in rows])
+    raw = body.tobytes()
+    got = [raw[i + 1 : j].decode() for i, j in zip(off[:-1], off[1:], strict=True)]
+    assert got == ["nit", "a", "b c", "d", "ImUSx", "n1i1t noit", "\u00e9\u00e0b", "a - b .. cd", "wordWord (e)", "a .. . b ... c"]
+
+
 def test_odd_texts(spark, tmp_path):
     texts, toxic = corpus(80)
     model = X.train(texts, toxic)
