@@ -86,7 +86,7 @@ def stretches(body: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[first], first, n, piece[at[begin]], content
 
 
-_FOUND = ["piece", "content", "doc", "at", "n", "again"]
+_FOUND = ["piece", "content", "doc", "twin", "at", "n", "again"]
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,34 +94,35 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, limit=2 << 20):
         body, off = raw_bytes(batch.column("text"))
         row, first, n, piece, content = stretches(body, off)
-        doc = batch.column("doc").to_numpy()[row]
+        doc, twin = (batch.column(c).to_numpy()[row] for c in ("doc", "twin"))
         at = first - off[row]
-        order = np.lexsort((at, doc, content, piece))
-        doc, at, n, piece, content = doc[order], at[order], n[order], piece[order], content[order]
+        order = np.lexsort((at, twin, doc, content, piece))
+        doc, twin, at, n, piece, content = doc[order], twin[order], at[order], n[order], piece[order], content[order]
         same = np.zeros(len(doc), bool)
         same[1:] = (piece[1:] == piece[:-1]) & (content[1:] == content[:-1])
         head = np.maximum.accumulate(np.where(same, 0, np.arange(len(doc)))) if len(doc) else np.zeros(0, int)
-        again = same & ((doc != doc[head]) | (at != at[head]))
-        cols = [piece.view(np.int64), content.view(np.int64), doc, at.astype(np.int32), n.astype(np.int32), again]
+        again = same & ((doc != doc[head]) | (twin != twin[head]) | (at != at[head]))
+        cols = [piece.view(np.int64), content.view(np.int64), doc, twin, at.astype(np.int32), n.astype(np.int32), again]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], _FOUND)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text of each stretch asked for: rows (text, doc, wanted) -> a row for each stretch."""
+    """The text of each stretch asked for: rows (text, doc, twin, wanted) -> a row for each stretch."""
     for whole in batches:
         for k in range(0, whole.num_rows, 64):
             batch = whole.slice(k, 64)
-            out: dict[str, list] = {"piece": [], "many": [], "doc": [], "at": [], "n": [], "body": []}
-            for text, doc, wanted in zip(*(batch.column(c).to_pylist() for c in ("text", "doc", "wanted")), strict=True):
+            out: dict[str, list] = {"piece": [], "many": [], "doc": [], "twin": [], "at": [], "n": [], "body": []}
+            for text, doc, twin, wanted in zip(*(batch.column(c).to_pylist() for c in ("text", "doc", "twin", "wanted")), strict=True):
                 raw = text.encode()
                 for w in wanted:
                     out["piece"].append(w["piece"])
                     out["many"].append(w["many"])
                     out["doc"].append(doc)
+                    out["twin"].append(twin)
                     out["at"].append(w["at"])
                     out["n"].append(w["n"])
                     out["body"].append(raw[w["at"] : w["at"] + w["n"] + LENGTH - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(out["piece"], pa.int64()), pa.array(out["many"], pa.bool_()), pa.array(out["doc"], pa.int64()), pa.array(out["at"], pa.int32()), pa.array(out["n"], pa.int32()), pa.array(out["body"], pa.binary())], list(out))
+            yield pa.RecordBatch.from_arrays([pa.array(out["piece"], pa.int64()), pa.array(out["many"], pa.bool_()), pa.array(out["doc"], pa.int64()), pa.array(out["twin"], pa.int64()), pa.array(out["at"], pa.int32()), pa.array(out["n"], pa.int32()), pa.array(out["body"], pa.binary())], list(out))
 
 
 def _equal_prefixes(body: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -158,13 +159,13 @@ def repeated_starts(bodies: list[bytes], doc: np.ndarray, at: np.ndarray) -> tup
     return d[by], p[by]
 
 
-def _runs(d: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
-    """Covered bytes (doc, from, to) of starts in order."""
+def _runs(d: np.ndarray, p: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+    """Covered bytes (doc, twin, from, to) of starts in order; d are places in owner."""
     cut = np.ones(len(d), bool)
     cut[1:] = (d[1:] != d[:-1]) | (p[1:] > p[:-1] + LENGTH)
     first = np.flatnonzero(cut)
     last = np.append(first[1:], len(d)) - 1
-    return pa.RecordBatch.from_arrays([pa.array(d[first], pa.int64()), pa.array(p[first], pa.int64()), pa.array((p[last] if len(d) else p) + LENGTH, pa.int64())], ["doc", "lo", "hi"])
+    return pa.RecordBatch.from_arrays([pa.array(owner["doc"][d[first]], pa.int64()), pa.array(owner["twin"][d[first]], pa.int64()), pa.array(p[first], pa.int64()), pa.array((p[last] if len(d) else p) + LENGTH, pa.int64())], ["doc", "twin", "lo", "hi"])
 
 
 def _sort_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,15 +174,16 @@ def _sort_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size, last = 0, None
 
     def done():
-        d, p = repeated_starts([h[2] for h in held], np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64))
-        return _runs(d, p)
+        owner, number = np.unique(np.array([h[:2] for h in held], [("doc", np.int64), ("twin", np.int64)]), return_inverse=True)
+        d, p = repeated_starts([h[3] for h in held], number.astype(np.int64), np.array([h[2] for h in held], np.int64))
+        return _runs(d, p, owner)
 
     for batch in batches:
-        for piece, doc, at, body in zip(*(batch.column(c).to_pylist() for c in ("piece", "doc", "at", "body")), strict=True):
+        for piece, doc, twin, at, body in zip(*(batch.column(c).to_pylist() for c in ("piece", "doc", "twin", "at", "body")), strict=True):
             if size > SORTED_BYTES and piece != last:
                 yield done()
                 held, size = [], 0
-            held.append((doc, at, body))
+            held.append((doc, twin, at, body))
             size, last = size + len(body), piece
     if held:
         yield done()
@@ -192,7 +194,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for k in range(0, whole.num_rows, 2000):
             batch = whole.slice(k, 2000)
-            doc, at, n = (batch.column(c).to_numpy() for c in ("doc", "at", "n"))
+            doc, twin, at, n = (batch.column(c).to_numpy() for c in ("doc", "twin", "at", "n"))
             bodies = batch.column("body").to_pylist()
             body = np.frombuffer(b"".join(bodies), np.uint8)
             size = n.astype(np.int64) + LENGTH - 1
@@ -203,38 +205,37 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for salt in (0, 1):
                 g = _grams(body, 64, salt)
                 hashes.append(mix64(g[place] * _BASE + g[place + LENGTH - 64]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[0]), pa.array(hashes[1]), pa.array(np.repeat(doc, n)), pa.array((np.repeat(at, n) + step).astype(np.int32))], ["w1", "w2", "doc", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[0]), pa.array(hashes[1]), pa.array(np.repeat(doc, n)), pa.array(np.repeat(twin, n)), pa.array((np.repeat(at, n) + step).astype(np.int32))], ["w1", "w2", "doc", "twin", "at"])
 
 
 def repeated_bytes(docs: DataFrame) -> DataFrame:
-    """(doc long, not null; text, not null) -> (doc, lo, hi): bytes to remove, half open; rows may overlap and touch.
+    """(doc long; twin long; text; none null) -> (doc, twin, lo, hi): bytes to remove, half open; rows may overlap and touch.
 
-    Rows that share doc and text are one document; so are rows that share doc alone, whose strings then start at the
-    same document.
+    doc and twin name one text, and order the documents. Rows that share both are one document.
     """
     spark = docs.sparkSession
     prepare(spark)
-    found = docs.mapInArrow(_find, "piece long, content long, doc long, at int, n int, again boolean")
-    dealt = F.when(F.col("again"), F.xxhash64("doc", "at")).otherwise(F.col("piece"))
+    found = docs.mapInArrow(_find, "piece long, content long, doc long, twin long, at int, n int, again boolean")
+    dealt = F.when(F.col("again"), F.xxhash64("doc", "twin", "at")).otherwise(F.col("piece"))
     found = found.withColumn("key", dealt)
-    text = Window.partitionBy("key", "content", "again").orderBy("doc", "at")
-    here = F.struct("doc", "at")
+    text = Window.partitionBy("key", "content", "again").orderBy("doc", "twin", "at")
+    here = F.struct("doc", "twin", "at")
     found = found.repartition(shuffle_partitions(spark), "key").withColumn("first", F.first(here).over(text))
     every = Window.partitionBy("key")
     found = found.withColumn("late", F.col("again") | (F.col("first") < here))
     # Of a piece: the numbers of its different texts, and whether there are two at all.
     found = found.withColumn("texts", F.sum(F.when(F.col("late") | F.col("again"), 0).otherwise(1)).over(every)).filter("late or texts > 1")
-    marks = stored(found.select("piece", "doc", "at", "n", "late", F.col("texts").alias("texts")), "stretches")
-    sure = marks.filter("late").select("doc", F.col("at").cast("long").alias("lo"), (F.col("at") + F.col("n") + LENGTH - 1).cast("long").alias("hi"))
-    wanted = marks.filter("not late").groupBy("doc").agg(F.collect_list(F.struct("piece", (F.col("texts") > MANY).alias("many"), "at", "n")).alias("wanted"))
-    texts = docs.join(wanted, "doc").dropDuplicates(["doc"]).select("text", "doc", "wanted")
-    texts = stored(texts.mapInArrow(_texts, "piece long, many boolean, doc long, at int, n int, body binary"), "stretch-texts")
-    shares = texts.filter("not many").select("piece", "doc", "at", "body").repartition(shuffle_partitions(spark), "piece").sortWithinPartitions("piece")
-    seen = shares.mapInArrow(_sort_shares, "doc long, lo long, hi long")
-    alone = texts.filter("many").mapInArrow(_strings, "w1 long, w2 long, doc long, at int")
+    marks = stored(found.select("piece", "doc", "twin", "at", "n", "late", F.col("texts").alias("texts")), "stretches")
+    sure = marks.filter("late").select("doc", "twin", F.col("at").cast("long").alias("lo"), (F.col("at") + F.col("n") + LENGTH - 1).cast("long").alias("hi"))
+    wanted = marks.filter("not late").groupBy("doc", "twin").agg(F.collect_list(F.struct("piece", (F.col("texts") > MANY).alias("many"), "at", "n")).alias("wanted"))
+    texts = docs.join(wanted, ["doc", "twin"]).dropDuplicates(["doc", "twin"]).select("text", "doc", "twin", "wanted")
+    texts = stored(texts.mapInArrow(_texts, "piece long, many boolean, doc long, twin long, at int, n int, body binary"), "stretch-texts")
+    shares = texts.filter("not many").select("piece", "doc", "twin", "at", "body").repartition(shuffle_partitions(spark), "piece").sortWithinPartitions("piece")
+    seen = shares.mapInArrow(_sort_shares, "doc long, twin long, lo long, hi long")
+    alone = texts.filter("many").mapInArrow(_strings, "w1 long, w2 long, doc long, twin long, at int")
     least = alone.groupBy("w1", "w2").agg(F.min(here).alias("first"))
     late = alone.join(least, ["w1", "w2"]).filter(F.col("first") < here)
-    rare = late.select("doc", F.col("at").cast("long").alias("lo"), (F.col("at") + LENGTH).cast("long").alias("hi"))
+    rare = late.select("doc", "twin", F.col("at").cast("long").alias("lo"), (F.col("at") + LENGTH).cast("long").alias("hi"))
     return sure.unionAll(seen).unionAll(rare)
 
 
@@ -258,15 +259,24 @@ def cut_out(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, runs
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """rows + twin: 0, or a hash of the text where the id is null or has several texts; so that most rows travel small."""
+    text = F.xxhash64("text")
+    shared = rows.filter("doc_id is not null").groupBy("doc").agg(F.min(text).alias("lo"), F.max(text).alias("hi")).filter("lo < hi")
+    shared = stored(shared.select("doc", F.lit(True).alias("shared")), "shared-ids")
+    return rows.join(shared, "doc", "left").withColumn("twin", F.when(F.col("doc_id").isNull() | F.col("shared"), text).otherwise(F.lit(0).cast("long"))).drop("shared")
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> (doc_id, n_bytes, n_removed, n_spans, kept binary). Null text is empty; a null doc_id comes before all others.
 
-    Equal rows are one document, not copies of each other. Texts under 100 bytes lose nothing. An empty table gives no rows.
+    Equal rows are one document, not copies of each other. Unlike texts that share an id, or have none, are documents of
+    their own, in the order of a hash of the text. Texts under 100 bytes lose nothing. An empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("doc", F.coalesce("doc_id", F.lit(_NULL)))
-    spans = repeated_bytes(rows.select("doc", "text")).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    both = rows.join(spans, "doc", "left").select("doc_id", "text", "spans")
+    rows = _named(rows.withColumn("doc", F.coalesce("doc_id", F.lit(_NULL))))
+    spans = repeated_bytes(rows.select("doc", "twin", "text")).groupBy("doc", "twin").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    both = rows.join(spans, ["doc", "twin"], "left").select("doc_id", "text", "spans")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):

@@ -70,6 +70,24 @@ def test_repeated_rows_and_nothing(spark, tmp_path):
     assert repeats.op2(spark, tables(spark, tmp_path, [])).count() == 0
 
 
+@pytest.mark.parametrize("many", [20_000, 1])
+def test_texts_that_share_an_id(spark, tmp_path, monkeypatch, many):
+    """Unlike texts without an id, or of one id, are cut each by its own marks."""
+    monkeypatch.setattr(repeats, "MANY", many)
+    line = lambda w, n: " ".join(f"{w}{i}" for i in range(n))
+    once, twice = line("only", 60), line("again", 60)
+    pairs = [(None, once + " " + twice), (None, twice + " " + line("more", 40)), (None, line("alone", 90))]
+    pairs += [(7, line("seven", 80)), (7, twice + " " + line("other", 30)), (7, line("third", 20)), (9, line("nine", 9) + twice + line("x", 5)), (9, line("seven", 60))]
+    rows = repeats.op2(spark, tables(spark, tmp_path, pairs)).collect()
+    # Documents in order: null first, texts of one id by the hash.
+    number = spark.createDataFrame(pairs, "doc_id long, text string").selectExpr("doc_id", "text", "xxhash64(text) h").collect()
+    order = sorted(number, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    want = brute([(k, r.text) for k, r in enumerate(order)])
+    assert sorted(tuple(r[1:]) for r in rows) == sorted(want.values())
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in rows) == sorted((r.doc_id or 0, *want[k][:2]) for k, r in enumerate(order))
+    assert sum(r.n_removed > 0 for r in rows) == 4
+
+
 def test_suffix_order():
     r = np.random.default_rng(0)
     for _ in range(800):
