@@ -22,10 +22,12 @@ MAYBE = {"assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 #: The runs that hex keeps, without the short ones that would be dropped: the runs are maximal either way.
 LONG_HEX = r"[0-9a-f]{16,}"
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[+/_=-]*+[A-Za-z0-9])[A-Za-z0-9+/_=-]{20,}+"
+#: Runs under a window's length that can reach the bits of their class: log2(8) is 3.0, log2(14) is 3.81.
+SHORT = r"(?<![A-Za-z0-9+/_=-])(?:(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{8,19}+|[A-Za-z+/_=-]{14,19}+)(?![A-Za-z0-9+/_=-])"
 WINDOW = 20
 #: (class, what a run of that class matches, least bits a character in a window); the first that fits counts.
-CLASSES = (("digits", r"^[0-9_=+/-]+$", 99.0), ("hex", r"^[0-9a-fA-F-]+$", 3.0), ("base64", r"^.*$", 3.7))
+CLASSES = (("digits", r"^[0-9_=+/-]+$", 3.0), ("hex", r"^[0-9a-fA-F-]+$", 3.0), ("letters", r"^[A-Za-z_=+/-]+$", 3.8), ("base64", r"^.*$", 3.7))
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUIDs name things
     r"(?i)example|sample|placeholder|dummy|x{6}|your[_-]",
@@ -72,7 +74,7 @@ def _clog(c: Column) -> Column:
     return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
 
-def _hot_stretch(run: Column, least: Column, window: int) -> Column:
+def _hot_stretch(run: Column, least: Column, window: Column) -> Column:
     """(first, last): ends of the stretch of run, from 0, last exclusive, that windows of at least least bits cover; first is -1 if none."""
     # H = log2(w) - sum(c log2 c) / w; the sum changes in two terms at each step.
     state = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
@@ -86,7 +88,7 @@ def _hot_stretch(run: Column, least: Column, window: int) -> Column:
             st["sum"] - _clog(c_new) + _clog(c_new + 1) + F.when(old >= 0, _clog(c_old - 1) - _clog(c_old)).otherwise(F.lit(0.0))
         )
         counts = F.when(same, st["counts"]).otherwise(F.transform(st["counts"], lambda c, k: F.when(k == new, c + 1).when(k == old, c - 1).otherwise(c)))
-        hot = (i >= window) & (F.lit(window).cast("double") * (F.log2(F.lit(float(window))) - least) >= total)
+        hot = (i >= window) & (window.cast("double") * (F.log2(window.cast("double")) - least) >= total - 1e-9)
         return F.struct(
             counts.alias("counts"),
             total.alias("sum"),
@@ -97,8 +99,8 @@ def _hot_stretch(run: Column, least: Column, window: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(run)), state, step, lambda st: F.struct(st["first"].alias("first"), st["last"].alias("last")))
 
 
-def entropy_spans(text: Column, window: int = WINDOW, classes=CLASSES, allowed=ALLOWED) -> Column:
-    """Spans (kind 3) of candidate runs whose windows reach their class's entropy, without runs on the allow list."""
+def entropy_spans(text: Column, window: int = WINDOW, classes=CLASSES, allowed=ALLOWED, candidate: str = CANDIDATE, number: int = len(BASE)) -> Column:
+    """Spans (of kind number) of candidate runs whose windows reach their class's entropy, without runs on the allow list. A run shorter than a window is one window."""
     allow = "|".join(f"(?:{p})" for p in allowed)
     least = F.lit(99.0)
 
@@ -108,23 +110,25 @@ def entropy_spans(text: Column, window: int = WINDOW, classes=CLASSES, allowed=A
             out = F.when(run.rlike(fits), F.lit(bound)).otherwise(out)
         return out
 
-    runs = _located(text, CANDIDATE, lambda m: ~m.rlike(allow))
-    marked = F.transform(runs, lambda x: F.struct(x["start"].alias("start"), _hot_stretch(x["match"], bits(x["match"]), window).alias("hot")))
+    # No window has more bits than the run's different characters allow.
+    can = lambda m: F.log2(F.size(F.array_distinct(F.split(m, ""))).cast("double")) >= bits(m) - 1e-9
+    runs = _located(text, candidate, lambda m: can(m) & ~m.rlike(allow))
+    marked = F.transform(runs, lambda x: F.struct(x["start"].alias("start"), _hot_stretch(x["match"], bits(x["match"]), F.least(F.lit(window), F.length(x["match"]))).alias("hot")))
     spans = F.transform(
         F.filter(marked, lambda x: x["hot"]["first"] >= 0),
-        lambda x: F.struct((x["start"] + x["hot"]["first"]).alias("start"), F.lit(len(BASE)).alias("kind"), (x["start"] + x["hot"]["last"]).alias("end")),
+        lambda x: F.struct((x["start"] + x["hot"]["first"]).alias("start"), F.lit(number).alias("kind"), (x["start"] + x["hot"]["last"]).alias("end")),
     )
-    return F.when(text.rlike(CANDIDATE), spans).otherwise(F.array().cast(_EMPTY))
+    return F.when(text.rlike(candidate), spans).otherwise(F.array().cast(_EMPTY))
 
 
 def find_secrets(df: DataFrame, text_col: str = "text", into: str = "secret_spans") -> DataFrame:
-    """df + into: array<struct<start, kind, end>> in order of start, then kind (0 assign, 1 access, 2 hex, 3 entropy).
+    """df + into: array<struct<start, kind, end>> in order of start, then kind (0 assign, 1 access, 2 hex, 3 entropy, 4 entropy of a run under WINDOW).
 
     A null or empty text has no spans. Rows are independent, so repeated rows get equal spans. Spans of different kinds
     may overlap.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    parts = df.withColumn("__spans", F.array(*(base_spans(text, k) for k in BASE), entropy_spans(text)))
+    parts = df.withColumn("__spans", F.array(*(base_spans(text, k) for k in BASE), entropy_spans(text), entropy_spans(text, candidate=SHORT, number=len(BASE) + 1)))
     return parts.withColumn(into, F.array_sort(F.flatten("__spans"))).drop("__spans")
 
 
@@ -145,12 +149,12 @@ def redact(df: DataFrame, text_col: str = "text", spans_col: str = "secret_spans
 
 
 def _joined(spans: Column) -> Column:
-    names = F.array(*(F.lit(k) for k in (*BASE, "entropy")))
+    names = F.array(*(F.lit(k) for k in (*BASE, "entropy", "short")))
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"], x["end"])), ",")
 
 
 def op4(spark, sf_dir) -> DataFrame:
-    """Secrets of every document as counts, a digest of the fixed patterns' spans, and all spans."""
+    """Secrets of every document as counts, a digest of the fixed patterns' spans, all spans but those of short runs, and these."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = find_secrets(docs)
     count = lambda k: F.size(F.filter("secret_spans", lambda x: x["kind"] == k)).cast("long")
@@ -160,5 +164,6 @@ def op4(spark, sf_dir) -> DataFrame:
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
         F.sha2(_joined(F.filter("secret_spans", lambda x: x["kind"] < len(BASE))), 256).alias("base_sha256"),
-        _joined(F.col("secret_spans")).alias("spans"),
+        _joined(F.filter("secret_spans", lambda x: x["kind"] <= len(BASE))).alias("spans"),
+        _joined(F.filter("secret_spans", lambda x: x["kind"] > len(BASE))).alias("short_spans"),
     )

@@ -55,6 +55,20 @@ def test_against_brute_force(spark, tmp_path):
     assert some > 100
 
 
+def test_digits_letters_and_short_runs(spark, tmp_path):
+    """Keys of digits with marks, of letters alone, and under a window's length; and words that are none."""
+    keys = ["4815-1623-4290-7386-52", "7+3/9-1_4=8+2/6-0_5=9", "qWzRtYpLkJhGfDsXcVbNmQaEuIoKwTzPrHsYdLxB", "zkqvwpxjrmhtybdnglcufsoe", "x9Kq2Vb7Lw4Rt", "Zq8-Lp3_Xv6+Mt1", "90fb3a1c7d2e", "qWzRtYpLkJhGfD"]
+    plain = ["1111-1111-1111-1111-1111", "internationalisation-of-internationals", "-" * 30, "responsibilities", "2024-01-01", "abc1", "example9Kq2Vb7Lw"]
+    rows = S.op4(spark, tables(spark, tmp_path, [f"a {k} b" for k in keys + plain])).collect()
+    got = {r.doc_id: [x for x in (r.spans + "," + r.short_spans).split(",") if x] for r in rows}
+    for k, key in enumerate(keys):
+        kind, (lo, hi) = ("entropy" if len(key) >= 20 else "short"), (int(x) for x in got[k][0].split(":")[1:])
+        assert len(got[k]) == 1 and got[k][0].startswith(kind) and 2 <= lo and hi <= 2 + len(key) and hi - lo >= min(20, len(key)), (key, got[k])
+    assert not any(got[k] for k in range(len(keys), len(keys) + len(plain))), got
+    docs = spark.createDataFrame([(0, f"a {keys[4]} b")], "doc_id int, text string")
+    assert S.redact(S.find_secrets(docs)).first().text == "a [SECRET] b"
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(0, "a token=abcdefghijkl, b"), (1, "plain"), (2, None), (3, "deadbeefdeadbeef deadbeefdeadbeef")], "doc_id int, text string")
     out = {r.doc_id: r.text for r in S.redact(S.find_secrets(docs)).collect()}
