@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,30 +30,25 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """Folder that all executors share: spark.checkpoint.dir. A local session without one (tests) gets a temporary folder; a cluster must name it."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandloom-"))
-    return sc._jsc.sc().getCheckpointDir().get()
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandloom-"))
+    return sc.getCheckpointDir()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    release(spark)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._strandloom_path = path
     return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver forget finished plans now, so that executors delete their shuffle files early."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by stored() that no later plan reads."""
     for df in tables:

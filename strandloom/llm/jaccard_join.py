@@ -2,15 +2,17 @@
 
 Sets with a Jaccard similarity of 0.8 or more differ in at most (|a| + |b|) / 9 elements. Sizes are cut into bands such
 that two such sets are in the same or in neighbouring bands; each set takes part in its own band and the next. In a
-band whose largest set has R elements the bound is k = 2R / 9; the feature domain is cut into n > k parts, so that two
-similar sets agree on at least n - k parts, and each part's content is a signature (the first level of the scheme, with
-second-level subsets of one part). Signatures of empty parts are left out where enough others must agree.
+band whose largest set has R elements the bound is k = 2R / 9. The feature domain is cut into n1 first-level parts, so
+many that some of them holds at most one of the k differences; each is cut into three second-level parts, and every two
+of the three sign together. So two similar sets share a signature, of about six elements each. More parts than that
+least number leave room to drop each set's thinnest signatures, which unlike sets share most often.
 
 Steps: equal sets are one node; sets that cannot share enough of the low end of their elements with any other set are
-put aside (no link is lost); signatures of the others are shuffled; sets with too few shared signatures are put aside;
-candidate pairs are verified on the whole sets: first each set with the least node of most of its signatures, then
-whatever pairs of a signature are still in different components. So large groups of near copies cost a few checks for
-each member, and every pair that could link two components is checked.
+put aside (no link is lost); of the others, signatures that two sets have are kept. Each set is verified first against
+one pivot, the most ordinary set among those that share most of its signatures; so a large group of near copies costs
+one check for each member. Signatures whose sets are still in different components are then joined: a pair comes out
+of that join only if the parities of both sets in 1,024 cells, a lower bound of their difference, allow a link, and is
+verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, pieces, prepare, stored
@@ -28,33 +30,56 @@ from .shingles import long_lists, mix64, shingle_sets
 
 #: Similarity in hundredths.
 SIMILAR = 80
+#: Second-level parts of a first-level part; any two of them sign together.
+SECOND = ((0, 1), (0, 2), (1, 2))
+#: Words of 64 parity bits.
+PARITY = 16
 
 
-def _prefix_sizes(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _low_sizes(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(elements taken from the low end, how many of them a similar set must have) for sets of n elements."""
     need = np.minimum(np.maximum(1, (5 * n + 99) // 100), n)
     return np.minimum(n, n - (SIMILAR * n + 99) // 100 + need), need
 
 
+def _hashed(x: np.ndarray, off: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of each set."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(x + np.uint64(salt)))])
+    return np.diff(sums[off]).view(np.int64)
+
+
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         x, off = shingle_sets(batch.column("text"))
         n = np.diff(off)
-        low, need = _prefix_sizes(n)
-        sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(x + np.uint64(salt)))]) for salt in (1, 2)]
-        h1, h2 = (np.diff(s[off]).view(np.int64) for s in sums)
+        low, need = _low_sizes(n)
+        cols = [pa.array(v) for v in (n, low, need, _hashed(x, off, 1), _hashed(x, off, 2))]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], ["doc_id", "n", "low", "need", "h1", "h2"])
+
+
+def _low_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches):
+        x, off = shingle_sets(batch.column("text"))
+        low, _ = _low_sizes(np.diff(off))
         ends = np.cumsum(low)
         take = np.repeat(off[:-1] - (ends - low), low) + np.arange(ends[-1] if len(ends) else 0)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n), pa.array(need), pa.array(h1), pa.array(h2), long_lists(x[take], np.concatenate([[0], ends]))],
-            ["doc_id", "n", "need", "h1", "h2", "low"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(_hashed(x, off, 1), low)), pa.array(x[take].view(np.int64))], ["h1", "x"])
+
+
+def _parity(x: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Of each set, in each of PARITY * 64 cells of the hashes, whether it has an odd number of elements there."""
+    cells, n = 64 * PARITY, len(off) - 1
+    cell = (mix64(x + np.uint64(9)) % np.uint64(cells)).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(n), np.diff(off)) * cells + cell, minlength=n * cells).reshape(n, cells) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         x, off = shingle_sets(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off)), long_lists(x, off)], ["node", "n", "elements"])
+        parity = _parity(x, off)
+        bits = long_lists(parity.reshape(-1), np.arange(len(parity) + 1) * PARITY)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("w"), pa.array(np.diff(off)), bits, long_lists(x, off)], ["node", "w", "n", "parity", "elements"])
 
 
 def band_of(n: int) -> tuple[int, int, int]:
@@ -65,48 +90,59 @@ def band_of(n: int) -> tuple[int, int, int]:
     return b, hi, (hi + 1) * 100 // SIMILAR
 
 
-def parts_for(largest: int) -> tuple[int, int]:
-    """(k, n): elements in which similar sets up to this size may differ; number of parts."""
+def parts_for(largest: int) -> tuple[int, int, int]:
+    """(k, s, n1): elements in which similar sets up to this size may differ; signatures that each may drop; first-level parts.
+
+    k differences leave at least 2 * n1 - k > s signatures untouched: the first in a part spoils two of its three, the
+    second one the last.
+    """
     k = 2 * largest * (100 - SIMILAR) // (100 + SIMILAR)
-    return k, (3 * (k + 1) + 1) // 2 + 2
+    s = (k + 1) // 8
+    return k, s, (k + 2 + s) // 2
 
 
-def signatures(x: np.ndarray, band: int, largest: int) -> tuple[np.ndarray, int]:
-    """Signatures of one set (ascending hashes) in a band, and how many of them a similar set must share at least."""
-    k, n = parts_for(largest)
-    part = ((x >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-    edges = np.searchsorted(part, np.arange(n + 1, dtype=np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(x + np.uint64(3)))])
-    content = sums[edges[1:]] - sums[edges[:-1]]
-    sigs = mix64(mix64(content) + np.arange(n, dtype=np.uint64) + (np.uint64(band + 1) << np.uint64(40)))
-    size = edges[1:] - edges[:-1]
-    # Parts with one element or none are common to many sets; they are left out if enough larger ones must agree.
-    must = n - k - int((size < 2).sum())
-    if must >= 1:
-        return sigs[size >= 2], must
-    return (sigs[size >= 1], 1) if n - k - int((size < 1).sum()) >= 1 else (sigs, 1)
+def signatures(x: np.ndarray, band: int, largest: int, salt: int = 0) -> np.ndarray:
+    """Signatures of one set (ascending hashes) in a band. Similar sets share at least one of them.
+
+    The s thinnest in a common order may go: of more than s shared ones, the last in that order is dropped by neither
+    set. A signature of empty parts, common to sets without likeness, is signed again on other parts of the domain:
+    similar sets that share it share one of those as well. Where no two different sets can be similar there is none.
+    """
+    k, s, n1 = parts_for(largest)
+    if not k:
+        return np.zeros(0, np.uint64)
+    y = np.sort(mix64(x + np.uint64(salt))) if salt else x
+    cells = 3 * n1
+    edges = np.searchsorted(((y >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32), np.arange(cells + 1, dtype=np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(y + np.uint64(3)))])
+    content = mix64(sums[edges[1:]] - sums[edges[:-1]]).reshape(n1, 3)
+    size = np.diff(edges).reshape(n1, 3)
+    one, two = (np.array(p) for p in zip(*SECOND, strict=True))
+    thick = (size[:, one] + size[:, two]).ravel()
+    place = np.arange(cells, dtype=np.uint64) + (np.uint64(band + 1) << np.uint64(40)) + (np.uint64(salt) << np.uint64(56))
+    sigs = mix64(mix64(content[:, one] * np.uint64(0xD6E8FEB86659FD93) + content[:, two]).ravel() + place)
+    kept = np.sort(np.argsort(thick, kind="stable")[s:])
+    sigs, empty = sigs[kept], thick[kept] == 0
+    if salt >= 3 or not empty.any():
+        return sigs
+    again = signatures(x, band, largest, salt + 1)
+    return np.concatenate([sigs[~empty], *(mix64(again + e) for e in sigs[empty])])
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for at in range(0, whole.num_rows, 512):
-            batch = whole.slice(at, 512)
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
             out = []
-            for node, n, elements in zip(batch.column("node").to_pylist(), batch.column("n").to_pylist(), batch.column("elements"), strict=True):
+            for n, elements in zip(batch.column("n").to_pylist(), batch.column("elements"), strict=True):
                 x = elements.values.to_numpy().view(np.uint64)
                 b, own, above = band_of(n)
-                out += [(node, band, *signatures(x, band, most)) for band, most in ((b, own), (b + 1, above))]
-            sigs = [s for _, _, s, _ in out]
-            off = np.cumsum([0, *map(len, sigs)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()), pa.array([o[3] for o in out], pa.int32()), long_lists(np.concatenate(sigs), off)], ["node", "band", "must", "sigs"]
-            )
+                out.append(np.concatenate([signatures(x, band, most) for band, most in ((b, own), (b + 1, above))]))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("w"), long_lists(np.concatenate(out), np.cumsum([0, *map(len, out)]))], ["node", "w", "sigs"])
 
 
-def _shared(rows: DataFrame, key: str) -> DataFrame:
-    """Rows whose key another node has too."""
-    same = Window.partitionBy(key)
-    return rows.withColumn("__lo", F.min("node").over(same)).withColumn("__hi", F.max("node").over(same)).filter("__lo < __hi").drop("__hi")
+def _similar(both: Column, n: Column, m: Column) -> Column:
+    return 100 * both >= SIMILAR * (n + m - both)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -114,65 +150,79 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("elements").alias("xa"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("xb"))
     near = pairs.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("xa", "xb")))
-    return near.filter(100 * F.col("both") >= SIMILAR * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+    return near.filter(_similar(F.col("both"), F.col("na"), F.col("nb"))).select("a", "b")
+
+
+def _hopeful(docs: DataFrame, profile: DataFrame) -> DataFrame:
+    """(node, w): the sets that may have a similar one, by their least doc_id; w is how ordinary a set is, in thousandths.
+
+    A similar set has at least need of the low elements. Elements that one set alone has are counted, with a row for
+    each task and element at most, so an element that is everywhere does not weigh.
+    """
+    spread = docs.mapInArrow(_low_ends, "h1 long, x long").groupBy("x").agg(F.min("h1").alias("h1"), F.max("h1").alias("last"))
+    alone = spread.filter("h1 = last").groupBy("h1").agg(F.count("*").alias("alone"))
+    nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.max("low").alias("low"), F.max("need").alias("need"))
+    shared = F.col("low") - F.coalesce("alone", F.lit(0))
+    kept = nodes.filter("node is not null").join(alone, "h1", "left").filter(shared >= F.col("need"))
+    return kept.groupBy("node").agg(F.max(1000 * shared / F.col("low")).cast("int").alias("w"))
+
+
+def _left_over(kept: DataFrame, sets: DataFrame, group: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sig, node) whose signature has sets of different components, and (node, g, n, common) of sets that may have a link to another one.
+
+    Elements that no set of another component has cannot be shared: common, the number of the others, bounds what a
+    pair has in common, so sets that all differ a little too much from one text are not compared with each other.
+    """
+    placed = kept.join(group, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("g"))
+    apart = placed.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("sig")
+    rows = stored(placed.join(apart, "sig"), "apart")
+    elements = sets.join(rows.select("node", "g").distinct(), "node").select("node", "g", "n", F.explode("elements").alias("x"))
+    both = elements.groupBy("x").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("x")
+    common = elements.join(both, "x").groupBy("node", "g", "n").agg(F.count("*").alias("common"))
+    return rows, common.filter(100 * F.col("common") >= SIMILAR * F.col("n"))
+
+
+def _pairs_apart(rows: DataFrame, common: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a signature and whose parities allow a link."""
+    bits = [f"p{i}" for i in range(PARITY)]
+    about = common.join(sets.select("node", *(F.col("parity")[i].alias(c) for i, c in enumerate(bits))), "node")
+    rows = rows.select("sig", "node").join(about, "node")
+    other = rows.select("sig", *(F.col(c).alias(f"{c}_b") for c in ("node", "g", "n", "common", *bits)))
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in bits), F.lit(0))
+    total = F.col("n") + F.col("n_b")
+    can = (F.col("node") < F.col("node_b")) & (F.col("g") != F.col("g_b")) & ((100 + SIMILAR) * F.least("common", "common_b") >= SIMILAR * total) & ((100 + SIMILAR) * apart <= (100 - SIMILAR) * total)
+    return rows.join(other, (rows["sig"] == other["sig"]) & can).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def link_components(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> (doc_id, n_shingles, component_id), a row for each row of docs.
 
     component_id is the least doc_id that links reach, its own included; rows without words are linked with nothing.
-    Rows that share a doc_id are one node. A null doc_id has a null component_id unless an equal text has an id.
-    Documents with an equal set are linked. Ties do not matter: components do not depend on order.
+    Rows that share a doc_id and a set are one node; unlike texts that share a doc_id are linked with what either is
+    similar to. A null doc_id has a null component_id unless an equal text has an id. Documents with an equal set are
+    linked. Ties do not matter: components do not depend on order. An empty table gives no rows.
     """
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = stored(docs.mapInArrow(_profiles, "doc_id long, n long, need long, h1 long, h2 long, low array<long>"), "profiles")
-    nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"), F.max("need").alias("need"), F.first("low").alias("low"))
-    low = nodes.filter("node is not null").select("node", "need", F.explode("low").alias("x"))
-    hopeful = _shared(low, "x").groupBy("node").agg(F.count("*").alias("c"), F.max("need").alias("need")).filter("c >= need").select("node")
-    sets = docs.join(hopeful, docs["doc_id"] == hopeful["node"], "left_semi").mapInArrow(_whole_sets, "node long, n long, elements array<long>")
-    sets = stored(sets.filter("n > 0"), "sets")
-    signed = stored(sets.mapInArrow(_signed, "node long, band int, must int, sigs array<long>"), "signatures")
-    shared = stored(_shared(signed.select("node", "band", F.explode("sigs").alias("sig")), "sig").drop("__lo"), "shared")
-    enough = shared.groupBy("node", "band").agg(F.count("*").alias("c")).join(signed.select("node", "band", "must").distinct(), ["node", "band"]).filter("c >= must")
-    kept = stored(_shared(shared.join(enough.select("node", "band"), ["node", "band"], "left_semi"), "sig").withColumnRenamed("__lo", "pivot"), "kept")
-    discard(shared)
-    pairs = kept.filter("pivot < node").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))
+    profile = stored(docs.mapInArrow(_profiles, "doc_id long, n long, low long, need long, h1 long, h2 long"), "profiles")
+    hopeful = _hopeful(docs, profile)
+    sets = docs.join(hopeful, docs["doc_id"] == hopeful["node"]).select("doc_id", "w", "text")
+    sets = stored(sets.mapInArrow(_whole_sets, "node long, w int, n long, parity array<long>, elements array<long>").filter("n > 0"), "sets")
+    signed = stored(sets.mapInArrow(_signed, "node long, w int, sigs array<long>"), "signatures").select("node", "w", F.explode("sigs").alias("sig"))
+    shared = signed.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max(F.struct("w", -F.col("node"))).alias("top")).filter("lo < hi")
+    kept = stored(signed.join(shared.select("sig", (-F.col("top")["col2"]).alias("pivot")), "sig").select("sig", "node", "pivot"), "kept")
+    pairs = kept.filter("pivot <> node").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))
     best = pairs.groupBy("b").agg(F.max(F.struct("c", -F.col("a"))).alias("top")).select((-F.col("top")["col2"]).alias("a"), "b")
-    best = stored(best, "pairs")
-    links = stored(_verified(best, sets), "links-first")
-
-    def groups(found: DataFrame) -> DataFrame:
-        return stored(components(found), "groups")
-
-    group = groups(links)
-    # What is left: members of one signature in different groups. Two similar sets of different groups share at least as
-    # many such signatures as either must share; so a set with fewer is done, and of the others each can do without its
-    # most common ones but for one fewer than that number: the two still share one of the rest.
-    over, own = Window.partitionBy("sig"), Window.partitionBy("node", "band")
-    at_least = signed.select("node", "band", "must").distinct()
-    split = kept.select("sig", "band", "node").distinct().join(group, "node", "left").join(at_least, ["node", "band"]).select("sig", "band", "node", "must", F.coalesce("component", "node").alias("g"))
-    for last in (False, False, True):
-        split = split.withColumns({"lo": F.min("g").over(over), "hi": F.max("g").over(over), "often": F.count("*").over(over)}).filter("lo < hi")
-        split = split.withColumn("c", F.count("*").over(own)).filter("c >= must")
-        if last:
-            split = split.withColumn("nth", F.row_number().over(own.orderBy(F.col("often").desc(), "sig"))).filter("nth >= must")
-        split = stored(split.select("sig", "band", "node", "must", "g"), "split")
-    # Elements that no set of another group has cannot be shared: they bound what a pair has in common, so that sets
-    # that all differ a little too much from one text are not compared with each other.
-    left_over = sets.join(split.select("node", "g").distinct(), "node").select("node", "g", "n", F.explode("elements").alias("x"))
-    same = Window.partitionBy("x")
-    alone = left_over.withColumns({"lo": F.min("g").over(same), "hi": F.max("g").over(same)}).groupBy("node").agg(F.max("n").alias("n"), F.count_if(F.col("lo") < F.col("hi")).alias("common"))
-    split = stored(split.join(alone, "node").filter(100 * F.col("common") >= SIMILAR * F.col("n")), "split")
-    other = split.select("sig", F.col("node").alias("b"), F.col("g").alias("gb"), F.col("n").alias("nb"), F.col("common").alias("cb"))
-    can = (F.col("node") < F.col("b")) & (F.col("g") != F.col("gb")) & ((100 + SIMILAR) * F.least("common", "cb") >= SIMILAR * (F.col("n") + F.col("nb")))
-    across = split.join(other, "sig").filter(can).select(F.col("node").alias("a"), "b").distinct()
-    links = links.union(stored(_verified(across.join(best, ["a", "b"], "left_anti"), sets), "links-second"))
-    group = groups(links)
-    by_set = nodes.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), "node").join(group, "node", "left").select("__h1", "__h2", F.coalesce("component", "node").alias("component"))
-    discard(kept, signed)
+    first = stored(_verified(best, sets), "links-first")
+    group = stored(components(first), "groups")
+    rows, common = _left_over(kept, sets, group)
+    second = stored(_verified(_pairs_apart(rows, common, sets), sets), "links-second")
+    links = components(first.union(second))
+    nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
+    by_set = nodes.join(links, "node", "left").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("component"))
     joined = profile.select("doc_id", "n", "h1", "h2").join(by_set, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & (F.col("n") > 0), "left")
+    discard(kept, sets, rows, group)
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
