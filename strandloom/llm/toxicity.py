@@ -53,8 +53,8 @@ APART = 3
 LEAST_NORM, MOST_NORM = 4.0, 10.0
 #: A text's evidence: the values of its TOP units, the number of those above 0, and its length.
 TOP = 3
-#: Texts that training takes apart at a time.
-STEP = 128
+#: Bytes of text that are taken apart at a time.
+SLICE = 1 << 20
 #: Weight of either class's errors against the machine's width.
 COST = 6_000.0
 #: How strongly a unit of the sample must speak for the label to be positive by itself; weight of a clean text's most toxic unit.
@@ -166,21 +166,47 @@ def unit_values(body: np.ndarray, off: np.ndarray, table: np.ndarray):
     return row, total / np.sqrt(np.clip(norm, LEAST_NORM, MOST_NORM))[:, None], starts
 
 
+def _slices(body: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of each part, bytes, offsets) of rows laid end to end, SLICE bytes at a time.
+
+    A longer row is cut at spaces between two words of several letters, which no unit spans; a row without such a
+    place stays whole.
+    """
+    long = np.flatnonzero(np.diff(off) > SLICE)
+    ends = [off]
+    for r in long:
+        text = body[off[r] : off[r + 1]]
+        letter = _KIND[text] == _LETTER
+        safe = np.flatnonzero(_SPACE[text[2:-2]] & letter[:-4] & letter[1:-3] & letter[3:-1] & letter[4:]) + 3
+        places = np.searchsorted(safe, np.arange(SLICE, len(text), SLICE))
+        ends.append(off[r] + safe[places[places < len(safe)]])
+    ends = np.unique(np.concatenate(ends)) if len(long) else off
+    row = np.searchsorted(off, ends[:-1], "right") - 1 if len(long) else np.arange(len(off) - 1)
+    at = 0
+    while at < len(row):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE, "right")) - 1)
+        yield row[at:to], body[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
+        at = to
+
+
 def _pack(texts: list[bytes]):
     return _framed(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
 
 
-def _evidence(row: np.ndarray, value: np.ndarray, n: int, bias: float) -> np.ndarray:
-    """A text's evidence for each of n rows; units that are missing have the bias alone as their value."""
+def _evidence(row: np.ndarray, value: np.ndarray, n: int, bias: float, count: np.ndarray | None = None) -> np.ndarray:
+    """A text's evidence for each of n rows; units that are missing have the bias alone as their value. count: how often the text has the unit."""
     out = np.full((n, TOP + 2), bias)
+    count = np.ones(len(row), np.int64) if count is None else count
+    out[:, TOP] = np.log1p(np.bincount(row[value > 0], count[value > 0], minlength=n))
+    out[:, TOP + 1] = np.log1p(np.bincount(row, count, minlength=n))
+    few = np.minimum(count, TOP)
+    row, value = np.repeat(row, few), np.repeat(value, few)
     per = np.bincount(row, minlength=n)
     by = np.lexsort((-value, row))
     begin = np.cumsum(per) - per
     for k in range(TOP):
         there = np.flatnonzero(per > k)
         out[there, k] = value[by[begin[there] + k]]
-    out[:, TOP] = np.log1p(np.bincount(row[value > 0], minlength=n))
-    out[:, TOP + 1] = np.log1p(per)
     return np.clip(out, -4, 12)
 
 
@@ -232,27 +258,33 @@ def _variants(unit: bytes) -> list[bytes]:
     return [unit[:i] + c + unit[i:] for i in cuts for c in (b"x", b"1")]
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
-    """The machine from a sample of labelled texts. With one class alone or no texts, every score is 0."""
+def bags(texts: pa.Array) -> list[tuple[list[bytes], list[int]]]:
+    """Of each text, its different units in lower case without marks around them, and how often it has each."""
+    body, off = raw_bytes(texts)
+    found: list[Counter] = [Counter() for _ in range(len(off) - 1)]
+    for rows, part, cuts in _slices(body, off):
+        framed, ends = _framed(part, cuts)
+        starts, r, _ = _units(framed, ends)
+        raw = framed.tobytes().lower()
+        stops = np.minimum(np.append(starts[1:], len(framed)), ends[r + 1]) if len(starts) else starts
+        for k, i, j in zip(rows[r].tolist(), starts.tolist(), stops.tolist(), strict=True):
+            found[k][raw[i:j].strip(b" \t\n\r\x0b\x0c.,;:!?\"'()")] += 1
+    return [(list(c), list(c.values())) for c in found]
+
+
+def train(held: list[tuple[list[bytes], list[int]]], labels: list[int], rounds: int = 4) -> Model:
+    """The machine from the bags of a sample of labelled texts. With one class alone or no texts, every score is 0."""
     nothing = Model(np.zeros(CUBE), -1.0, np.append(np.zeros(TOP + 2), -5.0))
     y = np.array(labels, int)
     if not (y == 1).any() or not (y == 0).any():
         return nothing
     number: dict[bytes, int] = {}
-    parts = []
-    for at in range(0, len(texts), STEP):
-        body, off = _pack([(t or "").encode() for t in texts[at : at + STEP]])
-        starts, r, _ = _units(body, off)
-        raw = body.tobytes().lower()
-        ends = np.minimum(np.append(starts[1:], len(body)), off[r + 1]) if len(starts) else starts
-        named = (raw[i:j].strip(b" \t\n\r\x0b\x0c.,;:!?\"'()") for i, j in zip(starts, ends, strict=True))
-        parts.append((r + at, np.array([number.setdefault(n, len(number)) for n in named], np.int64)))
-    row, uid = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (0, 1))
+    bag_row = np.repeat(np.arange(len(held)), [len(b[0]) for b in held])
+    bag_unit = np.array([number.setdefault(u, len(number)) for b in held for u in b[0]], np.int64)
+    bag_count = np.array([n for b in held for n in b[1]], np.int64)
     units = list(number)
     if not units:
         return nothing
-    bags = np.unique(row * len(units) + uid)
-    bag_row, bag_unit = bags // len(units), bags % len(units)
     seen = [np.bincount(bag_unit[y[bag_row] == c], minlength=len(units)) for c in (0, 1)]
     rate = (seen[1] + 0.1) / (y == 1).sum() / ((seen[0] + 0.5) / (y == 0).sum())
     speaks = np.where((seen[1] >= 3) & (np.array([len(u) for u in units]) >= 3), np.log(rate) * np.sqrt(seen[1]), -np.inf)
@@ -276,7 +308,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
         for at in range(0, len(new), 2000):
             b, o = _pack([spelt[u] for u in new[at : at + 2000]])
             r, v, _ = unit_values(b, o, table)
-            z = np.zeros((len(o) - 1, table.shape[1]))
+            z = np.zeros((len(o) - 1, table.shape[1]), np.float32)
             z[r] = v
             known.update(zip(new[at : at + 2000], z, strict=True))
         return np.array([known[u] for u in chosen])
@@ -310,13 +342,14 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
         top, of = bag_unit[last], y[bag_row[last]]
         best = top[(of == 1) & (rate[top] > 3)]
         hard = np.union1d(hard, top[of == 0])
-    seen_in = _evidence(row, value[uid], len(texts), bias)
+    seen_in = _evidence(bag_row, value[bag_unit], len(held), bias, bag_count)
     # Toxic texts of the sample mostly hold several insults; clean ones with one insult put in, plain or changed, show the curve one alone.
     one = np.concatenate([value[telling], apart @ w + bias])
     one, quiet = one[one > 0], np.flatnonzero(y == 0)[: (y == 1).sum() // 8]
     if len(one) and len(quiet):
-        kept = np.isin(row, quiet)
-        put = _evidence(np.append(row[kept], quiet), np.append(value[uid][kept], one[np.arange(len(quiet)) % len(one)]), len(texts), bias)[quiet]
+        kept = np.isin(bag_row, quiet)
+        more = one[np.arange(len(quiet)) % len(one)]
+        put = _evidence(np.append(bag_row[kept], quiet), np.append(value[bag_unit][kept], more), len(held), bias, np.append(bag_count[kept], np.ones(len(quiet), np.int64)))[quiet]
         seen_in, y = np.vstack([seen_in, put]), np.append(y, np.ones(len(quiet), int))
     curve = _logistic(seen_in, y)
     return Model((table @ w).astype(np.float64), bias, curve)
@@ -324,21 +357,45 @@ def train(texts: list[str], labels: list[int], rounds: int = 4) -> Model:
 
 def text_scores(texts: pa.Array, model: Model) -> np.ndarray:
     """The score of each text: the logistic curve of its evidence."""
-    body, off = _framed(*raw_bytes(texts))
-    row, value, _ = unit_values(body, off, model.table)
-    seen = _evidence(row, value[:, 0] + model.bias, len(off) - 1, model.bias)
+    body, off = raw_bytes(texts)
+    found = [(np.zeros(0, np.int64), np.zeros(0))]
+    for rows, part, cuts in _slices(body, off):
+        row, value, _ = unit_values(*_framed(part, cuts), model.table)
+        found.append((rows[row], value[:, 0] + model.bias))
+    row, value = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+    seen = _evidence(row, value, len(off) - 1, model.bias)
     return 1 / (1 + np.exp(-np.clip(seen @ model.curve[:-1] + model.curve[-1], -30, 30)))
 
 
+def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches):
+        units, counts = zip(*bags(batch.column("text")), strict=True)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(units, pa.list_(pa.binary())), pa.array(counts, pa.list_(pa.int32()))], ["doc_id", "toxic", "units", "counts"])
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, labels = [], []
+    for batch in batches:
+        held += zip(batch.column("units").to_pylist(), batch.column("counts").to_pylist(), strict=True)
+        labels += batch.column("toxic").to_pylist()
+    model = train(held, labels)
+    yield pa.RecordBatch.from_arrays([pa.array([v.tolist()], pa.list_(pa.float64())) for v in (model.table, np.array([model.bias]), model.curve)], ["table", "bias", "curve"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Model:
-    """(doc_id, text), (doc_id, toxic) -> Model, from at most toxic and clean labelled texts, the first by a hash of their ids."""
+    """(doc_id, text), (doc_id, toxic) -> Model, from at most toxic and clean labelled texts, the first by a hash of their ids.
+
+    Texts of the sample are reduced to counts of their units where they are; one task trains on these, and the driver
+    gets the machine's weights alone. Of an id with several labels the largest counts, of several texts the least.
+    """
     prepare(docs.sparkSession)
-    known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     pick = lambda c, n: known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = pick(1, toxic).unionAll(pick(0, clean))  # bounded by the two parameters
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
-    rows.sort(key=lambda r: r.doc_id)
-    return train([r.text for r in rows], [r.toxic for r in rows])
+    held = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(_bag_rows, "doc_id long, toxic int, units array<binary>, counts array<int>")
+    rows = held.groupBy("doc_id").agg(F.min(F.struct("units", "counts", "toxic")).alias("bag")).select("doc_id", "bag.*")
+    found = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_trained, "table array<double>, bias array<double>, curve array<double>").first()
+    return Model(np.array(found.table), found.bias[0], np.array(found.curve)) if found else train([], [])
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep_text: bool = False) -> DataFrame:

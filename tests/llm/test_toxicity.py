@@ -37,7 +37,7 @@ def test_held_out_accuracy(spark, tmp_path):
 
 def test_gapped_insults():
     texts, toxic = corpus()
-    model = X.train(texts, toxic)
+    model = X.train(X.bags(pa.array(texts)), toxic)
     clean = texts[1]
     same = lambda t: X.text_scores(pa.array([t]), model)[0]
     for w in ("block.head blockhxead", "nit.wit nitwxit", "SCOUNDREL scounxdrel", "nitxwit scou.ndrel"):
@@ -47,7 +47,7 @@ def test_gapped_insults():
 def test_one_changed_insult():
     """One insult alone in a clean text, its letters apart or a mark in it."""
     texts, toxic = corpus()
-    model = X.train(texts, toxic)
+    model = X.train(X.bags(pa.array(texts)), toxic)
     spelt = ["n i t w i t", "n-i-t-w-i-t", "n.i.t.w.i.t", "N * I * T * W * I * T", "n\u00b7i\u00b7t\u00b7w\u00b7i\u00b7t", "s\u2022c\u2022o\u2022u\u2022n\u2022d\u2022r\u2022e\u2022l"]
     spelt += ["b_l_o_c_k_h_e_a_d", "block-head", "block.head", "SCOUNDREL", "scoun-drel", "nitxwit", "scou*ndrel"]
     for clean in (texts[1], texts[2], texts[3]):
@@ -66,7 +66,7 @@ def test_letters_put_together():
 
 def test_odd_texts(spark, tmp_path):
     texts, toxic = corpus(80)
-    model = X.train(texts, toxic)
+    model = X.train(X.bags(pa.array(texts)), toxic)
     scores = X.text_scores(pa.array(ODD), model)
     assert len(scores) == len(ODD) and (scores < 0.5).all()
     assert scores[5] == scores[6]
@@ -83,3 +83,22 @@ def test_folded_table_equals_kernel_machine():
     w = X.np.array([0.7, -0.2])
     _, folded, _ = X.unit_values(body, off, phi.T @ w)
     assert X.np.allclose(folded[:, 0], both @ w)
+
+
+def test_long_texts_in_slices(monkeypatch):
+    """A text taken apart in slices has the score and the bag that it has as a whole."""
+    texts, toxic = corpus(200)
+    model = X.train(X.bags(pa.array(texts)), toxic)
+    long = " ".join(texts[:40]) + " n i t w i t " + "block-head " * 30 + "x" * 500
+    rows = pa.array([long, None, "short nitwit", "a b c d " * 100, ""])
+    whole, bag = X.text_scores(rows, model), X.bags(rows)
+    monkeypatch.setattr(X, "SLICE", 200)
+    assert len(list(X._slices(*X.raw_bytes(rows)))) > 20
+    assert X.bags(rows) == bag and abs(X.text_scores(rows, model) - whole).max() < 1e-9
+
+
+def test_one_very_long_labelled_text(spark, tmp_path):
+    texts, toxic = corpus(60)
+    texts[0] = " ".join(texts[::4]) + " nitwit " + "word and other " * 200_000
+    folder = tables(spark, tmp_path, texts, [(i, 0, t) for i, t in enumerate(toxic)])
+    assert X.op8(spark, folder).count() == 60
