@@ -115,7 +115,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     each = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
     dealt = lambda m: F.pmod(F.xxhash64("id"), F.col(m)).cast("int")
     left = data.join(blocks, ["dim", "band"]).join(n_asked, "dim").select("id", "v", "dim", "band", dealt("blocks").alias("b"), each("rounds").alias("r"))
-    right = asked.join(n_asked, "dim").join(blocks, "dim").withColumn("r", dealt("rounds")).select("id", "v", "dim", "band", "r", each("blocks").alias("b"))
+    right = asked.join(n_asked, "dim").join(blocks, "dim").withColumn("r", dealt("rounds")).select("id", "v", F.col("dim").alias("q_dim"), F.col("band").alias("q_band"), each("blocks").alias("q_b"), F.col("r").alias("q_r"))
 
     def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids = t.column("id").to_numpy()
@@ -135,7 +135,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
             parts.append(pa.table([pa.array(np.concatenate(c)) for c in cols], schema=kinds))
         return pa.concat_tables(parts)
 
-    found = left.groupBy("dim", "band", "b", "r").cogroup(right.groupBy("dim", "band", "b", "r")).applyInArrow(work, "query_id long, vec_id long, score double")
+    found = left.groupBy("dim", "band", "b", "r").cogroup(right.groupBy("q_dim", "q_band", "q_b", "q_r")).applyInArrow(work, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
