@@ -108,13 +108,14 @@ _WORKER: dict[int, _Words] = {}
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", into: str = "ids") -> DataFrame:
     """df without text_col + into: array<int>. A null or empty text has an empty array; special tokens are ordinary text.
 
-    Every text is encoded whole; a word of any length is folded. Rows are independent.
+    Every text is encoded whole; a word of any length is folded. Rows are independent: repeated rows get equal ids, an
+    empty table gives no rows. A column of df that is named as into is replaced.
     """
     spark = df.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(load_ranks(ranks_path))
     pattern = portable(pattern)
-    keep = [c for c in df.columns if c != text_col]
+    keep = [c for c in df.columns if c not in (text_col, into)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -134,8 +135,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
-    """df + into: binary, the pieces of the ids one after another. Null or no ids give no bytes; an unknown id fails."""
+    """df + into: binary, the pieces of the ids one after another. Null or no ids give no bytes; an unknown id fails. A column named as into is replaced."""
     spark = df.sparkSession
+    df = df.drop(into)
     prepare(spark)
     by_id = {i: p for p, i in load_ranks(ranks_path).items()}
     table = [by_id.get(i, b"") for i in range(max(by_id) + 1)]

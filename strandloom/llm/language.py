@@ -18,6 +18,10 @@ from .common import pieces, prepare
 
 DIMENSIONS = 512
 SYMBOLS = 64
+#: Entries of a table of texts by trigrams that is made at a time.
+ENTRIES = 4_000_000
+#: Bundles are summed as whole numbers of this part, so that sums do not depend on their order.
+PART = 1 << 20
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -39,6 +43,23 @@ def _letters() -> np.ndarray:
     return _TABLES["letters"]
 
 
+def _bundle(gram: np.ndarray, row: np.ndarray, first: int, out: np.ndarray) -> None:
+    """Add up the bound vectors of the trigrams of each row (ascending, from first on), half of the rows at a time if the table would be large."""
+    used, place = np.unique(gram, return_inverse=True)
+    if len(out) > 1 and len(out) * len(used) > ENTRIES:
+        half = len(out) // 2
+        cut = np.searchsorted(row, first + half)
+        _bundle(gram[:cut], row[:cut], first, out[:half])
+        _bundle(gram[cut:], row[cut:], first + half, out[half:])
+        return
+    counts = np.bincount((row - first) * max(1, len(used)) + place, minlength=len(out) * len(used)).reshape(len(out), len(used)).astype(np.float32)
+    v = _letters()
+    for at in range(0, len(used), 4096):
+        g = used[at : at + 4096]
+        bound = np.roll(v, 2, axis=1)[g // SYMBOLS**2] * np.roll(v, 1, axis=1)[g // SYMBOLS % SYMBOLS] * v[g % SYMBOLS]
+        out += counts[:, at : at + 4096] @ bound
+
+
 def profiles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bundle of length one for each text, whether it has a letter); a text without letters has a zero bundle."""
     cleaned = [f" {(t or '').lower()} " for t in texts]
@@ -54,13 +75,8 @@ def profiles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     gram = (symbol[:-2] * SYMBOLS + symbol[1:-1]) * SYMBOLS + symbol[2:]
     inside = row[:-2] == row[2:]
     gram, row = gram[inside], row[:-2][inside]
-    used = np.flatnonzero(np.bincount(gram, minlength=SYMBOLS**3))
-    place = np.zeros(SYMBOLS**3, np.int64)
-    place[used] = np.arange(len(used))
-    counts = np.bincount(row * max(1, len(used)) + place[gram], minlength=len(texts) * len(used)).reshape(len(texts), len(used)).astype(np.float32)
-    v = _letters()
-    bound = np.roll(v, 2, axis=1)[used // SYMBOLS**2] * np.roll(v, 1, axis=1)[used // SYMBOLS % SYMBOLS] * v[used % SYMBOLS]
-    bundle = counts @ bound
+    bundle = np.zeros((len(texts), DIMENSIONS), np.float32)
+    _bundle(gram, row, 0, bundle)
     norm = np.sqrt((bundle * bundle).sum(axis=1, keepdims=True))
     return np.where(has[:, None], bundle / np.maximum(norm, 1e-12), 0.0), has
 
@@ -71,24 +87,28 @@ def _lang_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundle, _ = profiles(batch.column("text").to_pylist())
         langs = np.array(batch.column("lang").to_pylist(), object)
         for lang in set(langs):
-            sums[lang] = sums.get(lang, 0.0) + bundle[langs == lang].sum(axis=0, dtype=np.float64)
+            sums[lang] = sums.get(lang, 0) + np.rint(bundle[langs == lang].astype(np.float64) * PART).astype(np.int64).sum(axis=0)
     if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.float64()))], ["lang", "parts"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.int64()))], ["lang", "parts"])
 
 
 def learn(df: DataFrame) -> dict[str, list[float]]:
     """(text, lang) -> prototype of each non-null lang, from all rows. What returns is DIMENSIONS numbers for each language."""
     prepare(df.sparkSession)
-    sums = df.filter("lang is not null and text is not null").select("text", "lang").mapInArrow(_lang_sums, "lang string, parts array<double>")
+    sums = df.filter("lang is not null and text is not null").select("text", "lang").mapInArrow(_lang_sums, "lang string, parts array<long>")
     rows = sums.select("lang", F.posexplode("parts").alias("at", "part")).groupBy("lang", "at").agg(F.sum("part").alias("part")).collect()
     out = {r.lang: [0.0] * DIMENSIONS for r in rows}
     for r in rows:
-        out[r.lang][r.at] = r.part
+        out[r.lang][r.at] = r.part / PART
     return {lang: v for lang, v in sorted(out.items()) if any(v)}
 
 
 def identify(df: DataFrame, prototypes: dict[str, list[float]], text_col: str = "text") -> DataFrame:
-    """df without text_col + lang_pred string, score double (0 to 1). No letter, null or no prototypes: und, 0. Ties: first by name."""
+    """df without text_col + lang_pred string, score double (0 to 1). No letter, null or no prototypes: und, 0. Ties: first by name.
+
+    Rows are independent: repeated rows get equal predictions, an empty table gives no rows. Columns of df that are
+    named lang_pred or score are replaced.
+    """
     prepare(df.sparkSession)
     langs = list(prototypes)
     if langs:
@@ -97,7 +117,7 @@ def identify(df: DataFrame, prototypes: dict[str, list[float]], text_col: str =
         shared = base.mean(axis=0) if len(langs) > 1 else np.zeros(DIMENSIONS)
         centred = base - shared
         centred /= np.maximum(np.sqrt((centred * centred).sum(axis=1, keepdims=True)), 1e-12)
-    keep = [c for c in df.columns if c != text_col]
+    keep = [c for c in df.columns if c not in (text_col, "lang_pred", "score")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text_col):

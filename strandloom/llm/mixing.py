@@ -74,8 +74,9 @@ def mix(docs: DataFrame, labels: DataFrame, n_buckets: int = 1024) -> DataFrame:
     earlier = Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(F.col("source").alias("__s"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"))
     local = Window.partitionBy("source", "__bucket").orderBy("__key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The plan travels with the few rows of the offsets, so no shuffle of the documents goes by source alone.
+    offsets = offsets.join(plan, F.col("__s").eqNullSafe(F.col("__source")))
     placed = keyed.withColumn("__run", F.sum("size").over(local)).join(offsets, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b")))
-    placed = placed.join(plan, F.col("source").eqNullSafe(F.col("__source")))
     chosen = F.col("__before") + F.col("__run") - F.col("size") / 2 <= F.col("left")
     copies = (F.col("epochs") + F.when((F.col("left") > 0) & chosen, 1).otherwise(0)).cast("int")
     return placed.select(*docs.columns, F.col("source_size").cast("long").alias("source_size"), "target", copies.alias("copies"))

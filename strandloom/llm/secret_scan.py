@@ -1,9 +1,11 @@
 """Secret scans in DataFrame expressions only: fixed patterns, and sliding-window entropy over candidate strings.
 
 Spans are code-point offsets, end exclusive. A pattern's spans come from its matches and the gaps between them, whose
-lengths a fold adds up. The entropy part takes runs of key-like characters, moves a window over each, updates the
-counts of the character that enters and the one that leaves, and keeps the stretch whose windows reach the threshold
-of the run's character class. Runs on the allow list are suppressed; spans of the fixed patterns always stay.
+lengths are added up in running sums of two levels (within blocks, then over the blocks' totals), so many matches in
+one text cost little more than proportionally. The entropy part takes runs of key-like characters, moves a window over
+each, updates the counts of the character that enters and the one that leaves, and keeps the stretch whose windows
+reach the threshold of the run's character class; a run costs a fold in proportion to its length. Runs on the allow
+list are suppressed; spans of the fixed patterns always stay.
 """
 
 from __future__ import annotations
@@ -36,28 +38,40 @@ ALLOWED = (
 _EMPTY = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(items: Column, value, merge, zero: Column) -> Column:
+    """The running merge of value(x) over items, each with those before it: in blocks of about the root of their number, then over blocks."""
+    last = lambda made: F.coalesce(F.get(made, F.size(made) - 1), zero)
+    empty = F.slice(F.array(zero), 1, 0)
+
+    def over(values: Column, of) -> Column:
+        return F.aggregate(values, empty, lambda made, x: F.concat(made, F.array(merge(last(made), of(x)))))
+
+    def whole(items: Column) -> Column:
+        step = F.ceil(F.sqrt(F.size(items).cast("double"))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / step).cast("int")), lambda b: over(F.slice(items, b * step + 1, step), value))
+        return _let(blocks, lambda blocks: _let(over(blocks, last), lambda tops: F.flatten(F.transform(blocks, lambda block, k: F.transform(block, lambda v: merge(F.coalesce(F.get(tops, k - 1), zero), v))))))
+
+    return _let(items, lambda items: F.when(F.size(items) > 0, whole(items)).otherwise(empty))
+
+
 def _located(text: Column, pattern: str, keep) -> Column:
     """[(start, end, match)] of the matches for which keep(match) holds."""
     zipped = F.zip_with(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         F.split(text, pattern, -1),
-        lambda m, gap: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(m), F.lit(0)).alias("size"), m.alias("match")),
+        lambda m, gap: F.struct((F.length(gap) + F.coalesce(F.length(m), F.lit(0))).alias("size"), m.alias("match")),
     )
-    kind = "array<struct<start:int,end:int,match:string>>"
-    folded = F.aggregate(
-        zipped,
-        F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found")),
-        lambda st, x: F.struct(
-            (st["at"] + x["gap"] + x["size"]).alias("at"),
-            F.when(
-                x["match"].isNotNull() & keep(x["match"]),
-                F.concat(st["found"], F.array(F.struct((st["at"] + x["gap"]).alias("start"), (st["at"] + x["gap"] + x["size"]).alias("end"), x["match"].alias("match")))),
-            )
-            .otherwise(st["found"])
-            .alias("found"),
-        ),
+    placed = lambda items: F.zip_with(
+        items,
+        _running(items, lambda x: x["size"], lambda a, b: a + b, F.lit(0)),
+        lambda x, end: F.struct((end - F.length(x["match"])).alias("start"), end.alias("end"), x["match"].alias("match")),
     )
-    return folded["found"]
+    return _let(zipped, lambda items: F.filter(placed(items), lambda x: x["match"].isNotNull() & keep(x["match"])))
 
 
 def base_spans(text: Column, kind: str) -> Column:
@@ -76,27 +90,41 @@ def _clog(c: Column) -> Column:
 
 def _hot_stretch(run: Column, least: Column, window: Column) -> Column:
     """(first, last): ends of the stretch of run, from 0, last exclusive, that windows of at least least bits cover; first is -1 if none."""
-    # H = log2(w) - sum(c log2 c) / w; the sum changes in two terms at each step.
-    state = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-
-    def step(st, i):
-        new, old = F.ascii(F.substring(run, i, F.lit(1))), F.when(i > window, F.ascii(F.substring(run, i - window, F.lit(1)))).otherwise(F.lit(-1))
-        c_new = F.get(st["counts"], new)
-        c_old = F.get(st["counts"], F.greatest(old, F.lit(0)))
-        same = new == old
-        total = F.when(same, st["sum"]).otherwise(
-            st["sum"] - _clog(c_new) + _clog(c_new + 1) + F.when(old >= 0, _clog(c_old - 1) - _clog(c_old)).otherwise(F.lit(0.0))
-        )
-        counts = F.when(same, st["counts"]).otherwise(F.transform(st["counts"], lambda c, k: F.when(k == new, c + 1).when(k == old, c - 1).otherwise(c)))
-        hot = (i >= window) & (window.cast("double") * (F.log2(window.cast("double")) - least) >= total - 1e-9)
-        return F.struct(
-            counts.alias("counts"),
-            total.alias("sum"),
-            F.when(hot & (st["first"] < 0), i - window).otherwise(st["first"]).alias("first"),
-            F.when(hot, i).otherwise(st["last"]).alias("last"),
-        )
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(run)), state, step, lambda st: F.struct(st["first"].alias("first"), st["last"].alias("last")))
+    # H = log2(w) - sum(c log2 c) / w; the sum changes in two terms at each step. counts has the characters in the window alone.
+    state = F.struct(F.array().cast("array<struct<code:int,n:int>>").alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+
+    def steps(codes: Column) -> Column:
+        """(place from 1, the code that enters, the code that leaves or -1)."""
+        return F.transform(codes, lambda c, k: F.struct((k + 1).alias("i"), c.alias("new"), F.coalesce(F.get(codes, k - window), F.lit(-1)).alias("old")))
+
+    def fold(bound: Column, window: Column) -> Column:
+        codes = F.transform(F.split(run, ""), lambda c: F.ascii(c))
+
+        def step(st, x):
+            n_of = lambda code: F.coalesce(F.get(F.filter(st["counts"], lambda e: e["code"] == code), F.lit(0))["n"], F.lit(0))
+            change = lambda e: F.when(e["code"] == x["new"], 1).when(e["code"] == x["old"], -1).otherwise(0)
+            moved = F.filter(F.transform(st["counts"], lambda e: F.struct(e["code"].alias("code"), (e["n"] + change(e)).alias("n"))), lambda e: e["n"] > 0)
+            entered = F.array(F.struct(x["new"].alias("code"), F.lit(1).alias("n")))
+
+            def moved_on(n: Column) -> Column:
+                same = x["new"] == x["old"]
+                total = F.when(same, st["sum"]).otherwise(st["sum"] - _clog(n["new"]) + _clog(n["new"] + 1) + F.when(x["old"] >= 0, _clog(n["old"] - 1) - _clog(n["old"])).otherwise(F.lit(0.0)))
+                counts = F.when(same, st["counts"]).when(n["new"] > 0, moved).otherwise(F.concat(moved, entered))
+                hot = (x["i"] >= window) & (bound >= total)
+                return F.struct(
+                    counts.alias("counts"),
+                    total.alias("sum"),
+                    F.when(hot & (st["first"] < 0), x["i"] - window).otherwise(st["first"]).alias("first"),
+                    F.when(hot, x["i"]).otherwise(st["last"]).alias("last"),
+                )
+
+            return _let(F.struct(n_of(x["new"]).alias("new"), n_of(x["old"]).alias("old")), moved_on)
+
+        return _let(codes, lambda codes: F.aggregate(steps(codes), state, step, lambda st: F.struct(st["first"].alias("first"), st["last"].alias("last"))))
+
+    # The most that the sum may be in a window of enough bits.
+    bound = lambda w: w.cast("double") * (F.log2(w.cast("double")) - least) + 1e-9
+    return _let(window, lambda w: _let(bound(w), lambda b: fold(b, w)))
 
 
 def entropy_spans(text: Column, window: int = WINDOW, classes=CLASSES, allowed=ALLOWED, candidate: str = CANDIDATE, number: int = len(BASE)) -> Column:
@@ -124,27 +152,31 @@ def entropy_spans(text: Column, window: int = WINDOW, classes=CLASSES, allowed=A
 def find_secrets(df: DataFrame, text_col: str = "text", into: str = "secret_spans") -> DataFrame:
     """df + into: array<struct<start, kind, end>> in order of start, then kind (0 assign, 1 access, 2 hex, 3 entropy, 4 entropy of a run under WINDOW).
 
-    A null or empty text has no spans. Rows are independent, so repeated rows get equal spans. Spans of different kinds
-    may overlap.
+    A null or empty text has no spans. Rows are independent, so repeated rows get equal spans; an empty table gives no
+    rows. Spans of different kinds may overlap. Other columns stay; one that is named as into is replaced.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    parts = df.withColumn("__spans", F.array(*(base_spans(text, k) for k in BASE), entropy_spans(text), entropy_spans(text, candidate=SHORT, number=len(BASE) + 1)))
-    return parts.withColumn(into, F.array_sort(F.flatten("__spans"))).drop("__spans")
+    parts = F.array(*(base_spans(text, k) for k in BASE), entropy_spans(text), entropy_spans(text, candidate=SHORT, number=len(BASE) + 1))
+    return df.withColumn(into, F.array_sort(F.flatten(parts)))
 
 
 def redact(df: DataFrame, text_col: str = "text", spans_col: str = "secret_spans", mark: str = "[SECRET]") -> DataFrame:
     """Put mark in the place of each maximal stretch covered by spans; a text without spans, null too, stays as it is."""
     text = F.col(text_col)
-    state = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
-    folded = F.aggregate(
-        spans_col,
-        state,
-        lambda st, x: F.struct(
-            F.when(x["start"] >= st["at"], F.concat(st["out"], F.array(F.substring(text, st["at"] + 1, x["start"] - st["at"]), F.lit(mark)))).otherwise(st["out"]).alias("out"),
-            F.greatest(st["at"], x["end"]).alias("at"),
-        ),
-    )
-    clean = F.transform(F.array(folded), lambda st: F.concat(F.array_join(st["out"], ""), F.substring(text, st["at"] + 1, F.length(text))))[0]
+    ends = _running(F.col(spans_col), lambda x: x["end"], lambda a, b: F.greatest(a, b), F.lit(0))
+
+    def parts(ends: Column) -> Column:
+        """(end of what is covered before the stretch, its start) of each maximal stretch."""
+        before = lambda k: F.coalesce(F.get(ends, k - 1), F.lit(0))
+        both = F.transform(F.col(spans_col), lambda x, k: F.struct(before(k).alias("at"), x["start"].alias("start"), (k == 0).alias("first")))
+        return F.filter(both, lambda x: x["first"] | (x["start"] >= x["at"]))
+
+    def put(chars: Column, ends: Column) -> Column:
+        cut = lambda at, n: F.array_join(F.slice(chars, at + 1, n), "")
+        kept = F.array_join(F.transform(parts(ends), lambda x: F.concat(cut(x["at"], x["start"] - x["at"]), F.lit(mark))), "")
+        return _let(F.get(ends, F.size(ends) - 1), lambda end: F.concat(kept, cut(end, F.greatest(F.size(chars) - end, F.lit(0)))))
+
+    clean = _let(F.split(text, ""), lambda chars: _let(ends, lambda ends: put(chars, ends)))
     return df.withColumn(text_col, F.when(F.size(spans_col) > 0, clean).otherwise(text))
 
 

@@ -399,9 +399,13 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """df (without text_col, if keep_text is false) + score double, predicted int. Null and empty texts are scored too, low."""
+    """df (without text_col, if keep_text is false) + score double, predicted int. Null and empty texts are scored too, low.
+
+    Rows are independent: repeated rows get equal scores, an empty table gives no rows. Columns of df that are named
+    score or predicted are replaced.
+    """
     prepare(df.sparkSession)
-    keep = [c for c in df.columns if keep_text or c != text_col]
+    keep = [c for c in df.columns if (keep_text or c != text_col) and c not in ("score", "predicted")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text_col):

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 from strandloom.llm import secret_scan as S
 
@@ -17,7 +18,7 @@ def brute(text):
     out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
     for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
         run = m[0]
-        if len(run) < 20 or not re.search("[0-9]", run) or any(re.search(p, run) for p in S.ALLOWED):
+        if len(run) < 20 or not re.search("[A-Za-z0-9]", run) or any(re.search(p, run) for p in S.ALLOWED):
             continue
         least = next(b for _, p, b in S.CLASSES if re.search(p, run))
         hot = [i for i in range(len(run) - 19) if entropy(run[i : i + 20]) >= least - 1e-9]
@@ -80,3 +81,28 @@ def test_allow_list_and_empty_table(spark, tmp_path):
     out = {r.doc_id: [s.kind for s in r.secret_spans] for r in S.find_secrets(docs).collect()}
     assert out == {0: [], 1: [3]}
     assert S.op4(spark, tables(spark, tmp_path, [])).count() == 0
+
+
+def test_long_runs_and_many_matches(spark, tmp_path):
+    """A run of 200,000 characters and 30,000 matches in one text take seconds; so does their redaction."""
+    r = random.Random(6)
+    run = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP0123456789+/") for _ in range(200_000))
+    many = " ".join(f"deadbeef{i:08x}" for i in range(30_000))
+    texts = [run, many, "x" * 200_000, run[:50_000] + "x" * 50_000]
+    began = time.time()
+    rows = {x.doc_id: x for x in S.op4(spark, tables(spark, tmp_path, texts)).collect()}
+    docs = spark.createDataFrame([(many,)], "text string")
+    assert S.redact(S.find_secrets(docs)).first().text == " ".join(["[SECRET]"] * 30_000)
+    assert time.time() - began < 90
+    assert rows[1].n_hex == 30_000 and rows[2].spans == ""
+    hot = {k: [tuple(map(int, x.split(":")[1:])) for x in rows[k].spans.split(",") if x.startswith("entropy")] for k in (0, 3)}
+    assert [k for k, _, _ in brute(run[:300])] and hot[0] == [(brute(run[:300])[-1][0], 200_000 - 300 + brute(run[-300:])[-1][2])]
+    assert hot[3] == []  # six x in a row are on the allow list
+    got = sum(b - a for k, a, b in (x.split(":") for x in rows[1].spans.split(",")) for a, b in [(int(a), int(b))] if k == "hex")
+    assert got == 16 * 30_000
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(0, "deadbeefdeadbeef", 7, "old"), (0, "deadbeefdeadbeef", 7, "old")], "doc_id int, text string, __spans int, secret_spans string")
+    rows = S.find_secrets(docs).collect()
+    assert len(rows) == 2 and rows[0] == rows[1] and rows[0]["__spans"] == 7 and [x.kind for x in rows[0].secret_spans][0] == 2
