@@ -206,12 +206,14 @@ def link_components(docs: DataFrame) -> DataFrame:
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profile = stored(docs.mapInArrow(_profiles, "doc_id long, n long, low long, need long, h1 long, h2 long"), "profiles")
-    hopeful = _hopeful(docs, profile)
+    hopeful = stored(_hopeful(docs, profile), "hopeful")
     sets = docs.join(hopeful, docs["doc_id"] == hopeful["node"]).select("doc_id", "w", "text")
     sets = stored(sets.mapInArrow(_whole_sets, "node long, w int, n long, parity array<long>, elements array<long>").filter("n > 0"), "sets")
     signed = stored(sets.mapInArrow(_signed, "node long, w int, sigs array<long>"), "signatures").select("node", "w", F.explode("sigs").alias("sig"))
-    shared = signed.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max(F.struct("w", -F.col("node"))).alias("top")).filter("lo < hi")
-    kept = stored(signed.join(shared.select("sig", (-F.col("top")["col2"]).alias("pivot")), "sig").select("sig", "node", "pivot"), "kept")
+    # A set has a signature once. The most ordinary set comes first, equal ones in the order of a hash.
+    first = F.max_by("node", F.col("w") * F.lit(1 << 52) + F.shiftrightunsigned(F.xxhash64("node"), 12))
+    shared = signed.groupBy("sig").agg(F.count("*").alias("often"), first.alias("pivot")).filter("often > 1")
+    kept = stored(signed.select("sig", "node").join(shared.select("sig", "pivot"), "sig"), "kept")
     pairs = kept.filter("pivot <> node").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))
     best = pairs.groupBy("b").agg(F.max(F.struct("c", -F.col("a"))).alias("top")).select((-F.col("top")["col2"]).alias("a"), "b")
     first = stored(_verified(best, sets), "links-first")
@@ -222,7 +224,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
     by_set = nodes.join(links, "node", "left").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("component"))
     joined = profile.select("doc_id", "n", "h1", "h2").join(by_set, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & (F.col("n") > 0), "left")
-    discard(kept, sets, rows, group)
+    discard(kept, sets, rows, group, hopeful)
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 

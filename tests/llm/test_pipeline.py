@@ -69,3 +69,12 @@ def test_stages(spark, tmp_path):
 
 def test_run_on_nothing(spark, tmp_path):
     assert corpus_pipeline.run(spark, tables(spark, tmp_path, [])).count() == 0
+
+
+def test_unlike_texts_of_one_id_stay(spark, tmp_path):
+    text = "one two three four five six seven eight"
+    folder = tables(spark, tmp_path, [(5, text), (5, text), (5, "quite another text that is not like it"), (7, text), (None, "some words without an id at all"), (None, "other words without an id at all"), (None, text), (8, ""), (9, "")])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = corpus_pipeline.keep_one_of_near_copies(spark, docs, folder).collect()
+    want = [(5, text), (5, "quite another text that is not like it"), (None, "some words without an id at all"), (None, "other words without an id at all"), (8, ""), (9, "")]
+    assert sorted(((r.doc_id, r.text) for r in out), key=repr) == sorted(want, key=repr)
