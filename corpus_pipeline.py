@@ -22,11 +22,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each component of near copies; of rows that share an id, one. Rows without an id stay."""
-    linked = jaccard_join.link_components(docs.select("doc_id", "text"))
-    gone = linked.filter("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    rest = docs.join(gone, docs["doc_id"] == F.col("__id"), "left_anti")
-    return rest.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(rest.filter("doc_id is null"))
+    """One document of each component of near copies: the one with the least id, without an id if none has one.
+
+    Rows are told apart by their place in the table, so unlike texts that share an id, or have none, stay both, and of
+    repeated rows with words one stays. docs must be a written table, whose places do not change between scans.
+    """
+    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    linked = jaccard_join.link_components(rows.select(F.col("__row").alias("doc_id"), "text")).filter("component_id is not null")
+    named = rows.select("__row", "doc_id").join(linked.select(F.col("doc_id").alias("__row"), "component_id"), "__row")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
+    first = named.groupBy("component_id").agg(F.min(order)["__row"].alias("__first"))
+    gone = stored(named.join(first, "component_id").filter(F.col("__row") != F.col("__first")).select("__row"), "near-copies")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
