@@ -9,8 +9,8 @@ least number leave room to drop each set's thinnest signatures, which unlike set
 
 Steps: equal sets are one node; sets that cannot share enough of the low end of their elements with any other set are
 put aside (no link is lost); of the others, signatures that two sets have are kept. Each set is verified first against
-one pivot, the most ordinary set among those that share most of its signatures; so a large group of near copies costs
-one check for each member. Signatures whose sets are still in different components are then joined: a pair comes out
+one pivot, the most ordinary set among those that share most of its signatures, and then, if still apart, against
+another; so a large group of near copies costs one or two checks for each member. Signatures whose sets are still in different components are then joined: a pair comes out
 of that join only if the parities of both sets in 1,024 cells, a lower bound of their difference, allow a link, and is
 verified on the whole sets.
 """
@@ -154,7 +154,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _hopeful(docs: DataFrame, profile: DataFrame) -> DataFrame:
-    """(node, w): the sets that may have a similar one, by their least doc_id; w is how ordinary a set is, in thousandths.
+    """(node, w): the sets that may have a similar one, by their least doc_id; w, how ordinary a set is: how many of its low elements others have too.
 
     A similar set has at least need of the low elements. Elements that one set alone has are counted, with a row for
     each task and element at most, so an element that is everywhere does not weigh.
@@ -164,22 +164,34 @@ def _hopeful(docs: DataFrame, profile: DataFrame) -> DataFrame:
     nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.max("low").alias("low"), F.max("need").alias("need"))
     shared = F.col("low") - F.coalesce("alone", F.lit(0))
     kept = nodes.filter("node is not null").join(alone, "h1", "left").filter(shared >= F.col("need"))
-    return kept.groupBy("node").agg(F.max(1000 * shared / F.col("low")).cast("int").alias("w"))
+    return kept.groupBy("node").agg(F.max(shared).cast("int").alias("w"))
 
 
-def _left_over(kept: DataFrame, sets: DataFrame, group: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sig, node) whose signature has sets of different components, and (node, g, n, common) of sets that may have a link to another one.
+def _with_pivots(kept: DataFrame, order: Column) -> DataFrame:
+    """(a, b): each set b with the set a that comes first by order (the greatest) in most of its signatures, if not its own component's."""
+    pivots = kept.groupBy("sig").agg(F.max_by(F.struct("node", "g"), order).alias("pivot"))
+    pairs = kept.join(pivots, "sig").filter((F.col("pivot.node") != F.col("node")) & (F.col("pivot.g") != F.col("g")))
+    counted = pairs.groupBy(F.col("pivot.node").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))
+    return counted.groupBy("b").agg(F.max(F.struct("c", -F.col("a"))).alias("top")).select((-F.col("top")["col2"]).alias("a"), "b")
+
+
+def _apart(kept: DataFrame, group: DataFrame) -> DataFrame:
+    """Of (sig, node, w) those whose signature has sets of different components, with g, the component of the set."""
+    placed = kept.drop("g").join(group, "node", "left").select("sig", "node", "w", F.coalesce("component", "node").alias("g"))
+    apart = placed.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("sig")
+    return placed.join(apart, "sig")
+
+
+def _left_over(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, g, n, common) of the sets in rows that may have a link to one of another component.
 
     Elements that no set of another component has cannot be shared: common, the number of the others, bounds what a
     pair has in common, so sets that all differ a little too much from one text are not compared with each other.
     """
-    placed = kept.join(group, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("g"))
-    apart = placed.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("sig")
-    rows = stored(placed.join(apart, "sig"), "apart")
     elements = sets.join(rows.select("node", "g").distinct(), "node").select("node", "g", "n", F.explode("elements").alias("x"))
     both = elements.groupBy("x").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("x")
     common = elements.join(both, "x").groupBy("node", "g", "n").agg(F.count("*").alias("common"))
-    return rows, common.filter(100 * F.col("common") >= SIMILAR * F.col("n"))
+    return common.filter(100 * F.col("common") >= SIMILAR * F.col("n"))
 
 
 def _pairs_apart(rows: DataFrame, common: DataFrame, sets: DataFrame) -> DataFrame:
@@ -210,21 +222,24 @@ def link_components(docs: DataFrame) -> DataFrame:
     sets = docs.join(hopeful, docs["doc_id"] == hopeful["node"]).select("doc_id", "w", "text")
     sets = stored(sets.mapInArrow(_whole_sets, "node long, w int, n long, parity array<long>, elements array<long>").filter("n > 0"), "sets")
     signed = stored(sets.mapInArrow(_signed, "node long, w int, sigs array<long>"), "signatures").select("node", "w", F.explode("sigs").alias("sig"))
-    # A set has a signature once. The most ordinary set comes first, equal ones in the order of a hash.
-    first = F.max_by("node", F.col("w") * F.lit(1 << 52) + F.shiftrightunsigned(F.xxhash64("node"), 12))
-    shared = signed.groupBy("sig").agg(F.count("*").alias("often"), first.alias("pivot")).filter("often > 1")
-    kept = stored(signed.select("sig", "node").join(shared.select("sig", "pivot"), "sig"), "kept")
-    pairs = kept.filter("pivot <> node").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))
-    best = pairs.groupBy("b").agg(F.max(F.struct("c", -F.col("a"))).alias("top")).select((-F.col("top")["col2"]).alias("a"), "b")
-    first = stored(_verified(best, sets), "links-first")
+    # A set has a signature once.
+    shared = signed.groupBy("sig").agg(F.count("*").alias("often")).filter("often > 1").select("sig")
+    kept = stored(signed.join(shared, "sig").select("sig", "node", "w", F.col("node").alias("g")), "kept")
+    # First each set with the most ordinary one of its signatures, then those still apart with one that a hash picks.
+    place = F.shiftrightunsigned(F.xxhash64("node"), 24)
+    first = stored(_verified(_with_pivots(kept, F.least("w", F.lit(1 << 22)) * F.lit(1 << 40) + place), sets), "links-first")
     group = stored(components(first), "groups")
-    rows, common = _left_over(kept, sets, group)
+    apart = stored(_apart(kept, group), "apart")
+    more = stored(_verified(_with_pivots(apart, place), sets), "links-more")
+    group = stored(components(first.union(more)), "groups")
+    rows = stored(_apart(apart, group), "apart")
+    common = _left_over(rows, sets)
     second = stored(_verified(_pairs_apart(rows, common, sets), sets), "links-second")
-    links = components(first.union(second))
+    links = components(first.union(more).union(second))
     nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
     by_set = nodes.join(links, "node", "left").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("component"))
     joined = profile.select("doc_id", "n", "h1", "h2").join(by_set, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & (F.col("n") > 0), "left")
-    discard(kept, sets, rows, group, hopeful)
+    discard(kept, sets, apart, rows, group, hopeful)
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
