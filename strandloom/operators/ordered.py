@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,47 +46,69 @@ def pairs_with_rescue(left: DataFrame, right: DataFrame, polya: DataFrame, keys:
     """Pairs of left and right breakpoints, with poly-A breakpoints in the place of a missing side.
 
     left, right: keys, bp, id; polya: keys, bp, id, side ('L' or 'R'). Returns keys, left_id, right_id, kind ('pair',
-    'polya_right' or 'polya_left'). The pointers of a merge over three sorted lists depend on each other, which no
-    window can express; the groups (a sample's contig) hold breakpoints only, not reads. Equal places go by id.
+    'polya_right' or 'polya_left'). Equal places go by id. The first left and the first right breakpoint that are left
+    decide what comes next:
+
+    * A right one from pair_least to pair_most ahead makes a pair, and the left one is done.
+    * A right one behind that asks for a poly-A breakpoint polya_near or more ahead of the left one: one of side R, less
+      than polya_far ahead, takes the right side's place. Else the right ones behind go.
+    * A right one beyond that asks for a poly-A breakpoint at most polya_far behind the right one: one of side L, more
+      than polya_near behind, takes the left side's place. Else the left ones too far back go.
+
+    The answer is the first poly-A breakpoint at or after the greatest place ever asked for. As each step depends on
+    the ones before, no window can express it; a group (a sample's contig) holds breakpoints only, not reads, and each
+    step jumps by binary search.
     """
-    least, most, near, far = config.pair_least, config.pair_most, config.polya_near, config.polya_far
     tag = lambda df, t, side: df.select(*keys, F.lit(t).alias("__t"), F.col("bp").cast("long").alias("bp"), F.col("id").cast("long").alias("id"), side.alias("side"))
     none = F.lit(None).cast("string")
     rows = tag(left, 0, none).unionByName(tag(right, 1, none)).unionByName(tag(polya, 2, F.col("side")))
     kinds = {f.name: f.dataType.simpleString() for f in left.schema}
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "left_id long", "right_id long", "kind string"])
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        lists = [list(g.sort_values(["bp", "id"])[["bp", "id", "side"]].itertuples(index=False)) for g in (group[group["__t"] == t] for t in range(3))]
-        ls, rs, ps = lists
-        out, i, j, k = [], 0, 0, 0
-        while i < len(ls) and j < len(rs):
-            ahead = rs[j].bp - ls[i].bp
-            if least <= ahead <= most:
-                out.append((ls[i].id, rs[j].id, "pair"))
-                i += 1
-            elif ahead < least:
-                while k < len(ps) and ps[k].bp - ls[i].bp < near:
-                    k += 1
-                if k < len(ps) and ps[k].bp - ls[i].bp < far and ps[k].side == "R":
-                    out.append((ls[i].id, ps[k].id, "polya_right"))
-                    i += 1
-                else:
-                    j += 1
-            else:
-                while k < len(ps) and rs[j].bp - ps[k].bp > far:
-                    k += 1
-                if k < len(ps) and rs[j].bp - ps[k].bp > near and ps[k].side == "L":
-                    out.append((ps[k].id, rs[j].id, "polya_left"))
-                    j += 1
-                else:
-                    i += 1
-        found = pd.DataFrame(out, columns=["left_id", "right_id", "kind"])
+    def matched(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["bp", "id"])
+        lefts, rights, polys = (group[group["__t"] == t] for t in range(3))
+        found = pd.DataFrame(_rescued(lefts, rights, polys, config), columns=["left_id", "right_id", "kind"])
         for n, c in enumerate(keys):
             found.insert(n, c, group[c].iloc[0] if len(group) else None)
         return found
 
-    return rows.groupBy(*keys).applyInPandas(merge, schema)
+    return rows.groupBy(*keys).applyInPandas(matched, schema)
+
+
+def _rescued(lefts: pd.DataFrame, rights: pd.DataFrame, polys: pd.DataFrame, config: Config) -> list[tuple]:
+    """Rows (left id, right id, kind) of three sorted tables of breakpoints."""
+    at, ids = ([t[c].to_numpy() for t in (lefts, rights, polys)] for c in ("bp", "id"))
+    sides = polys["side"].to_numpy()
+    asked = None  # the greatest place ever asked for
+
+    def answer(place: int, until: int, side: str):
+        """Id of the poly-A breakpoint that the question from place on gets, if it lies before until on that side."""
+        nonlocal asked
+        asked = place if asked is None else max(asked, place)
+        n = np.searchsorted(at[2], asked)
+        return ids[2][n] if n < len(at[2]) and at[2][n] < until and sides[n] == side else None
+
+    out: list[tuple] = []
+    l = r = 0  # noqa: E741
+    while l < len(at[0]) and r < len(at[1]):
+        one, other = at[0][l], at[1][r]
+        if other < one + config.pair_least:
+            if (p := answer(one + config.polya_near, one + config.polya_far, "R")) is None:
+                r = np.searchsorted(at[1], one + config.pair_least)
+                continue
+            out.append((ids[0][l], p, "polya_right"))
+        elif other <= one + config.pair_most:
+            out.append((ids[0][l], ids[1][r], "pair"))
+        elif (p := answer(other - config.polya_far, other - config.polya_near, "L")) is None:
+            l = np.searchsorted(at[0], other - config.pair_most)  # noqa: E741
+            continue
+        else:
+            out.append((p, ids[1][r], "polya_left"))
+            r += 1
+            continue
+        l += 1  # noqa: E741
+    return out
 
 
 def run_numbers(df: DataFrame, keys: list[str], order: str, same: Column, into: str = "run") -> DataFrame:

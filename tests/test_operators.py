@@ -22,39 +22,32 @@ def test_forward_pairs_edges(spark):
     assert got == [(100, 102), (203, 241)]
 
 
-def pointers(ls, rs, ps):
-    out, i, j, k = [], 0, 0, 0
-    while i < len(ls) and j < len(rs):
-        t = rs[j][0] - ls[i][0]
-        if t < 2:
-            while k < len(ps) and ps[k][0] - ls[i][0] < 12:
-                k += 1
-            if k != len(ps) and ps[k][0] - ls[i][0] < 120 and ps[k][2] == "R":
-                out.append((ls[i][1], ps[k][1], "polya_right"))
-                i += 1
-                continue
-            j += 1
-        elif t > 40:
-            while k < len(ps) and rs[j][0] - ps[k][0] > 120:
-                k += 1
-            if k != len(ps) and rs[j][0] - ps[k][0] > 12 and ps[k][2] == "L":
-                out.append((ps[k][1], rs[j][1], "polya_left"))
-                j += 1
-                continue
-            i += 1
-        else:
-            out.append((ls[i][1], rs[j][1], "pair"))
-            i += 1
-    return out
-
-
-def test_rescued_pairs_against_pointers(spark):
+def by_rule(lefts, rights, polys, asked=-1):
+    """What the first left and right breakpoint decide, and then the rest: the rule as a recursion over sorted tuples (place, id, side)."""
+    if not lefts or not rights:
+        return []
+    (left, left_id, _), (right, right_id, _) = lefts[0], rights[0]
+    if right - left in range(2, 41):
+        return [(left_id, right_id, "pair"), *by_rule(lefts[1:], rights, polys, asked)]
+    behind = right - left < 2
+    asked = max(asked, left + 12 if behind else right - 120)
+    place, found, side = min((p for p in polys if p[0] >= asked), default=(10**9, None, None))
+    if behind:
+        if side == "R" and place - left < 120:
+            return [(left_id, found, "polya_right"), *by_rule(lefts[1:], rights, polys, asked)]
+        return by_rule(lefts, rights[1:], polys, asked)
+    if side == "L" and right - place > 12:
+        return [(found, right_id, "polya_left"), *by_rule(lefts, rights[1:], polys, asked)]
+    return by_rule(lefts[1:], rights, polys, asked)
+
+
+def test_rescued_pairs_against_the_rule(spark):
     r = random.Random(1)
     make = lambda n, base: sorted((r.randrange(3000), base + i, r.choice("LR")) for i in range(n))
     want, tables = set(), [[], [], []]
     for s in range(6):
         groups = [make(40, 1000 * s), make(40, 1000 * s + 300), make(25, 1000 * s + 600)]
-        want |= set(pointers(*groups))
+        want |= set(by_rule(*groups))
         for t, g in zip(tables, groups, strict=True):
             t += [(f"s{s}", bp, i, side) for bp, i, side in g]
     frames = [spark.createDataFrame(t, "k string, bp long, id long, side string") for t in tables]
