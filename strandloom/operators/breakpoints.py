@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import MOUSE, Config
 from ..functions import sequence as S
+from ..staging import staged
 from . import ordered
 from .consensus import weighted_consensus
 
@@ -41,19 +42,19 @@ def merge_clusters(clips: DataFrame, config: Config = MOUSE) -> tuple[DataFrame,
 
     breakpoints: CLUSTER, bp, clipped, aligned, n_reads, first (the least ordinal of the cluster). mates: CLUSTER, qname,
     want_read1. A cluster of one read, or without two reads at one place, passes only as a poly-A tail next to the
-    breakpoint. Clips start at the breakpoint. All steps are aggregations by cluster; the
-    clipped reads, a small part of all reads, are persisted for them.
+    breakpoint. Clips start at the breakpoint. All steps are aggregations by cluster; the clipped reads, a small part of
+    all reads, and their votes are staged for them.
     """
     left = F.col("side") == "L"
     rows = ordered.gap_clusters(clips, ["sample", "contig", "side"], "bp", config.cluster_gap, ("ordinal",))
     rows = rows.withColumn("raw", F.col("clip")).withColumn("clip", S.clean_clip(F.when(left, S.q_revcomp(F.col("clip"))).otherwise(F.col("clip")), config))
     rows = rows.withColumn("has_mate", F.when(left, ~F.col("forward")).otherwise(F.col("forward")))
-    rows = rows.persist()  # read by each of the aggregations below
+    rows = staged(rows, "clipped-reads")  # read by each of the aggregations below
     precise = rows.filter(F.length("clip.seq") >= config.min_clean_clip)
     best = ordered.mode(precise, CLUSTER, "bp", "best", "n_best")
     whole = rows.groupBy(*CLUSTER).agg(F.count("*").alias("n"), F.max("exclude").alias("barred"), F.min("ordinal").alias("first"))
     known = whole.join(best, CLUSTER, "left")
-    joined = rows.join(known, CLUSTER)
+    joined = staged(rows.join(known, CLUSTER), "clustered-reads")
     run = config.rescue_run
     one = F.col("n") == 1
     # A single read shows the tail in its raw clip, others in the cleaned one.
@@ -62,7 +63,7 @@ def merge_clusters(clips: DataFrame, config: Config = MOUSE) -> tuple[DataFrame,
     lone = joined.filter(tail & (one | (~F.col("barred") & (F.col("n_best") < config.min_evidence_reads))))
     kept = lone.groupBy(*CLUSTER).agg(F.min_by(F.struct("bp", "raw", "clip", "unclipped", "qname", "is_read1", "has_mate", "first", "n"), F.struct("bp", "ordinal")).alias("r"))
     source = F.when(F.col("r.n") == 1, F.when(left, S.q_revcomp(F.col("r.raw"))).otherwise(F.col("r.raw"))).otherwise(F.when(left, S.q_revcomp(F.col("r.clip"))).otherwise(F.col("r.clip")))
-    kept = kept.withColumn("clipped", S.clean_clip(source, config)).filter(F.length("clipped.seq") >= config.min_clip)
+    kept = staged(kept.withColumn("clipped", S.clean_clip(source, config)).filter(F.length("clipped.seq") >= config.min_clip), "lone-reads")
     lone_out = kept.select(*CLUSTER, F.col("r.bp").alias("bp"), "clipped", F.col("r.unclipped").alias("aligned"), F.lit(1).cast("long").alias("n_reads"), F.col("r.first").alias("first"))
     lone_mates = kept.filter("r.has_mate").select(*CLUSTER, F.col("r.qname").alias("qname"), (~F.col("r.is_read1")).alias("want_read1"))
 
@@ -84,11 +85,11 @@ def merge_clusters(clips: DataFrame, config: Config = MOUSE) -> tuple[DataFrame,
     )
     unshifted = vote(clip, unc) if config.left_double_vote else F.lit(None)
     ballots = F.filter(F.when(left, F.array(to_left, unshifted)).otherwise(F.array(to_right)), lambda v: v.isNotNull())
-    cast = many.select(*CLUSTER, F.explode(ballots).alias("v"))
+    cast = staged(many.select(*CLUSTER, F.explode(ballots).alias("v")), "votes")
     of = lambda part, name: weighted_consensus(cast.select(*CLUSTER, F.col(f"v.{part}.seq").alias("seq"), F.col(f"v.{part}.qual").alias("qual")), CLUSTER, "seq", "qual").select(*CLUSTER, S.quality_seq(F.col("seq"), F.col("qual")).alias(name))
     counts = cast.groupBy(*CLUSTER).agg(F.count("*").alias("n_reads"))
     merged = of("c", "clipped").join(of("a", "aligned"), CLUSTER).join(counts, CLUSTER).join(known.select(*CLUSTER, F.col("best").alias("bp"), "first"), CLUSTER)
-    passed = merged.filter((F.length("clipped.seq") > config.min_clip) & (F.length("aligned.seq") > config.min_aligned) & ~S.is_short_repeat(F.col("clipped.seq")))
+    passed = staged(merged, "consensus").filter((F.length("clipped.seq") > config.min_clip) & (F.length("aligned.seq") > config.min_aligned) & ~S.is_short_repeat(F.col("clipped.seq")))
     out = passed.select(*CLUSTER, "bp", "clipped", "aligned", "n_reads", "first").unionByName(lone_out)
     mates = many.filter("has_mate").select(*CLUSTER, "qname", (~F.col("is_read1")).alias("want_read1")).join(passed.select(*CLUSTER), CLUSTER, "left_semi").unionByName(lone_mates)
     return out, mates

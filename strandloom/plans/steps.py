@@ -10,44 +10,48 @@ from pyspark.sql import functions as F
 from ..config import MOUSE, Config
 from ..functions import sequence as S
 from ..operators import breakpoints, genotypes, insertions, intervals, ordered
+from ..staging import staged
 
 
 def discover(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
     """Discovered insertions of all samples: sample, contig, left, right, kind, left_/right_ clipped, aligned and mates.
 
     reads: sample, ordinal, qname, flag, contig, pos, end, mapq, cigar, seq, qual, sa. Breakpoints and mates, far fewer
-    than reads, are persisted because several joins read them.
+    than reads, are staged because several joins read them. A breakpoint's number is its first read's place among the
+    reads of its sample, with its side: no two clusters of one side share a read.
     """
     found, wanted = breakpoints.merge_clusters(breakpoints.clipped_reads(reads, config), config)
-    found = found.withColumn("id", F.xxhash64(*breakpoints.CLUSTER)).persist()
-    polya = breakpoints.polya_reads(reads, config).withColumn("id", F.xxhash64("sample", "qname", "ordinal", F.lit("polya"))).persist()
-    claims = wanted.withColumn("bp", F.xxhash64(*breakpoints.CLUSTER)).join(found.select(F.col("id").alias("bp"), "first"), "bp")
-    claims = claims.select("sample", F.col("qname").alias("name"), "side", F.col("first").alias("ordinal"), "want_read1", "bp")
-    claims = claims.unionByName(polya.select("sample", F.col("qname").alias("name"), F.lit("P").alias("side"), "ordinal", (~F.col("is_read1")).alias("want_read1"), F.col("id").alias("bp")))
-    claims = claims.withColumn("qname", F.struct("sample", "name")).drop("sample", "name")
+    found = staged(found.withColumn("id", 4 * F.col("first") + F.when(F.col("side") == "L", 0).otherwise(1)), "breakpoints")
+    polya = staged(breakpoints.polya_reads(reads, config).withColumn("id", 4 * F.col("ordinal") + 2), "polya-reads")
+    claims = wanted.join(found.select(*breakpoints.CLUSTER, "id", "first"), breakpoints.CLUSTER)
+    claims = claims.select("sample", F.col("qname").alias("name"), "side", F.col("first").alias("ordinal"), "want_read1", "id")
+    claims = claims.unionByName(polya.select("sample", F.col("qname").alias("name"), F.lit("P").alias("side"), "ordinal", (~F.col("is_read1")).alias("want_read1"), "id"))
+    claims = claims.select(F.struct("sample", "name").alias("qname"), "side", "ordinal", "want_read1", F.struct("sample", "id").alias("bp"))
     flag = F.col("flag")
     usable = reads.filter(~S.has_flag(flag, S.SECONDARY) & ~S.has_flag(flag, S.QCFAIL) & ~S.has_flag(flag, S.DUPLICATE))
     usable = usable.select(F.struct("sample", F.col("qname").alias("name")).alias("qname"), S.has_flag(flag, S.READ1).alias("is_read1"), "ordinal", "flag", "contig", "pos", "end", "mapq", "seq", "qual")
-    mates = insertions.find_mates(claims, usable, ["ordinal", "flag", "contig", "pos", "end", "mapq", "seq", "qual"]).persist()
-    clean = S.clean_clip(S.quality_seq(F.col("seq"), F.col("qual")), config)
-    turned = F.when(S.has_flag(flag, S.REVERSE), S.q_revcomp(clean)).otherwise(clean)
-    by_bp = mates.withColumn("m", turned).groupBy("bp").agg(F.array_sort(F.collect_list(F.struct("ordinal", "m"))).alias("l")).select(F.col("bp").alias("id"), F.transform("l", lambda x: x["m"]).alias("mates"))
-    last = mates.groupBy("bp").agg(F.max_by(F.struct("flag", "contig", "pos", "end", "mapq"), "ordinal").alias("mate")).withColumnRenamed("bp", "id")
-    found = found.join(by_bp, "id", "left")
-    placed = polya.join(last, "id").withColumn("bp", S.polya_breakpoint(F.col("flag"), F.col("kind"), F.col("mate.flag"), F.col("mate.pos"), F.col("mate.end"), F.col("mate.mapq"), config))
-    placed = placed.select("sample", F.col("mate.contig").alias("contig"), "id", "bp", "side", "clipped").filter((F.length("contig") <= config.max_contig_name) & F.col("bp").isNotNull())
+    mates = insertions.find_mates(claims, usable, ["ordinal", "flag", "contig", "pos", "end", "mapq", "seq", "qual"])
+    mates = staged(mates.select("bp.sample", "bp.id", "ordinal", "flag", "contig", "pos", "end", "mapq", S.clean_clip(S.quality_seq(F.col("seq"), F.col("qual")), config).alias("clean")), "mates")
+    turned = F.when(S.has_flag(flag, S.REVERSE), S.q_revcomp(F.col("clean"))).otherwise(F.col("clean"))
+    by_bp = mates.withColumn("m", turned).groupBy("sample", "id").agg(F.array_sort(F.collect_list(F.struct("ordinal", "m"))).alias("l")).select("sample", "id", F.transform("l", lambda x: x["m"]).alias("mates"))
+    last = mates.groupBy("sample", "id").agg(F.max_by(F.struct("flag", "contig", "pos", "end", "mapq"), "ordinal").alias("mate"))
+    found = staged(found.join(by_bp, ["sample", "id"], "left"), "with-mates")
+    placed = polya.join(last, ["sample", "id"]).withColumn("bp", S.polya_breakpoint(F.col("flag"), F.col("kind"), F.col("mate.flag"), F.col("mate.pos"), F.col("mate.end"), F.col("mate.mapq"), config))
+    placed = placed.select("sample", F.col("mate.contig").alias("contig"), "id", "bp", "side", "clipped")
+    placed = staged(placed.filter((F.length("contig") <= config.max_contig_name) & F.col("bp").isNotNull()), "placed-tails")
     side = lambda s: found.filter((F.col("side") == s) & (F.length("contig") <= config.max_contig_name))
     cols = ["sample", "contig", "bp", "id"]
     pairs = ordered.pairs_with_rescue(side("L").select(*cols), side("R").select(*cols), placed.select(*cols, "side"), ["sample", "contig"], config)
-    point = lambda df, x, polya_row: df.select(F.col("id").alias(f"{x}_id"), F.when(~F.lit(polya_row), F.col("bp")).alias(x), "bp", "clipped", *([] if polya_row else ["aligned", "mates"]))
 
     def ends(x, s):
-        real = point(side(s), x, False)
-        tails = point(placed, x, True).withColumn("aligned", F.lit(None).cast(real.schema["aligned"].dataType)).withColumn("mates", F.lit(None).cast(real.schema["mates"].dataType))
-        return real.unionByName(tails).select(f"{x}_id", F.col(x), *(F.col(c).alias(f"{x}_{c}") for c in ("bp", "clipped", "aligned", "mates")))
+        real = side(s).select("sample", "id", F.col("bp").alias(x), "bp", "clipped", "aligned", "mates")
+        kinds = {f.name: f.dataType for f in real.schema}
+        tails = placed.select("sample", "id", F.lit(None).cast(kinds["bp"]).alias(x), "bp", "clipped", *(F.lit(None).cast(kinds[c]).alias(c) for c in ("aligned", "mates")))
+        return real.unionByName(tails).select("sample", F.col("id").alias(f"{x}_id"), x, *(F.col(c).alias(f"{x}_{c}") for c in ("bp", "clipped", "aligned", "mates")))
 
     kind = F.when(F.col("kind") == "pair", insertions.FULL).when(F.col("kind") == "polya_right", insertions.RIGHT_POLYA).otherwise(insertions.LEFT_POLYA)
-    return pairs.withColumn("kind", kind).join(ends("left", "L"), "left_id").join(ends("right", "R"), "right_id").drop("left_id", "right_id")
+    both = pairs.withColumn("kind", kind).join(ends("left", "L"), ["sample", "left_id"]).join(ends("right", "R"), ["sample", "right_id"])
+    return staged(both.drop("left_id", "right_id"), "discoveries")
 
 
 def combine(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None = None, clip_hits: DataFrame | None = None, chain: DataFrame | None = None, chunk: int = 10_000, config: Config = MOUSE) -> DataFrame:
@@ -60,7 +64,7 @@ def combine(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None =
     full = found.filter((F.col("kind") == insertions.FULL) & S.usable_contig(F.col("contig"), config))
     full = insertions.cap_by_file(full, "file", config.max_insertions_per_file)
     seqs = ["right_clipped", "left_clipped", "left_aligned", "right_aligned"]
-    rows = insertions.merge_insertions(full.withColumn("files", F.array("file")), ["contig", "left", "right"], seqs, "order", config, ("files",))
+    rows = staged(insertions.merge_insertions(full.withColumn("files", F.array("file")), ["contig", "left", "right"], seqs, "order", config, ("files",)), "merged")
     rows = intervals.without_hot_bins(rows, "contig", "right", config.bin_width, config.bin_hot, config.bin_margin)
     rows = rows.withColumn("name", S.insertion_name(F.col("contig"), F.col("left"), F.col("right")))
     if whole_hits is not None:
@@ -73,6 +77,7 @@ def combine(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None =
         near = (S.with_chr(F.col("n.contig")) == S.with_chr(F.col("lifted_contig"))) & (F.abs(F.when(F.col("n.side") == "R", F.col("n.right")).otherwise(F.col("n.left")) - F.col("lifted_pos")) < config.remap_distance)
         rows = rows.join(hits.filter(near).select(F.regexp_replace("query", ":[LR]$", "").alias("name")).distinct(), "name", "left_anti")
     k = config.kmer
+    rows = staged(rows, "kept-insertions")
     rows = rows.withColumn("r_alt", F.substring(F.upper("right_clipped.seq"), 1, k)).withColumn("l_alt", S.revcomp(F.upper(F.substring("left_clipped.seq", 1, k))))
     known = genome.withColumn("contig", S.with_chr(F.col("contig")))
     places = rows.select("name", S.with_chr(F.col("contig")).alias("c"), "left", "right").withColumns({"l0": F.col("left") - k, "r1": F.col("right") + k})
@@ -96,6 +101,7 @@ def genotype(reads: DataFrame, targets: DataFrame, samples: list[str], config: C
     pairs = intervals.overlap_join(wanted.withColumn("lo", F.col("lo") - 1), voting, ["contig"], ("lo", "hi"), ("start", "end")).join(crowded.select(*ids), ids, "left_anti")
     args = [F.col(c) for c in ("seq", "qual", "cigar", "start", "end")]
     scored = pairs.select(*ids, genotypes.side_scores("L", *args, F.col("l"), F.col("l_ref"), F.col("l_alt"), config).alias("left"), genotypes.side_scores("R", *args, F.col("r"), F.col("r_ref"), F.col("r_alt"), config).alias("right"))
+    scored = staged(scored, "side-scores")
     calls = genotypes.call_genotypes(scored, ids, config=config)
     every = wanted.select(F.explode(F.array(*map(F.lit, samples))).alias("sample"), "insertion")
     return genotypes.complete_calls(every, calls, crowded, ids)

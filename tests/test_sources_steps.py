@@ -1,5 +1,4 @@
 import gzip
-import os
 import random
 import struct
 import zlib
@@ -129,7 +128,6 @@ def insertion_reads(genome, inserted, left, right, sample, alleles, seed):
     return [(sample, i, f"{sample}_{q}", f, "1", p, p + sum(n for op, n in ops if op == 0), 60, ops, s, [30] * len(s), None) for i, (q, f, p, ops, s) in enumerate(rows)]
 
 
-@pytest.mark.skipif(not os.environ.get("STRANDLOOM_SLOW"), reason="takes minutes; not yet seen to end")
 def test_steps_end_to_end(spark, tmp_path):
     r = random.Random(5)
     genome = "".join(r.choice("ACGT") for _ in range(5000))
