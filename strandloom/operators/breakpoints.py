@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import MOUSE, Config
 from ..functions import sequence as S
 from ..staging import staged
-from . import ordered
+from . import ordered, reports
 from .consensus import weighted_consensus
 
 CLUSTER = ["sample", "contig", "side", "cluster"]
@@ -37,11 +37,11 @@ def clipped_reads(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
     return rows.filter(~S.is_adapter(F.substring(near, 1, config.min_clip), config))
 
 
-def merge_clusters(clips: DataFrame, config: Config = MOUSE) -> tuple[DataFrame, DataFrame]:
-    """(breakpoints, mates): one breakpoint for each cluster that passes, and the mates that it asks for.
+def merge_clusters(clips: DataFrame, config: Config = MOUSE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(breakpoints, mates, outcomes): one breakpoint for each cluster that passes, the mates that it asks for, and what became of each cluster.
 
     breakpoints: CLUSTER, bp, clipped, aligned, n_reads, first (the least ordinal of the cluster). mates: CLUSTER, qname,
-    want_read1. A cluster of one read, or without two reads at one place, passes only as a poly-A tail next to the
+    want_read1. outcomes: CLUSTER, n, outcome (see reports.cluster_outcome). A cluster of one read, or without two reads at one place, passes only as a poly-A tail next to the
     breakpoint. Clips start at the breakpoint. All steps are aggregations by cluster; the clipped reads, a small part of
     all reads, and their votes are staged for them.
     """
@@ -89,10 +89,14 @@ def merge_clusters(clips: DataFrame, config: Config = MOUSE) -> tuple[DataFrame,
     of = lambda part, name: weighted_consensus(cast.select(*CLUSTER, F.col(f"v.{part}.seq").alias("seq"), F.col(f"v.{part}.qual").alias("qual")), CLUSTER, "seq", "qual").select(*CLUSTER, S.quality_seq(F.col("seq"), F.col("qual")).alias(name))
     counts = cast.groupBy(*CLUSTER).agg(F.count("*").alias("n_reads"))
     merged = of("c", "clipped").join(of("a", "aligned"), CLUSTER).join(counts, CLUSTER).join(known.select(*CLUSTER, F.col("best").alias("bp"), "first"), CLUSTER)
-    passed = staged(merged, "consensus").filter((F.length("clipped.seq") > config.min_clip) & (F.length("aligned.seq") > config.min_aligned) & ~S.is_short_repeat(F.col("clipped.seq")))
+    merged = staged(merged.withColumn("repeat", S.is_short_repeat(F.col("clipped.seq"))), "consensus")
+    passed = merged.filter((F.length("clipped.seq") > config.min_clip) & (F.length("aligned.seq") > config.min_aligned) & ~F.col("repeat"))
     out = passed.select(*CLUSTER, "bp", "clipped", "aligned", "n_reads", "first").unionByName(lone_out)
     mates = many.filter("has_mate").select(*CLUSTER, "qname", (~F.col("is_read1")).alias("want_read1")).join(passed.select(*CLUSTER), CLUSTER, "left_semi").unionByName(lone_mates)
-    return out, mates
+    sized = merged.select(*CLUSTER, F.length("clipped.seq").alias("clip_size"), F.length("aligned.seq").alias("aligned_size"), "repeat")
+    known = known.join(kept.select(*CLUSTER, F.lit(True).alias("rescued")), CLUSTER, "left").join(sized, CLUSTER, "left")
+    reason = reports.cluster_outcome(F.col("n"), F.col("barred"), F.col("n_best"), F.coalesce("rescued", F.lit(False)), F.col("clip_size"), F.col("aligned_size"), F.col("repeat"), config)
+    return out, mates, known.select(*CLUSTER, "n", reason.alias("outcome"))
 
 
 def polya_reads(reads: DataFrame, config: Config = MOUSE) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..config import MOUSE
 from ..functions import sequence as S
-from ..operators import consensus, genotypes, insertions, intervals, ordered
+from ..operators import consensus, genotypes, insertions, intervals, ordered, reports
+from ..sources import records
 
 HEX = "0123456789abcdef"
 SPELT, POOR = "ACGTACGTACGTACGT", "AAAAAATTTTTTACGT"
@@ -342,10 +343,116 @@ def symmetric_difference(spark, sf_dir):
     return insertions.symmetric_difference(*(rows.filter(F.col("l_returnflag") == f).select("l_partkey", "l_suppkey") for f in "AR"))
 
 
-@query("SELECT l_partkey, substr(concat(lpad(CAST(l_suppkey AS VARCHAR), 7, '0'), '_', l_linenumber), 1, 7) AS patient, count(*) AS n_found FROM lineitem GROUP BY 1, 2")
+_LEGACY = "concat('runs/', lpad(CAST(l_suppkey AS VARCHAR), 7, '0'), '_', l_linenumber)"
+
+
+@query(f"SELECT l_partkey, substr(split_part({_LEGACY}, '/', 2), 1, 7) AS patient, count(*) AS n_found FROM lineitem GROUP BY 1, 2")
 def patient_counts(spark, sf_dir):
-    file = F.concat(F.lpad(F.col("l_suppkey").cast("string"), 7, "0"), F.lit("_"), F.col("l_linenumber"))
-    return _table(spark, sf_dir, "lineitem").groupBy("l_partkey", F.substring(file, 1, 7).alias("patient")).agg(F.count("*").alias("n_found"))
+    return records.patient_counts(_legacy(spark, sf_dir)).withColumnRenamed("name", "l_partkey")
+
+
+def _legacy(spark, sf_dir) -> DataFrame:
+    """File sections of a combined file, as the reader gives them."""
+    return _table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("name"), F.lit("FILES").alias("section"), F.expr(_LEGACY.replace("VARCHAR", "STRING")).alias("value"))
+
+
+@query(f"""
+WITH c AS (SELECT l_partkey AS name, substr(split_part({_LEGACY}, '/', 2), 1, 7) AS patient, count(*) AS n_found FROM lineitem GROUP BY 1, 2),
+t AS (SELECT lpad(CAST(l_suppkey AS VARCHAR), 7, '0') AS patient, count(*) AS n FROM lineitem WHERE l_orderkey % 3 > 0 GROUP BY 1)
+SELECT name, patient, n_found, coalesce(n, 0) AS n_files FROM c LEFT JOIN t USING (patient) WHERE name IN (SELECT p_partkey FROM part WHERE p_size <= 25)""")
+def germline_coverage(spark, sf_dir):
+    paths = _table(spark, sf_dir, "lineitem").select(F.concat(F.lit("a/"), F.when(F.col("l_orderkey") % 3 == 0, "old_runs").otherwise("runs"), F.lit("/"), F.lpad(F.col("l_suppkey").cast("string"), 7, "0"), F.lit("_x.txt.gz")).alias("path"))
+    listed = _table(spark, sf_dir, "part").filter("p_size <= 25").select(F.col("p_partkey").alias("name"))
+    return reports.coverage_by_patient(records.patient_counts(_legacy(spark, sf_dir)), listed, reports.patient_files(paths))
+
+
+@query("""
+WITH c AS (SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'L' ELSE 'R' END AS side, count(*) AS n, bool_or(l_returnflag = 'R' AND l_linenumber = 1) AS barred, nullif(count(*) FILTER (l_linenumber <= 3), 0) AS n_best,
+                  count(*) = 1 AND bool_or(l_returnflag = 'A') AS rescued, CAST(max(l_quantity) AS INTEGER) - 20 AS clip, CAST(min(l_quantity) AS INTEGER) + 30 AS aligned, min(l_linenumber) = 1 AND max(l_linenumber) = 3 AS rep
+           FROM lineitem GROUP BY l_partkey, l_suppkey % 7, l_suppkey % 2)
+SELECT side, CASE WHEN rescued THEN 'rescued_polya' WHEN n = 1 THEN 'too_few' WHEN barred THEN 'excluded' WHEN coalesce(n_best, 0) < 2 THEN 'too_few_precise' WHEN clip <= 12 THEN 'short_clip' WHEN aligned <= 40 THEN 'short_aligned'
+            WHEN rep THEN 'short_repeat' ELSE 'passed' END AS outcome, count(*) AS n_clusters FROM c GROUP BY 1, 2""")
+def cluster_outcomes(spark, sf_dir):
+    line, flag, size = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_quantity")
+    side = F.when(F.col("l_suppkey") % 2 == 0, "L").otherwise("R")
+    clusters = _table(spark, sf_dir, "lineitem").groupBy("l_partkey", (F.col("l_suppkey") % 7).alias("c"), side.alias("side")).agg(
+        F.count("*").alias("n"), F.bool_or((flag == "R") & (line == 1)).alias("barred"), F.nullif(F.count_if(line <= 3), F.lit(0)).alias("n_best"), F.bool_or(flag == "A").alias("a"),
+        (F.max(size).cast("int") - 20).alias("clip"), (F.min(size).cast("int") + 30).alias("aligned"), ((F.min(line) == 1) & (F.max(line) == 3)).alias("rep"))
+    args = [F.col("n"), F.col("barred"), F.col("n_best"), (F.col("n") == 1) & F.col("a"), F.col("clip"), F.col("aligned"), F.col("rep")]
+    return reports.outcome_counts(clusters.withColumn("outcome", reports.cluster_outcome(*args)), ["side"])
+
+
+_HIT_LINE = "l_partkey * 10000 + l_suppkey * 10 + CASE l_returnflag WHEN 'A' THEN 0 WHEN 'R' THEN 1 ELSE 2 END"
+_CLIPPED = "lower(CASE WHEN o_custkey % 5 > 0 THEN b WHEN side = 'L' THEN concat('TTTTTT', b) ELSE concat(b, 'AAAAAA') END)"
+
+
+@query(f"""
+WITH parts AS (SELECT o_orderkey AS insertion, side, {_CLIPPED} AS seq FROM (SELECT *, {_sql_bases('o_orderkey')} AS b, unnest(['L', 'R']) AS side FROM orders)),
+h AS (SELECT l_orderkey AS insertion, CASE l_linenumber WHEN 1 THEN 'L' ELSE 'R' END AS side, arg_max(concat('m', l_partkey % 10), {{'s': l_extendedprice, 'n': -({_HIT_LINE})}}) AS model FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2),
+m AS (SELECT insertion, side, arg_max({{'c': c, 's': l_partkey, 'e': l_partkey + 50, 'f': f}}, n) AS m FROM (SELECT *, l_orderkey AS insertion, CASE l_linenumber WHEN 3 THEN 'L' ELSE 'R' END AS side, concat('c', l_suppkey % 3) AS c, l_returnflag <> 'R' AS f, {_HIT_LINE} AS n FROM lineitem
+      WHERE l_linenumber IN (3, 4) AND l_returnflag <> 'N' AND l_quantity + 10 >= 40) GROUP BY 1, 2),
+s AS (SELECT insertion, side, seq, coalesce(model, CASE WHEN side = 'L' AND starts_with(seq, 'tttttt') OR side = 'R' AND ends_with(seq, 'aaaaaa') THEN 'polyA' END) AS model,
+      concat(m.c, ':', m.s, '-', m.e, CASE WHEN m.f THEN '+' ELSE '-' END) AS a, concat(m.c, ':', CASE WHEN (side = 'R') <> m.f THEN m.s ELSE m.e END, CASE WHEN m.f THEN '+' ELSE '-' END) AS p, m IS NOT NULL AS there
+      FROM parts LEFT JOIN h USING (insertion, side) LEFT JOIN m USING (insertion, side)),
+w AS (SELECT insertion, {', '.join(f"max({e}) FILTER (side = '{x}'{' AND there' if c in ('align', 'place') else ''}) AS {n}_{c}" for e, c in (('seq', 'seq'), ('model', 'model'), ('a', 'align'), ('p', 'place')) for x, n in (('L', 'left'), ('R', 'right')))} FROM s GROUP BY 1)
+SELECT * REPLACE (CASE WHEN right_align IS NOT NULL THEN left_align END AS left_align) FROM w""")
+def annotated_insertions(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", bases("o_orderkey").alias("b"), F.explode(F.array(F.lit("L"), F.lit("R"))).alias("side"))
+    parts = orders.select(F.col("o_orderkey").alias("insertion"), "side", F.expr(_CLIPPED).alias("seq"))
+    rows = _table(spark, sf_dir, "lineitem").withColumn("insertion", F.col("l_orderkey")).withColumn("line_no", F.expr(_HIT_LINE))
+    line, flag = F.col("l_linenumber"), F.col("l_returnflag")
+    hits = rows.filter(line <= 2).select("insertion", F.when(line == 1, "L").otherwise("R").alias("side"), F.concat(F.lit("m"), F.col("l_partkey") % 10).alias("model"), F.col("l_extendedprice").alias("score"), "line_no")
+    mappings = rows.filter(line.isin(3, 4)).select("insertion", F.when(line == 3, "L").otherwise("R").alias("side"), F.when(flag == "N", S.SECONDARY).when(flag == "R", S.REVERSE).otherwise(0).alias("flag"), (F.col("l_quantity") + 10).cast("int").alias("mapq"),
+        F.concat(F.lit("c"), F.col("l_suppkey") % 3).alias("contig"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + 50).alias("end"), (flag != "R").alias("is_forward"), "line_no")
+    return reports.annotate(_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("insertion")), parts, hits, mappings)
+
+
+@query("""
+WITH a AS (SELECT l_partkey AS k, count(*) AS a FROM lineitem WHERE l_returnflag = 'A' AND l_suppkey % 9 = 0 GROUP BY 1), b AS (SELECT l_partkey AS k, count(*) AS b FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey % 9 < 2 GROUP BY 1), j AS (SELECT a, b FROM a FULL JOIN b ON a.k = b.k)
+SELECT count(a) AS n_a, count(b) AS n_b, count(*) FILTER (a > 0 AND b > 0) AS n_both, count(*) FILTER (a = 1) AS single_a, count(*) FILTER (a = 1 AND b > 0) AS shared_single_a, count(*) FILTER (a = 1 AND b IS NULL) AS new_single_a, count(*) FILTER (a BETWEEN 2 AND 9 AND b IS NULL) AS new_few_a,
+       count(*) FILTER (b = 1) AS single_b, count(*) FILTER (b = 1 AND a > 0) AS shared_single_b, count(*) FILTER (b = 1 AND a IS NULL) AS new_single_b, count(*) FILTER (b BETWEEN 2 AND 9 AND a IS NULL) AS new_few_b FROM j""")
+def discovery_comparison(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("name"), F.col("l_orderkey").alias("file"), "l_returnflag", "l_suppkey")
+    return reports.compare_discoveries(rows.filter("l_returnflag = 'A' AND l_suppkey % 9 = 0"), rows.filter("l_returnflag = 'R' AND l_suppkey % 9 < 2"), "name")
+
+
+@query("""SELECT l_orderkey, l_partkey, l_linenumber FROM (SELECT *, l_partkey * 37 + l_suppkey AS f FROM lineitem) WHERE l_quantity + 20 >= 40 AND f & 256 = 0 AND f & 4 = 0 AND f & 512 = 0""")
+def voting_reads(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").withColumn("f", F.col("l_partkey") * 37 + F.col("l_suppkey"))
+    return rows.filter(genotypes.evidence_read(F.col("f"), F.col("l_quantity") + 20)).select("l_orderkey", "l_partkey", "l_linenumber")
+
+
+@query("""
+WITH r AS (SELECT *, l_partkey * 37 + l_suppkey AS f, l_orderkey * 11 + l_linenumber AS mf, CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'R' THEN 'T' END AS kind FROM lineitem)
+SELECT l_orderkey, l_partkey, l_linenumber, CASE WHEN kind IS NOT NULL THEN CASE WHEN (f & 16 = 0) <> (kind = 'A') THEN 'R' ELSE 'L' END END AS side,
+       CASE WHEN l_quantity >= 40 AND kind IS NOT NULL THEN CASE WHEN ((f & 16 = 0) <> (kind = 'A')) <> (mf & 16 = 0) THEN l_suppkey ELSE l_suppkey + 100 END END AS bp FROM r""")
+def polya_placement(spark, sf_dir):
+    flag = F.col("l_returnflag")
+    rows = _table(spark, sf_dir, "lineitem").withColumns({"f": F.col("l_partkey") * 37 + F.col("l_suppkey"), "mf": F.col("l_orderkey") * 11 + F.col("l_linenumber"), "kind": F.when(flag == "A", "A").when(flag == "R", "T")})
+    at = S.polya_breakpoint(F.col("f"), F.col("kind"), F.col("mf"), F.col("l_suppkey"), F.col("l_suppkey") + 100, F.col("l_quantity"))
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", S.polya_side(F.col("f"), F.col("kind")).alias("side"), F.when(F.col("kind").isNotNull(), at).alias("bp"))
+
+
+@query(f"""
+SELECT o_orderkey, concat(lower(reverse(translate(c, 'ACGT', 'TGCA'))), a) AS left_text, concat(reverse(translate(a, 'ACGT', 'TGCA')), lower(c)) AS right_text
+FROM (SELECT o_orderkey, substr(b, 1, CAST(o_orderkey % 13 + 1 AS INTEGER)) AS c, substr(b, 14, 19) AS a FROM (SELECT o_orderkey, {_sql_bases('o_orderkey')} AS b FROM orders))""")
+def consensus_strings(spark, sf_dir):
+    none = F.lit(None).cast("array<int>")
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", bases("o_orderkey").alias("b"))
+    clip, rest = S.quality_seq(F.substring("b", F.lit(1), (F.col("o_orderkey") % 13 + 1).cast("int")), none), S.quality_seq(F.substring("b", 14, 19), none)
+    return rows.select("o_orderkey", S.consensus_text(clip, rest, "L")["seq"].alias("left_text"), S.consensus_text(clip, rest, "R")["seq"].alias("right_text"))
+
+
+@query("""
+WITH n AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1), c AS (SELECT l_orderkey AS k, max(l_suppkey) AS s, max(l_partkey) AS a FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT o_orderkey, CASE WHEN n > 5 THEN 'artefact' WHEN s IS NULL THEN 'wild-type' WHEN s % 2 = 0 THEN 'homozygous' ELSE 'heterozygous' END AS genotype, CASE WHEN n > 5 THEN 0 ELSE coalesce(s, 0) END AS score_genotype, CASE WHEN n > 5 THEN 0 ELSE coalesce(a, 0) END AS score_alternative
+FROM orders LEFT JOIN n ON n.k = o_orderkey LEFT JOIN c ON c.k = o_orderkey""")
+def completed_calls(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    calls = rows.filter("l_returnflag = 'R'").groupBy("o_orderkey").agg(F.max("l_suppkey").alias("score_genotype"), F.max("l_partkey").alias("score_alternative"))
+    calls = calls.withColumn("genotype", F.when(F.col("score_genotype") % 2 == 0, genotypes.HOMOZYGOUS).otherwise(genotypes.HETEROZYGOUS))
+    crowded = rows.groupBy("o_orderkey").agg(F.count("*").alias("n")).filter("n > 5")
+    return genotypes.complete_calls(_table(spark, sf_dir, "orders"), calls, crowded, ["o_orderkey"])
 
 
 _KMERS = {"left_ref": "substr(a, 1, 12)", "left_alt": "concat(substr(a, 1, CAST(l_quantity AS INTEGER) % 13), substr(z, 1, 12 - CAST(l_quantity AS INTEGER) % 13))", "right_alt": "substr(z, 13, 12)",
@@ -380,11 +487,14 @@ def file_cap(spark, sf_dir):
     return insertions.cap_by_file(_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"), "l_suppkey", 600)
 
 
-@query(f"""
+_TRUTH = """
 WITH f AS (SELECT l_suppkey AS contig, CASE WHEN l_returnflag <> 'N' THEN l_orderkey END AS l, CASE WHEN l_returnflag <> 'R' THEN l_orderkey + l_linenumber END AS r FROM lineitem)
 SELECT o_orderkey, contig, "left", "right", CASE WHEN EXISTS (SELECT 1 FROM f WHERE f.contig = t.contig AND f.l = t."left" AND f.r = t."right") THEN 'exact' WHEN EXISTS (SELECT 1 FROM f WHERE f.contig = t.contig AND f.l = t."left" AND f.r IS NULL) THEN 'right_polya'
        WHEN EXISTS (SELECT 1 FROM f WHERE f.contig = t.contig AND f.l IS NULL AND f.r = t."right") THEN 'left_polya' END AS tier
-FROM (SELECT o_orderkey, o_custkey % 100 AS contig, o_orderkey AS "left", o_orderkey + o_custkey % 7 AS "right" FROM orders) t""")
+FROM (SELECT o_orderkey, o_custkey % 100 AS contig, o_orderkey AS "left", o_orderkey + o_custkey % 7 AS "right" FROM orders) t"""
+
+
+@query(_TRUTH)
 def truth_membership(spark, sf_dir):
     flag = F.col("l_returnflag")
     found = _table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("contig"), F.when(flag != "N", F.col("l_orderkey")).alias("left"), F.when(flag != "R", F.col("l_orderkey") + F.col("l_linenumber")).alias("right"))
@@ -392,6 +502,11 @@ def truth_membership(spark, sf_dir):
     return insertions.truth_tier(truth, found, ["contig"])
 
 
+@query(f"""SELECT contig, count(tier) AS n_found, count(*) - count(tier) AS n_missed, 100.0 * count(tier) / count(*) AS found_percent, CASE WHEN count(tier) > 0 THEN 100.0 * count(*) FILTER (tier = 'right_polya') / count(tier) ELSE 0.0 END AS polya_percent FROM ({_TRUTH}) GROUP BY 1""")
+def sensitivity_by_contig(spark, sf_dir):
+    return reports.sensitivity(truth_membership(spark, sf_dir), ["contig"])
+
+
 @query(f"""
 WITH r AS (SELECT l_partkey, l_suppkey % 20 AS k, l_orderkey * 10 + l_linenumber AS o, {_COPY} AS s FROM (SELECT *, {_sql_bases('l_partkey')} AS a, {_sql_bases('l_orderkey')} AS z FROM lineitem)),
 n AS (SELECT l_partkey, k, count(*) AS n, min(length(s)) AS m, arg_max(s, {{'n': length(s), 'o': -o}}) AS seq FROM r GROUP BY ALL),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import MOUSE, Config
 from ..functions import sequence as S
-from ..operators import breakpoints, genotypes, insertions, intervals, ordered
+from ..operators import breakpoints, genotypes, insertions, intervals, ordered, reports
 from ..staging import staged
 
 
@@ -20,7 +20,7 @@ def discover(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
     than reads, are staged because several joins read them. A breakpoint's number is its first read's place among the
     reads of its sample, with its side: no two clusters of one side share a read.
     """
-    found, wanted = breakpoints.merge_clusters(breakpoints.clipped_reads(reads, config), config)
+    found, wanted, _ = breakpoints.merge_clusters(breakpoints.clipped_reads(reads, config), config)
     found = staged(found.withColumn("id", 4 * F.col("first") + F.when(F.col("side") == "L", 0).otherwise(1)), "breakpoints")
     polya = staged(breakpoints.polya_reads(reads, config).withColumn("id", 4 * F.col("ordinal") + 2), "polya-reads")
     claims = wanted.join(found.select(*breakpoints.CLUSTER, "id", "first"), breakpoints.CLUSTER)
@@ -54,6 +54,11 @@ def discover(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
     return staged(both.drop("left_id", "right_id"), "discoveries")
 
 
+def outcomes(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
+    """Counters of the discovery step: sample, side, outcome, n_clusters."""
+    return reports.outcome_counts(breakpoints.merge_clusters(breakpoints.clipped_reads(reads, config), config)[2], ["sample", "side"])
+
+
 def combine(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None = None, clip_hits: DataFrame | None = None, chain: DataFrame | None = None, chunk: int = 10_000, config: Config = MOUSE) -> DataFrame:
     """Targets for genotyping from the discoveries of many files: name, contig, l, r, l_alt, l_ref, r_alt, r_ref.
 

@@ -151,12 +151,12 @@ def read_sam(spark: SparkSession, path: str, sample: str) -> DataFrame:
     ops = F.transform(F.regexp_extract_all(f(5), F.lit("[0-9]+[MIDNSHP=X]"), F.lit(0)), lambda x: F.struct(F.element_at(codes, F.right(x, F.lit(1))).alias("op"), x.alias("x")))
     ops = F.transform(ops, lambda o: F.struct(o["op"].alias("op"), F.regexp_extract(o["x"], "[0-9]+", 0).cast("int").alias("len")))
     pos = f(3).cast("long") - 1
-    tags = F.filter(F.slice(F.col("f"), 12, 10_000), lambda x: x.startswith("SA:Z:"))
+    tags = F.filter(F.slice(F.col("f"), 12, F.size("f")), lambda x: x.startswith("SA:Z:"))
     along = F.aggregate("cigar", F.lit(0).cast("long"), lambda acc, c: acc + F.when(c["op"].isin(*_ON_REFERENCE), c["len"]).otherwise(0))
     known = lambda c, none: F.when(c != none, c)
     rows = lines.select(
         F.lit(sample).alias("sample"), F.monotonically_increasing_id().alias("ordinal"), f(0).alias("qname"), f(1).cast("int").alias("flag"), known(f(2), "*").alias("contig"), pos.alias("pos"),
         f(4).cast("int").alias("mapq"), F.when(F.size(ops) > 0, ops).alias("cigar"), known(f(9), "*").alias("seq"),
-        F.when(f(10) != "*", F.transform(F.filter(F.split(f(10), ""), lambda c: c != ""), lambda c: F.ascii(c) - 33)).alias("qual"), F.substring(F.get(tags, F.lit(0)), 6, 1_000_000).alias("sa"),
+        F.when(f(10) != "*", F.transform(F.filter(F.split(f(10), ""), lambda c: c != ""), lambda c: F.ascii(c) - 33)).alias("qual"), F.substr(F.get(tags, F.lit(0)), F.lit(6)).alias("sa"),
     )
     return rows.withColumn("end", F.when(F.col("cigar").isNotNull(), F.col("pos") + along)).select("sample", "ordinal", "qname", "flag", "contig", "pos", "end", "mapq", "cigar", "seq", "qual", "sa")

@@ -113,9 +113,9 @@ def read_legacy(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Older combined files: file, name, section, value for each line below an @ marker of a > record."""
     rows = lines(spark, path).filter(F.trim("value") != "")
     v = F.col("value")
-    rows = ordered.forward_fill(rows, ["file"], "line_no", F.when(v.startswith(">"), F.substring(v, 2, 10_000)), "name")
+    rows = ordered.forward_fill(rows, ["file"], "line_no", F.when(v.startswith(">"), F.substr(v, F.lit(2))), "name")
     # A record's own markers only: the record's start ends the section before.
-    rows = ordered.forward_fill(rows, ["file"], "line_no", F.when(v.startswith("@"), F.substring(v, 2, 10_000)).when(v.startswith(">"), ""), "section")
+    rows = ordered.forward_fill(rows, ["file"], "line_no", F.when(v.startswith("@"), F.substr(v, F.lit(2))).when(v.startswith(">"), ""), "section")
     return rows.filter(~v.startswith(">") & ~v.startswith("@") & (F.col("section") != "")).select("file", "line_no", "name", "section", "value")
 
 

@@ -139,6 +139,8 @@ def test_steps_end_to_end(spark, tmp_path):
     found = steps.discover(reads).withColumn("file", F.col("sample")).cache()
     assert {(x.file, x.left, x.right, x.kind) for x in found.collect()} == {(s, left, right, "full") for s in ("hom", "het")}
     assert all(inserted.startswith(x.right_clipped.seq[:15]) and rc(inserted).startswith(x.left_clipped.seq[:15]) for x in found.collect())
+    counts = {(x.sample, x.side, x.outcome): x.n_clusters for x in steps.outcomes(reads).collect()}
+    assert all(counts[s, side, "passed"] == 1 for s in ("hom", "het") for side in "LR") and not any(s == "wt" for s, _, _ in counts)
     # The written form reads back as the same insertions.
     records.write_text(records.discovery_records(found.filter("file = 'hom'")), str(tmp_path / "hom"))
     back = records.read_discoveries(spark, str(tmp_path / "hom")).collect()
