@@ -246,3 +246,21 @@ def link_components(docs: DataFrame) -> DataFrame:
 def op7(spark, sf_dir) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.8 or more."""
     return link_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP7_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM w
+), x AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = s.doc_id) AS component_id FROM s
+"""

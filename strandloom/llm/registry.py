@@ -16,4 +16,4 @@ QUERIES = {
     "op9_neighbours": neighbours.op9,
     "op10_fingerprints": digest.op10,
 }
-ORACLE_SQL = {"op5_mixing": mixing.OP5_SQL}
+ORACLE_SQL = {"op5_mixing": mixing.OP5_SQL, "op7_jaccard_join": jaccard_join.OP7_SQL}
