@@ -9,8 +9,8 @@ least number leave room to drop each set's thinnest signatures, which unlike set
 
 Steps: equal sets are one node; sets that cannot share enough of the low end of their elements with any other set are
 put aside (no link is lost); of the others, signatures that two sets have are kept. Each set is verified first against
-one pivot, the most ordinary set among those that share most of its signatures, and then, if still apart, against
-another; so a large group of near copies costs one or two checks for each member. Signatures whose sets are still in different components are then joined: a pair comes out
+one pivot, the most ordinary set among those that share most of its signatures, and then, while still apart, against
+others; so a large group of near copies costs a few checks for each member. Signatures whose sets are still in different components are then joined: a pair comes out
 of that join only if the parities of both sets in 1,024 cells, a lower bound of their difference, allow a link, and is
 verified on the whole sets.
 """
@@ -32,6 +32,8 @@ from .shingles import long_lists, mix64, shingle_sets
 SIMILAR = 80
 #: Second-level parts of a first-level part; any two of them sign together.
 SECOND = ((0, 1), (0, 2), (1, 2))
+#: Pivots that a set is verified against after the first one, while a signature of it has sets of other components.
+MORE_PIVOTS = 2
 #: Words of 64 parity bits.
 PARITY = 16
 
@@ -225,21 +227,22 @@ def link_components(docs: DataFrame) -> DataFrame:
     # A set has a signature once.
     shared = signed.groupBy("sig").agg(F.count("*").alias("often")).filter("often > 1").select("sig")
     kept = stored(signed.join(shared, "sig").select("sig", "node", "w", F.col("node").alias("g")), "kept")
-    # First each set with the most ordinary one of its signatures, then those still apart with one that a hash picks.
+    # First each set with the most ordinary one of its signatures, then those still apart with ones that hashes pick.
     place = F.shiftrightunsigned(F.xxhash64("node"), 24)
-    first = stored(_verified(_with_pivots(kept, F.least("w", F.lit(1 << 22)) * F.lit(1 << 40) + place), sets), "links-first")
-    group = stored(components(first), "groups")
-    apart = stored(_apart(kept, group), "apart")
-    more = stored(_verified(_with_pivots(apart, place), sets), "links-more")
-    group = stored(components(first.union(more)), "groups")
-    rows = stored(_apart(apart, group), "apart")
+    links = stored(_verified(_with_pivots(kept, F.least("w", F.lit(1 << 22)) * F.lit(1 << 40) + place), sets), "links-first")
+    rows, group = kept, stored(components(links), "groups")
+    for salt in range(MORE_PIVOTS):
+        rows = stored(_apart(rows, group), "apart")
+        links = links.union(stored(_verified(_with_pivots(rows, F.xxhash64("node", F.lit(salt))), sets), "links-more"))
+        group = stored(components(links), "groups")
+    rows = stored(_apart(rows, group), "apart")
     common = _left_over(rows, sets)
     second = stored(_verified(_pairs_apart(rows, common, sets), sets), "links-second")
-    links = components(first.union(more).union(second))
+    links = components(links.union(second))
     nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
     by_set = nodes.join(links, "node", "left").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("component"))
     joined = profile.select("doc_id", "n", "h1", "h2").join(by_set, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & (F.col("n") > 0), "left")
-    discard(kept, sets, apart, rows, group, hopeful)
+    discard(kept, sets, rows, group, hopeful)
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
