@@ -169,17 +169,21 @@ def _hopeful(docs: DataFrame, profile: DataFrame) -> DataFrame:
     return kept.groupBy("node").agg(F.max(shared).cast("int").alias("w"))
 
 
-def _with_pivots(kept: DataFrame, order: Column) -> DataFrame:
-    """(a, b): each set b with the set a that comes first by order (the greatest) in most of its signatures, if not its own component's."""
-    pivots = kept.groupBy("sig").agg(F.max_by(F.struct("node", "g"), order).alias("pivot"))
-    pairs = kept.join(pivots, "sig").filter((F.col("pivot.node") != F.col("node")) & (F.col("pivot.g") != F.col("g")))
-    counted = pairs.groupBy(F.col("pivot.node").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))
-    return counted.groupBy("b").agg(F.max(F.struct("c", -F.col("a"))).alias("top")).select((-F.col("top")["col2"]).alias("a"), "b")
+def _most_shared(pairs: DataFrame) -> DataFrame:
+    """(sig, pivot, node) -> (a, b): each node b with its pivot a of most signatures."""
+    counted = pairs.groupBy("pivot", "node").agg(F.count("*").alias("c"))
+    return counted.groupBy("node").agg(F.max(F.struct("c", -F.col("pivot"))).alias("top")).select((-F.col("top")["col2"]).alias("a"), F.col("node").alias("b"))
+
+
+def _with_pivots(rows: DataFrame, salt: int) -> DataFrame:
+    """(a, b): each set b of (sig, node, g) with the pivot a, picked by a hash, of most of its signatures, if that is of another component."""
+    pivots = rows.groupBy("sig").agg(F.max_by(F.struct("node", "g"), F.xxhash64("node", F.lit(salt))).alias("p"))
+    return _most_shared(rows.join(pivots, "sig").filter(F.col("p.g") != F.col("g")).select("sig", F.col("p.node").alias("pivot"), "node"))
 
 
 def _apart(kept: DataFrame, group: DataFrame) -> DataFrame:
-    """Of (sig, node, w) those whose signature has sets of different components, with g, the component of the set."""
-    placed = kept.drop("g").join(group, "node", "left").select("sig", "node", "w", F.coalesce("component", "node").alias("g"))
+    """Of (sig, node) those whose signature has sets of different components, with g, the component of the set."""
+    placed = kept.join(group, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("g"))
     apart = placed.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("sig")
     return placed.join(apart, "sig")
 
@@ -223,26 +227,30 @@ def link_components(docs: DataFrame) -> DataFrame:
     hopeful = stored(_hopeful(docs, profile), "hopeful")
     sets = docs.join(hopeful, docs["doc_id"] == hopeful["node"]).select("doc_id", "w", "text")
     sets = stored(sets.mapInArrow(_whole_sets, "node long, w int, n long, parity array<long>, elements array<long>").filter("n > 0"), "sets")
-    signed = stored(sets.mapInArrow(_signed, "node long, w int, sigs array<long>"), "signatures").select("node", "w", F.explode("sigs").alias("sig"))
-    # A set has a signature once.
-    shared = signed.groupBy("sig").agg(F.count("*").alias("often")).filter("often > 1").select("sig")
-    kept = stored(signed.join(shared, "sig").select("sig", "node", "w", F.col("node").alias("g")), "kept")
-    # First each set with the most ordinary one of its signatures, then those still apart with ones that hashes pick.
-    place = F.shiftrightunsigned(F.xxhash64("node"), 24)
-    links = stored(_verified(_with_pivots(kept, F.least("w", F.lit(1 << 22)) * F.lit(1 << 40) + place), sets), "links-first")
-    rows, group = kept, stored(components(links), "groups")
+    written = stored(sets.mapInArrow(_signed, "node long, w int, sigs array<long>"), "signatures")
+    signed = written.select("node", "w", F.explode("sigs").alias("sig"))
+    # A set has a signature once. The most ordinary set comes first, equal ones in the order of a hash.
+    place = F.least("w", F.lit(1 << 22)) * F.lit(1 << 40) + F.shiftrightunsigned(F.xxhash64("node"), 24)
+    shared = signed.groupBy("sig").agg(F.count("*").alias("often"), F.max_by("node", place).alias("pivot")).filter("often > 1")
+    kept = stored(signed.select("sig", "node").join(shared.select("sig", "pivot"), "sig"), "kept")
+    discard(written)
+    links = stored(_verified(_most_shared(kept.filter("pivot <> node")), sets), "links-first")
+    group = stored(components(links), "groups")
+    rows = stored(_apart(kept.select("sig", "node"), group), "apart")
+    discard(kept, group)
+    # Those still apart meet pivots that hashes pick.
     for salt in range(MORE_PIVOTS):
-        rows = stored(_apart(rows, group), "apart")
-        links = links.union(stored(_verified(_with_pivots(rows, F.xxhash64("node", F.lit(salt))), sets), "links-more"))
-        group = stored(components(links), "groups")
-    rows = stored(_apart(rows, group), "apart")
+        links = links.union(stored(_verified(_with_pivots(rows, salt), sets), "links-more"))
+        group, before = stored(components(links), "groups"), rows
+        rows = stored(_apart(before.select("sig", "node"), group), "apart")
+        discard(before, group)
     common = _left_over(rows, sets)
     second = stored(_verified(_pairs_apart(rows, common, sets), sets), "links-second")
     links = components(links.union(second))
     nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
     by_set = nodes.join(links, "node", "left").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("component"))
     joined = profile.select("doc_id", "n", "h1", "h2").join(by_set, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & (F.col("n") > 0), "left")
-    discard(kept, sets, rows, group, hopeful)
+    discard(sets, rows, hopeful)
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
