@@ -10,9 +10,10 @@ least number leave room to drop each set's thinnest signatures, which unlike set
 Steps: equal sets are one node; sets that cannot share enough of the low end of their elements with any other set are
 put aside (no link is lost); of the others, signatures that two sets have are kept. Each set is verified first against
 one pivot, the most ordinary set among those that share most of its signatures, and then, while still apart, against
-others; so a large group of near copies costs a few checks for each member. Signatures whose sets are still in different components are then joined: a pair comes out
-of that join only if the parities of both sets in 1,024 cells, a lower bound of their difference, allow a link, and is
-verified on the whole sets.
+others; so a large group of near copies costs a few checks for each member. Signatures whose sets are still in different
+components are then joined, of those that the same sets have one. A pair comes out of that join only if the parities of
+both sets in 1,024 cells, a lower bound of their difference, allow a link, and only where no signature among the last
+few before this one is common too; it is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, pieces, prepare, stored
@@ -36,6 +37,8 @@ SECOND = ((0, 1), (0, 2), (1, 2))
 MORE_PIVOTS = 2
 #: Words of 64 parity bits.
 PARITY = 16
+#: Signatures before one, in order, that are looked at for an earlier meeting of the same pair.
+BEFORE = 8
 
 
 def _low_sizes(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,6 +191,16 @@ def _apart(kept: DataFrame, group: DataFrame) -> DataFrame:
     return placed.join(apart, "sig")
 
 
+def _one_of_alike(rows: DataFrame) -> DataFrame:
+    """(sig, node, g) of one signature for each set of nodes: signatures that the same nodes have give the same pairs.
+
+    Two long texts share thousands of signatures. Sets of nodes are told apart by their number and two hashes.
+    """
+    hashes = [F.bit_xor(F.xxhash64("node", F.lit(s))).alias(f"h{s}") for s in (0, 1)]
+    nodes = rows.groupBy("sig").agg(F.count("*").alias("often"), *hashes)
+    return rows.join(nodes.groupBy("often", "h0", "h1").agg(F.min("sig").alias("sig")).select("sig"), "sig")
+
+
 def _left_over(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, g, n, common) of the sets in rows that may have a link to one of another component.
 
@@ -201,15 +214,20 @@ def _left_over(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _pairs_apart(rows: DataFrame, common: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a signature and whose parities allow a link."""
+    """Pairs (a, b) of different components that share a signature and whose parities allow a link.
+
+    A pair meets at its least shared signature, before which nothing is shared, so none is lost; at most later ones it
+    is passed over, as long texts would meet thousands of times.
+    """
     bits = [f"p{i}" for i in range(PARITY)]
     about = common.join(sets.select("node", *(F.col("parity")[i].alias(c) for i, c in enumerate(bits))), "node")
-    rows = rows.select("sig", "node").join(about, "node")
-    other = rows.select("sig", *(F.col(c).alias(f"{c}_b") for c in ("node", "g", "n", "common", *bits)))
+    last = Window.partitionBy("node").orderBy("sig").rowsBetween(-BEFORE, -1)
+    rows = rows.select("sig", "node").join(about, "node").withColumn("before", F.collect_list("sig").over(last))
+    other = rows.select("sig", *(F.col(c).alias(f"{c}_b") for c in ("node", "g", "n", "common", "before", *bits)))
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in bits), F.lit(0))
     total = F.col("n") + F.col("n_b")
     can = (F.col("node") < F.col("node_b")) & (F.col("g") != F.col("g_b")) & ((100 + SIMILAR) * F.least("common", "common_b") >= SIMILAR * total) & ((100 + SIMILAR) * apart <= (100 - SIMILAR) * total)
-    return rows.join(other, (rows["sig"] == other["sig"]) & can).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+    return rows.join(other, (rows["sig"] == other["sig"]) & can & ~F.arrays_overlap("before", "before_b")).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def link_components(docs: DataFrame) -> DataFrame:
@@ -244,6 +262,8 @@ def link_components(docs: DataFrame) -> DataFrame:
         group, before = stored(components(links), "groups"), rows
         rows = stored(_apart(before.select("sig", "node"), group), "apart")
         discard(before, group)
+    rows, before = stored(_one_of_alike(rows), "alike"), rows
+    discard(before)
     common = _left_over(rows, sets)
     second = stored(_verified(_pairs_apart(rows, common, sets), sets), "links-second")
     links = components(links.union(second))
