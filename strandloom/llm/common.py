@@ -95,3 +95,14 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(at, to - at)
             at = to
 
+
+def list_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose lists have about limit elements in all; a longer list comes alone. No row is split or lost."""
+    for batch in batches:
+        ends = np.cumsum(pa.compute.list_value_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(at, to - at)
+            at = to
