@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, digest, filter_audit, jaccard_join, language, mixing, neighbours, repeats, secret_scan, sentence_pieces, sharding, toxicity
+from . import bpe, digest, filter_audit, hard_negatives, jaccard_join, language, mixing, neighbours, repeats, secret_scan, sentence_pieces, sharding, toxicity
 
 QUERIES = {
     "op1_bpe": bpe.op1,
@@ -15,7 +15,8 @@ QUERIES = {
     "op8_toxicity": toxicity.op8,
     "op9_neighbours": neighbours.op9,
     "op10_fingerprints": digest.op10,
+    "op11_hard_negatives": hard_negatives.op11,
     "op12_filter_audit": filter_audit.op12,
     "op13_sentence_pieces": sentence_pieces.op13,
 }
-ORACLE_SQL = {"op12_filter_audit": filter_audit.OP12_SQL, "op5_mixing": mixing.OP5_SQL, "op7_jaccard_join": jaccard_join.OP7_SQL}
+ORACLE_SQL = {"op11_hard_negatives": hard_negatives.OP11_SQL, "op12_filter_audit": filter_audit.OP12_SQL, "op5_mixing": mixing.OP5_SQL, "op7_jaccard_join": jaccard_join.OP7_SQL}
