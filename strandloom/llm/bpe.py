@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, prepare
+from .common import list_slices, pieces, prepare
 
 #: Words that a worker remembers, in each of two generations.
 REMEMBERED = 150_000
+#: Ids whose pieces are put together at once.
+PLACES = 1 << 18
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -102,7 +104,14 @@ class _Words(dict):
         return ids
 
 
-_WORKER: dict[int, _Words] = {}
+_WORKER: list[_Words] = []
+
+
+def _words(ranks: dict[bytes, int]) -> _Words:
+    """The worker's words; those of another vocabulary are dropped."""
+    if not _WORKER or _WORKER[0].ranks is not ranks:
+        _WORKER[:] = [_Words(ranks)]
+    return _WORKER[0]
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", into: str = "ids") -> DataFrame:
@@ -121,9 +130,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
         import regex
 
         find = regex.compile(pattern).findall
-        ranks = shared.value
-        words = _WORKER.get(id(ranks)) or _WORKER.setdefault(id(ranks), _Words(ranks))
-        get = words.__getitem__
+        get = _words(shared.value).__getitem__
         for batch in pieces(batches, text_col):
             rows = [b"".join(map(get, find(t))) if t else b"" for t in batch.column(text_col).to_pylist()]
             ends = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int64).astype(np.int32)
@@ -146,21 +153,19 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", into: str = "de
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         body, starts, sizes = shared.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                lists = batch.column(ids_col)
-                if lists.null_count:
-                    lists = pa.array(lists.to_pylist(), lists.type).fill_null([])
-                ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                rows = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-                size = sizes[ids]
-                ends = np.concatenate([[0], np.cumsum(size)])
-                places = np.repeat(starts[ids] - ends[:-1], size) + np.arange(ends[-1])
-                data = body[places].tobytes()
-                off = ends[rows].astype(np.int64)
-                out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(data)]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, into])
+        for batch in list_slices(batches, ids_col):
+            lists = batch.column(ids_col)
+            if lists.null_count:
+                lists = pa.array(lists.to_pylist(), lists.type).fill_null([])
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            rows = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            size = sizes[ids]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            # The pieces of a long list are put together a part at a time.
+            parts = [slice(at, at + PLACES) for at in range(0, len(ids), PLACES)]
+            data = b"".join(body[np.repeat(starts[ids[p]] - (ends[:-1][p] - ends[p.start]), size[p]) + np.arange(size[p].sum())].tobytes() for p in parts)
+            out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(ends[rows].tobytes()), pa.py_buffer(data)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, into])
 
     return df.mapInArrow(work, T.StructType([*df.schema.fields, T.StructField(into, T.BinaryType())]))
 

@@ -10,7 +10,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Word of the contracts: a run of anything but ASCII white space.
@@ -58,6 +59,21 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def with_places(df: DataFrame, into: str) -> DataFrame:
+    """df + into: a long that is another for each row, and the same in every scan: the file's number and the row's in the file.
+
+    df must be a plain scan of Parquet files; another table is written first. Files are numbered in the order of their
+    names, a list that the driver holds for any scan; so the number does not depend on how a scan is split into tasks.
+    """
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
+    except AnalysisException:
+        df = stored(df, "placed")
+        placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
+    files = placed.select("__file").distinct().withColumn("__number", F.row_number().over(Window.orderBy("__file")))
+    return placed.join(F.broadcast(files), "__file").withColumn(into, F.shiftleft(F.col("__number").cast("long"), 40) + F.col("__index")).drop("__file", "__index", "__number")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

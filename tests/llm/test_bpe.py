@@ -54,3 +54,10 @@ def test_long_words_fold_alike(library):
 
 def test_empty_table(spark, tmp_path):
     assert bpe.op1(spark, tables(spark, tmp_path, [])).filter(F.lit(True)).count() == 0
+
+
+def test_decoding_is_by_parts_of_long_lists_and_replaces_a_column(spark, library):
+    rows = [(0, [262] * 700_000, b"old"), (1, None, b"old"), (2, [1, 2, 3] * 100, None), (2, [1, 2, 3] * 100, None), (3, [], None)]
+    out = bpe.decode(spark.createDataFrame(rows, "k int, ids array<int>, decoded binary"), RANKS).collect()
+    assert [bytes(r.decoded) for r in out] == [library.decode_bytes(x or []) for _, x, _ in rows]
+    assert out[0].__fields__.count("decoded") == 1

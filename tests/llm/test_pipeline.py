@@ -6,7 +6,7 @@ import pytest
 
 from strandloom.llm import bpe
 
-from .helpers import tables
+from .helpers import DOCS, tables
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -78,3 +78,27 @@ def test_unlike_texts_of_one_id_stay(spark, tmp_path):
     out = corpus_pipeline.keep_one_of_near_copies(spark, docs, folder).collect()
     want = [(5, text), (5, "quite another text that is not like it"), (None, "some words without an id at all"), (None, "other words without an id at all"), (8, ""), (9, "")]
     assert sorted(((r.doc_id, r.text) for r in out), key=repr) == sorted(want, key=repr)
+
+
+def test_places_do_not_depend_on_how_a_table_is_scanned(spark, tmp_path):
+    """The rows that go are copies, also where the number of tasks changes between the scans of one table."""
+    from strandloom.llm.common import with_places
+
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(i, words(i % 60), "en", "s", 1) for i in range(240)]
+    spark.createDataFrame(rows, DOCS).repartition(5).write.parquet(f"{tmp_path}/docs")
+    seen = []
+    for split in ("1", "64"):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", split)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k" if split == "64" else "128m")
+        try:
+            docs = spark.read.parquet(f"{tmp_path}/docs")
+            seen.append({(r.doc_id, r.text): r.at for r in with_places(docs, "at").collect()})
+            kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, str(tmp_path)).collect()
+            assert sorted(r.doc_id for r in kept) == list(range(60))
+        finally:
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] == seen[1] and len(set(seen[0].values())) == 240
+    made = with_places(docs.filter("doc_id < 100").union(docs.filter("doc_id < 10")), "at").collect()
+    assert len(made) == 110 == len({r.at for r in made})
