@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.llm import bpe, jaccard_join, mixing, secret_scan, toxicity
-from strandloom.llm.common import stored, table
+from strandloom.llm.common import stored, table, with_places
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,9 +25,10 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """One document of each component of near copies: the one with the least id, without an id if none has one.
 
     Rows are told apart by their place in the table, so unlike texts that share an id, or have none, stay both, and of
-    repeated rows with words one stays. docs must be a written table, whose places do not change between scans.
+    repeated rows with words one stays. The place is that in the written file, whatever tasks scan it; docs that are no
+    scan of Parquet files are written first.
     """
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    rows = with_places(docs, "__row")
     linked = jaccard_join.link_components(rows.select(F.col("__row").alias("doc_id"), "text")).filter("component_id is not null")
     named = rows.select("__row", "doc_id").join(linked.select(F.col("doc_id").alias("__row"), "component_id"), "__row")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
