@@ -35,9 +35,9 @@ SPACE = "▁"
 #: Kinds of pieces in a model file (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Characters of words that a worker remembers, in each of two generations, and the longest word that it remembers.
-REMEMBERED, LONGEST = 8_000_000, 200
+REMEMBERED, LONGEST = 1_500_000, 200
 #: Verdicts on pairs that a worker remembers.
-PAIRS = 1_000_000
+PAIRS = 300_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
