@@ -46,7 +46,7 @@ def merge_clusters(clips: DataFrame, config: Config = MOUSE) -> tuple[DataFrame,
     all reads, and their votes are staged for them.
     """
     left = F.col("side") == "L"
-    rows = ordered.gap_clusters(clips, ["sample", "contig", "side"], "bp", config.cluster_gap, ("ordinal",))
+    rows = ordered.gap_clusters(clips, ["sample", "contig", "side"], "bp", config.cluster_gap)
     rows = rows.withColumn("raw", F.col("clip")).withColumn("clip", S.clean_clip(F.when(left, S.q_revcomp(F.col("clip"))).otherwise(F.col("clip")), config))
     rows = rows.withColumn("has_mate", F.when(left, ~F.col("forward")).otherwise(F.col("forward")))
     rows = staged(rows, "clipped-reads")  # read by each of the aggregations below

@@ -2,33 +2,142 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.sequence import BASES
 
 
+#: Places whose weights a task holds before it passes them on.
+HELD = 1 << 20
+
+
+class _Pileup:
+    """Weights of bases by key and place, added up over batches."""
+
+    def __init__(self):
+        self.weights: dict[tuple, np.ndarray] = {}
+        self.single: dict[tuple, tuple] = {}
+        self.n: dict[tuple, int] = {}
+        self.held = 0
+
+    def add(self, batch: pa.RecordBatch, keys: list[str], seq: str, qual: str) -> None:
+        columns = [batch.column(k).to_pylist() for k in keys]
+        rows = list(zip(*columns, strict=True)) if keys else [()] * batch.num_rows
+        number: dict[tuple, int] = {}
+        group = np.fromiter((number.setdefault(k, len(number)) for k in rows), np.int64, len(rows))
+        seqs, quals = batch.column(seq), batch.column(qual)
+        ascii_only = pa.compute.replace_substring_regex(seqs.fill_null(""), r"[^\x00-\x7F]", "N")
+        lengths = pa.compute.binary_length(ascii_only).to_numpy(zero_copy_only=False).astype(np.int64)
+        text = np.frombuffer("".join(ascii_only.to_pylist()).encode(), np.uint8)
+        weights = pa.compute.fill_null(quals.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = quals.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if not (sizes == lengths).all():  # the shorter of both counts
+            both = np.minimum(sizes, lengths)
+            cut = lambda x, of: x[np.repeat(np.cumsum(of) - of, both) + _within(both)]
+            text, weights, lengths = cut(text, lengths), cut(weights, sizes), both
+        longest = np.zeros(len(number), np.int64)
+        np.maximum.at(longest, group, lengths)
+        heads = np.cumsum(longest) - longest
+        codes = CODE[text]
+        some = codes < len(BASES)
+        cell = ((np.repeat(heads[group], lengths) + _within(lengths)) * len(BASES) + codes)[some]
+        sums = np.zeros(int(longest.sum()) * len(BASES), np.int64)
+        np.add.at(sums, cell, weights[some])
+        sums = sums.reshape(-1, len(BASES))
+        counts = np.bincount(group, minlength=len(number)).tolist()
+        first = np.zeros(len(number), np.int64)
+        first[group[::-1]] = np.arange(len(rows))[::-1]
+        for key, g in number.items():
+            new, old = sums[heads[g] : heads[g] + longest[g]], self.weights.get(key)
+            if key in self.n:
+                self.n[key] += counts[g]
+                if len(new) > len(old):
+                    new[: len(old)] += old
+                    self.held += len(new) - len(old)
+                else:
+                    old[: len(new)] += new
+                    new = old
+            else:
+                self.n[key] = counts[g]
+                self.single[key] = (seqs[first[g]].as_py(), quals[first[g]].as_py()) if counts[g] == 1 else (None, None)
+                self.held += len(new) + 1
+            self.weights[key] = new.copy()
+
+    def rows(self, names: list[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """A row for each key, at place -1, with its number of sequences and the sequence if it has one; and a row for each place."""
+        keys = list(self.weights)
+        for at in range(0, len(keys), 4096):
+            some = keys[at : at + 4096]
+            sizes = np.array([len(self.weights[k]) + 1 for k in some])
+            heads = np.cumsum(sizes) - sizes
+            table = np.zeros((int(sizes.sum()), 4), np.int64)
+            n, sequences, qualities = np.zeros(len(table), np.int64), [None] * len(table), [None] * len(table)
+            for k, h in zip(some, heads.tolist(), strict=True):
+                table[h + 1 : h + 1 + len(self.weights[k])] = self.weights[k]
+                n[h] = self.n[k]
+                if self.n[k] == 1:
+                    sequences[h], qualities[h] = self.single[k]
+            owner = np.repeat(np.arange(len(some)), sizes)
+            columns = [pa.array([k[i] for k in some], schema.field(c).type).take(pa.array(owner)) for i, c in enumerate(names)]
+            columns += [pa.array(_within(sizes) - 1, pa.int32()), *(pa.array(table[:, b]) for b in range(4)), pa.array(n), pa.array(sequences, pa.string()), pa.array(qualities, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of sizes."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+
+
+CODE = np.full(256, 4, np.uint8)
+CODE[[ord(b) for b in BASES]] = range(len(BASES))
+
+
 def weighted_consensus(df: DataFrame, keys: list[str], seq: str, qual: str) -> DataFrame:
     """keys, seq, qual: at each place the base with more weight than the other three, weight being the quality's sum.
 
     The consensus ends at the first place without such a base; its quality is the winner's lead. A single sequence is
     its own consensus; an empty group does not exist, and one whose first place has no winner gives '' and no
-    qualities. Places and bases are aggregated, so groups of any depth are combined before they are shuffled, and what
-    is collected for a key is as long as its sequences. Other letters have no weight.
+    qualities. Other letters have no weight, nor have a null sequence, a null quality and what either is longer.
+
+    A task adds up the weights of its sequences by key and place as arrays and passes on a row for each place, bounded
+    numbers of places at a time; these are summed by place, and what is collected for a key is as long as its
+    sequences. The input is scanned once.
     """
-    rows = df.select(*keys, F.col(seq).alias("__s"), F.col(qual).alias("__q"))
-    single = rows.groupBy(*keys).agg(F.count("*").alias("__n"), F.first("__s").alias("__s1"), F.first("__q").alias("__q1"))
-    at = rows.select(*keys, F.posexplode(F.arrays_zip(F.filter(F.split("__s", ""), lambda c: c != "").alias("b"), F.col("__q").alias("w"))).alias("__p", "__x"))
-    sums = [F.sum(F.when(F.col("__x.b") == b, F.col("__x.w")).otherwise(0)).alias(b) for b in BASES]
-    places = at.groupBy(*keys, "__p").agg(*sums)
+    rows = df.select(*keys, F.col(seq).alias("__s"), F.col(qual).cast("array<int>").alias("__q"))
+    fields = [*(rows.schema[k] for k in keys), T.StructField("__p", T.IntegerType()), *(T.StructField(b, T.LongType()) for b in (*BASES, "__n")), T.StructField("__s", T.StringType()), T.StructField("__q", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.name for f in schema.fields]
+        pileup, kinds = _Pileup(), None
+        for batch in batches:
+            if batch.num_rows:
+                kinds = kinds or pa.schema([*(batch.schema.field(k) for k in keys), pa.field("__p", pa.int32()), *(pa.field(c, pa.int64()) for c in (*BASES, "__n")), pa.field("__s", pa.string()), pa.field("__q", pa.list_(pa.int32()))])
+                pileup.add(batch, keys, "__s", "__q")
+            if pileup.held > HELD:
+                yield from pileup.rows(names[: len(keys)], kinds)
+                pileup = _Pileup()
+        if kinds is not None:
+            yield from pileup.rows(names[: len(keys)], kinds)
+
+    parts = rows.mapInArrow(work, schema)
+    places = parts.groupBy(*keys, "__p").agg(*(F.sum(b).alias(b) for b in (*BASES, "__n")), F.first("__s", True).alias("__s"), F.first("__q", True).alias("__q"))
     top = F.greatest(*BASES)
     base = F.expr("case " + " ".join(f"when {b} = greatest({', '.join(BASES)}) then '{b}'" for b in BASES) + " end")
     lead = 2 * top - sum(F.col(b) for b in BASES)
-    scored = places.select(*keys, F.struct("__p", base.alias("b"), lead.cast("int").alias("d")).alias("__x"))
-    lists = scored.groupBy(*keys).agg(F.array_sort(F.collect_list("__x")).alias("__l"))
+    head = lambda c: F.max(F.when(F.col("__p") < 0, F.col(c))).alias(c)
+    scored = F.when(F.col("__p") >= 0, F.struct("__p", base.alias("b"), lead.cast("int").alias("d")))
+    lists = places.groupBy(*keys).agg(F.array_sort(F.collect_list(scored)).alias("__l"), head("__n"), head("__s"), head("__q"))
     stop = F.aggregate("__l", F.lit(0), lambda n, x: F.when((x["__p"] == n) & (x["d"] > 0), n + 1).otherwise(n))
     cut = lists.withColumn("__cut", F.slice("__l", F.lit(1), stop))
-    made = cut.select(*keys, F.array_join(F.transform("__cut", lambda x: x["b"]), "").alias("__sc"), F.transform("__cut", lambda x: x["d"]).alias("__qc"))
-    both = single.join(made, keys, "left")
+    made = F.array_join(F.transform("__cut", lambda x: x["b"]), ""), F.transform("__cut", lambda x: x["d"])
     one = F.col("__n") == 1
-    return both.select(*keys, F.when(one, F.col("__s1")).otherwise(F.coalesce("__sc", F.lit(""))).alias(seq), F.when(one, F.col("__q1")).otherwise(F.coalesce("__qc", F.array().cast("array<int>"))).alias(qual))
+    return cut.select(*keys, F.when(one, F.col("__s")).otherwise(made[0]).alias(seq), F.when(one, F.col("__q")).otherwise(made[1]).alias(qual))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MOUSE
+from . import axis
 
 
 def _binned(df: DataFrame, start: str, end: str, width: int, into: str) -> DataFrame:
@@ -28,11 +29,27 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], a_range: tuple[str
     return joined.filter((F.col(a0) < F.col(b1)) & (F.col(b0) < F.col(a1)) & (F.col("__bin") == first)).drop("__bin")
 
 
-def count_overlaps(targets: DataFrame, reads: DataFrame, keys: list[str], target_range: tuple[str, str], read_range: tuple[str, str], ids: list[str], width: int = 1000) -> DataFrame:
-    """ids of all targets + n: overlapping reads, 0 if none. The counts are combined before they are shuffled."""
-    pairs = overlap_join(targets.select(*ids, *keys, *target_range), reads.select(*keys, *read_range), keys, target_range, read_range, width)
-    counts = pairs.groupBy(*ids).agg(F.count("*").alias("n"))
-    return targets.select(*ids).distinct().join(counts, ids, "left").select(*ids, F.coalesce("n", F.lit(0)).alias("n"))
+def count_overlaps(targets: DataFrame, reads: DataFrame, keys: list[str], target_range: tuple[str, str], read_range: tuple[str, str], ids: list[str], width: int = axis.WIDTH) -> DataFrame:
+    """ids of all targets + n: reads whose half-open ranges overlap theirs, 0 if none; empty ranges overlap nothing.
+
+    A sweep: the reads that overlap a target are those that begin before its end, less those that end before its
+    begin. Both are running sums over the places where reads begin and end and where targets ask, so no pair is made,
+    and the cost does not depend on the depth. Null keys and null places have no overlap. Targets that share ids are
+    added up.
+    """
+    (t0, t1), (r0, r1) = target_range, read_range
+    some = lambda df, lo, hi: df.filter(F.col(lo) < F.col(hi)).dropna(subset=keys)
+    event = lambda at, began, ended, asked: F.struct(at.cast("long").alias("__at"), F.lit(began).alias("__began"), F.lit(ended).alias("__ended"), F.lit(asked).alias("__asked"))
+    listed = lambda df, *events: df.select(*keys, F.explode(F.array(*events)).alias("__e")).select(*keys, "__e.*")
+    last = F.col(t1) - 1
+    events = listed(some(reads, r0, r1), event(F.col(r0), 1, 0, False), event(F.col(r1), 0, 1, False))
+    asked = listed(some(targets, t0, t1), event(last, 0, 0, True), event(F.col(t0), 0, 0, True))
+    places = events.unionByName(asked).groupBy(*keys, "__at").agg(*(F.sum(c).alias(c) for c in ("__began", "__ended")), F.max("__asked").alias("__asked"))
+    sums = axis.running_sums(places, keys, "__at", ["__began", "__ended"], width).filter("__asked").select(*keys, "__at", "__began_to", "__ended_to")
+    question = F.explode(F.array(F.struct(last.cast("long").alias("__at"), F.lit(True).alias("__end")), F.struct(F.col(t0).cast("long").alias("__at"), F.lit(False).alias("__end"))))
+    answered = targets.select(*ids, *(c for c in keys if c not in ids), (F.col(t0) < F.col(t1)).alias("__some"), question.alias("__q")).select("*", "__q.*").join(sums, [*keys, "__at"], "left")
+    n = F.when(F.col("__some"), F.when(F.col("__end"), F.col("__began_to")).otherwise(-F.col("__ended_to")))
+    return answered.groupBy(*ids).agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"))
 
 
 def without_hot_bins(df: DataFrame, contig: str, pos: str, width: int = MOUSE.bin_width, hot: int = MOUSE.bin_hot, margin: int = MOUSE.bin_margin) -> DataFrame:

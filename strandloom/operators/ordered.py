@@ -8,17 +8,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MOUSE, Config
+from ..staging import staged
+from . import axis
 
+#: Stretches of breakpoints that are worked out together.
+STRETCHES = 256
+#: Runs of stretches that are composed at a time, and how often that is done.
+FAN, LEVELS = 1024, 2
 
-def gap_clusters(df: DataFrame, keys: list[str], pos: str, gap: int = MOUSE.cluster_gap, order: tuple[str, ...] = (), into: str = "cluster") -> DataFrame:
+
+def gap_clusters(df: DataFrame, keys: list[str], pos: str, gap: int = MOUSE.cluster_gap, into: str = "cluster", width: int = axis.WIDTH, levels: int = 2) -> DataFrame:
     """df + into: number, from 1 within keys, of the cluster of each row. A cluster ends where the next place is gap or more away.
 
-    One shuffle by keys, one sort. Null places come first and form the first cluster.
+    The different places are numbered in bins that are stitched together by their first and last places, so neither a
+    long axis nor a deep place is one task's; the numbers are joined back. Null places come first and form the first
+    cluster.
     """
-    w = Window.partitionBy(*keys).orderBy(pos, *order)
-    far = F.coalesce((F.col(pos) - F.lag(pos).over(w) >= gap).cast("int"), F.lit(1))
-    marked = df.withColumn("__far", F.when(F.row_number().over(w) == 1, 1).otherwise(far))
-    return marked.withColumn(into, F.sum("__far").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__far")
+    numbers = axis.island_numbers(df, keys, pos, gap, width, levels)
+    return axis.same_keys(df, numbers.withColumnRenamed("number", into), [*keys, pos])
 
 
 def mode(df: DataFrame, keys: list[str], value: str, into: str = "mode", n_into: str = "n") -> DataFrame:
@@ -42,12 +49,12 @@ def forward_pairs(left: DataFrame, right: DataFrame, keys: list[str], pos: str,
     return found.select(*keys, *(F.col(f"__row.{c}").alias(c) for c in cols), *(F.col(f"__next.{c}").alias(f"right_{c}") for c in cols))
 
 
-def pairs_with_rescue(left: DataFrame, right: DataFrame, polya: DataFrame, keys: list[str], config: Config = MOUSE) -> DataFrame:
+def pairs_with_rescue(left: DataFrame, right: DataFrame, polya: DataFrame, keys: list[str], config: Config = MOUSE, stretches: int = STRETCHES) -> DataFrame:
     """Pairs of left and right breakpoints, with poly-A breakpoints in the place of a missing side.
 
     left, right: keys, bp, id; polya: keys, bp, id, side ('L' or 'R'). Returns keys, left_id, right_id, kind ('pair',
-    'polya_right' or 'polya_left'). Equal places go by id. The first left and the first right breakpoint that are left
-    decide what comes next:
+    'polya_right' or 'polya_left'). Equal places go by id; rows without a place are left out. The first left and the
+    first right breakpoint that are left decide what comes next:
 
     * A right one from pair_least to pair_most ahead makes a pair, and the left one is done.
     * A right one behind that asks for a poly-A breakpoint polya_near or more ahead of the left one: one of side R, less
@@ -55,29 +62,81 @@ def pairs_with_rescue(left: DataFrame, right: DataFrame, polya: DataFrame, keys:
     * A right one beyond that asks for a poly-A breakpoint at most polya_far behind the right one: one of side L, more
       than polya_near behind, takes the left side's place. Else the left ones too far back go.
 
-    The answer is the first poly-A breakpoint at or after the greatest place ever asked for. As each step depends on
-    the ones before, no window can express it; a group (a sample's contig) holds breakpoints only, not reads, and each
-    step jumps by binary search.
+    The answer is the first poly-A breakpoint at or after the greatest place ever asked for. Each step depends on the
+    ones before, so no window can express it. But no question reaches over a gap of polya_far + polya_near between
+    breakpoints of any kind: of what lies before such a gap it matters only whether a left one, a right one or none is
+    still waiting. So each run of stretches between gaps is worked out apart, for each of the three, and gives its
+    pairs and what waits behind it; these are composed in order, and the pairs of the right case are kept. A run holds
+    the breakpoints, not reads, of a number of stretches; a stretch without a gap is not divided.
     """
     tag = lambda df, t, side: df.select(*keys, F.lit(t).alias("__t"), F.col("bp").cast("long").alias("bp"), F.col("id").cast("long").alias("id"), side.alias("side"))
     none = F.lit(None).cast("string")
-    rows = tag(left, 0, none).unionByName(tag(right, 1, none)).unionByName(tag(polya, 2, F.col("side")))
+    rows = tag(left, 0, none).unionByName(tag(right, 1, none)).unionByName(tag(polya, 2, F.col("side"))).filter("bp is not null")
+    apart = gap_clusters(rows, keys, "bp", max(config.polya_far + config.polya_near, config.pair_most + 1), "__run")
+    apart = apart.withColumn("__run", F.floor((F.col("__run") - 1) / stretches))
     kinds = {f.name: f.dataType.simpleString() for f in left.schema}
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "left_id long", "right_id long", "kind string"])
+    named = ", ".join(f"{k} {kinds[k]}" for k in keys)
 
     def matched(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["bp", "id"])
-        lefts, rights, polys = (group[group["__t"] == t] for t in range(3))
-        found = pd.DataFrame(_rescued(lefts, rights, polys, config), columns=["left_id", "right_id", "kind"])
-        for n, c in enumerate(keys):
-            found.insert(n, c, group[c].iloc[0] if len(group) else None)
-        return found
+        tables = [group[group["__t"] == t] for t in range(3)]
+        cases: dict[tuple, int] = {}
+        after = []
+        for waiting in (NONE, A_LEFT, A_RIGHT):
+            found, then = _rescued(*tables, config, waiting)
+            after.append(then)
+            for row in found:
+                cases[row] = cases.get(row, 0) | 1 << waiting
+        # What waits behind the run, as digits to the base of 3, stands in a row without ids.
+        lines = [(*row, case) for row, case in cases.items()] + [(None, None, None, sum(a * 3**n for n, a in enumerate(after)))]
+        return _under_keys(pd.DataFrame(lines, columns=["left_id", "right_id", "kind", "case"]).astype({"left_id": "Int64", "right_id": "Int64"}), group, [*keys, "__run"])
+
+    solved = staged(apart.groupBy(*keys, "__run").applyInPandas(matched, f"{named}, __run long, left_id long, right_id long, kind string, case long"), "runs")
+    waiting = _waiting(solved.filter("kind is null").select(*keys, "__run", F.col("case").alias("after")), keys, named, "__run", LEVELS)
+    return axis.same_keys(solved.filter("kind is not null"), waiting, [*keys, "__run"]).filter(F.expr("shiftright(case, waiting) & 1 = 1")).select(*keys, "left_id", "right_id", "kind")
+
+
+#: What waits at a gap: nothing, a left breakpoint before it, or a right one.
+NONE, A_LEFT, A_RIGHT = 0, 1, 2
 
-    return rows.groupBy(*keys).applyInPandas(matched, schema)
 
+def _under_keys(found: pd.DataFrame, group: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    for n, c in enumerate(keys):
+        found.insert(n, c, group[c].iloc[0])
+    return found
+
+
+def _waiting(runs: DataFrame, keys: list[str], named: str, at: str, levels: int) -> DataFrame:
+    """(keys, at, waiting): what waits in front of each of runs (keys, at, after), the first of a key having nothing there.
+
+    after is what waits behind a run, for each thing that may wait in front, as digits to the base of 3. Runs are
+    composed FAN at a time, and so are these compositions, levels - 1 times in all; the last ones by key.
+    """
 
-def _rescued(lefts: pd.DataFrame, rights: pd.DataFrame, polys: pd.DataFrame, config: Config) -> list[tuple]:
-    """Rows (left id, right id, kind) of three sorted tables of breakpoints."""
+    up = f"__up{levels}"
+
+    def composed(group: pd.DataFrame) -> pd.DataFrame:
+        so_far, lines = [NONE, A_LEFT, A_RIGHT], []
+        for place, after in group.sort_values(at)[[at, "after"]].itertuples(index=False):
+            lines.append((place, sum(w * 3**n for n, w in enumerate(so_far))))
+            so_far = [after // 3**w % 3 for w in so_far]
+        lines.append((None, sum(w * 3**n for n, w in enumerate(so_far))))
+        return _under_keys(pd.DataFrame(lines, columns=[at, "before"]).astype({at: "Int64"}), group, by)
+
+    by = [*keys, up] if levels > 1 else keys
+    grouped = runs.withColumn(up, F.floor(F.col(at) / FAN)) if levels > 1 else runs
+    parts = grouped.groupBy(*by).applyInPandas(composed, named + (f", {up} long" if levels > 1 else "") + f", {at} long, before long")
+    inner = parts.filter(F.col(at).isNotNull())
+    if levels == 1:
+        return inner.select(*keys, at, (F.col("before") % 3).alias("waiting"))
+    outer = _waiting(parts.filter(F.col(at).isNull()).select(*by, F.col("before").alias("after")), keys, named, up, levels - 1)
+    # Digit number waiting of before.
+    digit = F.floor(F.col("before") / F.element_at(F.array(F.lit(1), F.lit(3), F.lit(9)), F.col("waiting").cast("int") + 1)) % 3
+    return axis.same_keys(inner, outer, by).select(*keys, at, digit.cast("long").alias("waiting"))
+
+
+def _rescued(lefts: pd.DataFrame, rights: pd.DataFrame, polys: pd.DataFrame, config: Config, waiting: int = NONE) -> tuple[list[tuple], int]:
+    """Rows (left id, right id, kind) of three sorted tables of breakpoints, and what waits behind them, if that waits before them."""
     at, ids = ([t[c].to_numpy() for t in (lefts, rights, polys)] for c in ("bp", "id"))
     sides = polys["side"].to_numpy()
     asked = None  # the greatest place ever asked for
@@ -90,9 +149,11 @@ def _rescued(lefts: pd.DataFrame, rights: pd.DataFrame, polys: pd.DataFrame, con
         return ids[2][n] if n < len(at[2]) and at[2][n] < until and sides[n] == side else None
 
     out: list[tuple] = []
-    l = r = 0  # noqa: E741
+    far_back = -(1 << 60)
+    # A breakpoint that waits before the first has number -1.
+    l, r = -(waiting == A_LEFT), -(waiting == A_RIGHT)  # noqa: E741
     while l < len(at[0]) and r < len(at[1]):
-        one, other = at[0][l], at[1][r]
+        one, other = at[0][l] if l >= 0 else far_back, at[1][r] if r >= 0 else far_back
         if other < one + config.pair_least:
             if (p := answer(one + config.polya_near, one + config.polya_far, "R")) is None:
                 r = np.searchsorted(at[1], one + config.pair_least)
@@ -108,7 +169,7 @@ def _rescued(lefts: pd.DataFrame, rights: pd.DataFrame, polys: pd.DataFrame, con
             r += 1
             continue
         l += 1  # noqa: E741
-    return out
+    return out, A_LEFT if l < len(at[0]) else A_RIGHT if r < len(at[1]) else NONE
 
 
 def run_numbers(df: DataFrame, keys: list[str], order: str, same: Column, into: str = "run") -> DataFrame:

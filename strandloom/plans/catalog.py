@@ -161,7 +161,7 @@ def polya_detection(spark, sf_dir):
 @query(f"""
 WITH p AS (SELECT l_suppkey, {SQL_DAY} AS pos FROM lineitem),
 g AS (SELECT *, CASE WHEN pos - lag(pos) OVER w < 6 THEN 0 ELSE 1 END AS far FROM p WINDOW w AS (PARTITION BY l_suppkey ORDER BY pos)),
-c AS (SELECT l_suppkey, pos, sum(far) OVER (PARTITION BY l_suppkey ORDER BY pos ROWS UNBOUNDED PRECEDING)::BIGINT AS cluster FROM g),
+c AS (SELECT l_suppkey, pos, sum(far) OVER (PARTITION BY l_suppkey ORDER BY pos RANGE UNBOUNDED PRECEDING)::BIGINT AS cluster FROM g),
 n AS (SELECT l_suppkey, cluster, pos, count(*) AS n FROM c GROUP BY ALL)
 SELECT l_suppkey, cluster, arg_min(pos, {{'n': -n, 'p': pos}})::INT AS mode, max(n) AS n FROM n GROUP BY ALL""")
 def gap_cluster_mode(spark, sf_dir):
@@ -197,9 +197,28 @@ def forward_asof_pairs(spark, sf_dir):
     return ordered.forward_pairs(rows.filter("l_returnflag = 'A'"), rows.filter("l_returnflag = 'R'"), ["l_suppkey"], "pos", payload=("l_partkey",))
 
 
-@query()
+_ENDS = "SELECT l_suppkey, l_orderkey AS bp, (CAST(l_orderkey AS BIGINT) * 100000 + l_partkey) * 10 + l_linenumber AS id, l_returnflag AS kind, CASE WHEN l_linenumber % 2 = 0 THEN 'L' ELSE 'R' END AS side FROM lineitem"
+_SIDE = lambda kind: f"coalesce(list({{'p': bp, 'i': id, 's': side}} ORDER BY bp, id) FILTER (kind = '{kind}'), [])"
+
+
+@query(f"""
+WITH RECURSIVE lists AS (SELECT l_suppkey, {_SIDE('A')} AS ls, {_SIDE('R')} AS rs, {_SIDE('N')} AS ps FROM ({_ENDS}) GROUP BY 1),
+walk AS (
+  SELECT l_suppkey, 1 AS l, 1 AS r, 1 AS p, NULL::BIGINT AS left_id, NULL::BIGINT AS right_id, NULL::VARCHAR AS kind FROM lists
+  UNION ALL
+  SELECT l_suppkey, CASE WHEN step = 'pair' OR (step = 'behind') = hit THEN l + 1 ELSE l END, CASE WHEN step <> 'pair' AND (step = 'behind') <> hit THEN r + 1 ELSE r END, p,
+    CASE WHEN step = 'beyond' AND hit THEN ps[p].i WHEN step = 'pair' OR hit THEN ls[l].i END, CASE WHEN step = 'behind' AND hit THEN ps[p].i WHEN step = 'pair' OR hit THEN rs[r].i END,
+    CASE WHEN step = 'pair' THEN 'pair' WHEN step = 'behind' AND hit THEN 'polya_right' WHEN hit THEN 'polya_left' END
+  FROM (
+    SELECT *, p <= len(ps) AND CASE step WHEN 'behind' THEN ps[p].p - ls[l].p < 120 AND ps[p].s = 'R' WHEN 'beyond' THEN rs[r].p - ps[p].p > 12 AND ps[p].s = 'L' ELSE FALSE END AS hit
+    FROM (
+      SELECT l_suppkey, l, r, ls, rs, ps, step, CASE step WHEN 'pair' THEN p ELSE greatest(p, 1 + len(list_filter(ps, lambda x: x.p < CASE step WHEN 'behind' THEN ls[l].p + 12 ELSE rs[r].p - 120 END))) END AS p
+      FROM (SELECT w.l_suppkey, l, r, p, ls, rs, ps, CASE WHEN rs[r].p - ls[l].p < 2 THEN 'behind' WHEN rs[r].p - ls[l].p > 40 THEN 'beyond' ELSE 'pair' END AS step
+            FROM walk w JOIN lists USING (l_suppkey) WHERE l <= len(ls) AND r <= len(rs)))))
+SELECT l_suppkey, left_id, right_id, kind FROM walk WHERE kind IS NOT NULL""")
 def rescued_pairs(spark, sf_dir):
-    rows = _table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_orderkey").alias("bp"), F.xxhash64("l_orderkey", "l_partkey", "l_linenumber").alias("id"), "l_returnflag", F.when(F.col("l_linenumber") % 2 == 0, "L").otherwise("R").alias("side"))
+    place = (F.col("l_orderkey").cast("long") * 100_000 + F.col("l_partkey")) * 10 + F.col("l_linenumber")
+    rows = _table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_orderkey").alias("bp"), place.alias("id"), "l_returnflag", F.when(F.col("l_linenumber") % 2 == 0, "L").otherwise("R").alias("side"))
     of = lambda flag: rows.filter(F.col("l_returnflag") == flag)
     return ordered.pairs_with_rescue(of("A").drop("side"), of("R").drop("side"), of("N"), ["l_suppkey"])
 
@@ -225,7 +244,7 @@ def interval_overlap(spark, sf_dir):
 
 @query(f"SELECT o_orderkey, count(l_orderkey) AS n FROM ({_TARGETS}) t LEFT JOIN ({_READS}) r ON t.contig = r.contig AND target_start < read_end AND read_start < target_end GROUP BY 1")
 def region_counts(spark, sf_dir):
-    return intervals.count_overlaps(_targets(spark, sf_dir), _reads(spark, sf_dir), ["contig"], ("target_start", "target_end"), ("read_start", "read_end"), ["o_orderkey"], width=16)
+    return intervals.count_overlaps(_targets(spark, sf_dir), _reads(spark, sf_dir), ["contig"], ("target_start", "target_end"), ("read_start", "read_end"), ["o_orderkey"])
 
 
 @query("""

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandloom.config import MOUSE
-from strandloom.operators import consensus, genotypes, insertions, intervals, ordered
+from strandloom.operators import axis, consensus, genotypes, insertions, intervals, ordered
 
 
 def test_gap_clusters_and_mode(spark):
@@ -15,6 +15,45 @@ def test_gap_clusters_and_mode(spark):
     assert ordered.mode(tie, ["k"], "p").collect() == [(1, 4, 2)]
 
 
+@pytest.mark.parametrize(("width", "levels"), [(1 << 16, 2), (10, 2), (7, 3), (3, 4), (50, 1)])
+def test_clusters_do_not_depend_on_bins(spark, width, levels):
+    r = random.Random(width)
+    rows = [(r.choice(["a", "b", None]), r.choice([None, r.randrange(-200, 300), r.randrange(100_000)])) for _ in range(700)]
+    want, before = {}, {}
+    for k, p in sorted(set(rows), key=lambda x: (str(x[0]), x[1] is not None, x[1] or 0)):
+        last, number = before.get(k, (None, 0))
+        number += last is None or p - last >= 6
+        want[k, p], before[k] = number, (p, number)
+    out = ordered.gap_clusters(spark.createDataFrame(rows, "k string, p long"), ["k"], "p", width=width, levels=levels).collect()
+    assert len(out) == 700 and {(x.k, x.p): x.cluster for x in out} == want
+
+
+@pytest.mark.parametrize(("width", "levels"), [(1 << 16, 2), (5, 3)])
+def test_running_sums(spark, width, levels):
+    r = random.Random(4)
+    rows = [(k, p, r.randrange(-5, 50)) for k in ("a", None) for p in r.sample(range(-300, 300), 150)]
+    out = axis.running_sums(spark.createDataFrame(rows, "k string, p long, v long"), ["k"], "p", ["v"], width, levels).collect()
+    assert sorted((str(x.k), x.p, x.v_to) for x in out) == sorted((str(k), p, sum(v for k2, q, v in rows if k2 == k and q <= p)) for k, p, _ in rows)
+
+
+def test_overlap_counts_by_sweep(spark):
+    r = random.Random(6)
+    key = lambda: (r.choice([1, 2, None]), r.choice(["s", "t"]))
+    targets = [(i % 90, *key(), s := r.choice([None, r.randrange(400)]), None if s is None else s + r.randrange(-2, 40)) for i in range(120)]
+    reads = [(*key(), s := r.choice([None, r.randrange(400)]), None if s is None else s + r.randrange(-2, 60)) for _ in range(900)] + [(1, "s", 100, 200)] * 500
+    want = dict.fromkeys((t[0] for t in targets), 0)
+    for i, c, k, lo, hi in targets:
+        for c2, k2, a, b in reads:
+            want[i] += None not in (c, c2, lo, a) and (c, k) == (c2, k2) and lo < hi and a < b and lo < b and a < hi
+    dt = spark.createDataFrame(targets, "i int, c int, k string, s long, e long")
+    dr = spark.createDataFrame(reads, "c int, k string, a long, b long")
+    for width in (16, 1 << 16):
+        got = intervals.count_overlaps(dt, dr, ["c", "k"], ("s", "e"), ("a", "b"), ["i"], width)
+        assert {x.i: x.n for x in got.collect()} == want
+    plan = intervals.count_overlaps(dt, dr, ["c", "k"], ("s", "e"), ("a", "b"), ["i"])._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_forward_pairs_edges(spark):
     left = spark.createDataFrame([("c", 100), ("c", 200), ("c", 203)], "k string, bp long")
     right = spark.createDataFrame([("c", x) for x in (101, 102, 140, 241, 243)] + [("d", 205)], "k string, bp long")
@@ -55,6 +94,31 @@ def test_rescued_pairs_against_the_rule(spark):
     assert got == want and {k for _, _, k in got} == {"pair", "polya_right", "polya_left"}
 
 
+@pytest.mark.parametrize("stretches", [1, 2, 7])
+def test_rescued_pairs_in_runs(spark, monkeypatch, stretches):
+    """Runs of few stretches, composed a few at a time: what waits at a gap goes on over runs that hold one side only."""
+    monkeypatch.setattr(ordered, "FAN", 3)
+    monkeypatch.setattr(ordered, "LEVELS", 3)
+    r = random.Random(stretches)
+    tables, want = [[], [], []], set()
+    for s in range(4):
+        spread = (1500, 6000, 20000, 60000)[s]
+        groups = [sorted((r.randrange(spread), 1000 * s + 300 * t + i, r.choice("LR")) for i in range(r.randrange(15, 60))) for t in range(3)]
+        # A place with all three kinds near each other, now and then.
+        for n in range(0, spread, 700):
+            if r.random() < 0.7:
+                for t, d in enumerate((0, r.choice([10, 39, 41]), r.choice([15, 30, 100]))):
+                    groups[t].append((n + d, 1000 * s + 300 * t + 100 + n // 700, r.choice("LR")))
+        groups = [sorted(g) for g in groups]
+        want |= {(f"s{s}", *x) for x in by_rule(*groups)}
+        for t, g in zip(tables, groups, strict=True):
+            t += [(f"s{s}", bp, i, side) for bp, i, side in g] + [(f"s{s}", None, -1, "L")]
+    frames = [spark.createDataFrame(t, "k string, bp long, id long, side string") for t in tables]
+    out = ordered.pairs_with_rescue(frames[0].drop("side"), frames[1].drop("side"), frames[2], ["k"], stretches=stretches).collect()
+    got = {(x.k, x.left_id, x.right_id, x.kind) for x in out}
+    assert got == want and len(out) == len(got) and {x.kind for x in out} == {"pair", "polya_right", "polya_left"}
+
+
 def test_overlaps(spark):
     r = random.Random(2)
     a = [(i, r.randrange(3), s := r.randrange(500), s + r.randrange(0, 60)) for i in range(120)]
@@ -103,6 +167,20 @@ def test_consensus(spark):
     assert got == {k: brute_consensus(g) for k, g in groups.items()}
 
 
+def test_consensus_over_several_tasks_and_odd_sequences(spark, monkeypatch):
+    monkeypatch.setattr(consensus, "HELD", 50)
+    r = random.Random(5)
+    groups = {(k, None if k % 3 else "x"): [("".join(r.choice("ACGTNé") for _ in range(r.randrange(0, 9)))) for _ in range(r.randrange(1, 30))] for k in range(25)}
+    groups = {k: [(s, [r.randrange(1, 40) for _ in s]) for s in g] for k, g in groups.items()}
+    rows = [(*k, s, q) for k, g in groups.items() for s, q in g]
+    df = spark.createDataFrame(rows, "k int, j string, s string, q array<int>").repartition(7)
+    got = {(x.k, x.j): (x.s, list(x.q)) for x in consensus.weighted_consensus(df, ["k", "j"], "s", "q").collect()}
+    assert got == {k: brute_consensus(g) for k, g in groups.items()}
+    odd = spark.createDataFrame([(1, "ACG", [5, None, 7, 9]), (1, "AC", [5]), (1, None, [3]), (1, "ACG", None), (2, None, None)], "k int, s string, q array<int>")
+    assert sorted(consensus.weighted_consensus(odd, ["k"], "s", "q").collect()) == [(1, "A", [10]), (2, None, None)]
+    assert consensus.weighted_consensus(odd.filter("k > 5"), ["k"], "s", "q").count() == 0
+
+
 @pytest.mark.parametrize(
     ("reads", "call"),
     [
