@@ -69,13 +69,24 @@ def without_hot_bins(df: DataFrame, contig: str, pos: str, width: int = MOUSE.bi
 def lift_over(points: DataFrame, blocks: DataFrame, contig: str = "contig", pos: str = "pos", width: int = 100_000) -> DataFrame:
     """points x chain blocks (t_contig, t_start, t_end, q_contig, q_start, q_size, q_strand) -> points + lifted_contig, lifted_pos, lifted_strand.
 
-    One row for each block that holds the point; points in no block give none.
+    One row for each block that holds the point; points in no block give none. Where blocks have a score and a chain,
+    the rows have lifted_order too, a struct of which the least is the first hit (see first_hits).
     """
     at = points.withColumn("t_contig", F.col(contig)).withColumn("__p0", F.col(pos)).withColumn("__p1", F.col(pos) + 1)
     hits = overlap_join(at, blocks, ["t_contig"], ("__p0", "__p1"), ("t_start", "t_end"), width)
     along = F.col("q_start") + F.col(pos) - F.col("t_start")
     lifted = F.when(F.col("q_strand") == "-", F.col("q_size") - 1 - along).otherwise(along)
-    return hits.select(*points.columns, F.col("q_contig").alias("lifted_contig"), lifted.alias("lifted_pos"), F.col("q_strand").alias("lifted_strand"))
+    order = [F.struct((-F.col("score")).alias("worse"), F.col("chain"), F.col("q_contig").alias("c"), lifted.alias("p")).alias("lifted_order")] if {"score", "chain"} <= set(blocks.columns) else []
+    return hits.select(*points.columns, F.col("q_contig").alias("lifted_contig"), lifted.alias("lifted_pos"), F.col("q_strand").alias("lifted_strand"), *order)
+
+
+def first_hits(lifted: DataFrame, ids: list[str]) -> DataFrame:
+    """ids, lifted_contig, lifted_pos, lifted_strand of each point's first hit: the chain with the highest score, of equal ones the first in the file.
+
+    lifted: lift_over's rows with lifted_order; ids name a point. One aggregation with map-side combine.
+    """
+    first = F.min(F.struct("lifted_order", "lifted_contig", "lifted_pos", "lifted_strand")).alias("__h")
+    return lifted.groupBy(*ids).agg(first).select(*ids, "__h.lifted_contig", "__h.lifted_pos", "__h.lifted_strand")
 
 
 def genome_slices(targets: DataFrame, genome: DataFrame, ids: list[str], contig: str, start: str, end: str, chunk: int, into: str = "bases") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import MOUSE, Config
 from ..functions import sequence as S
 from .insertions import best_hit, polya_label
-from .intervals import lift_over
+from .intervals import first_hits, lift_over
 
 # Outcomes of a cluster.
 TOO_FEW, RESCUED, EXCLUDED, IMPRECISE, SHORT_CLIP, SHORT_ALIGNED, REPEAT, PASSED = "too_few", "rescued_polya", "excluded", "too_few_precise", "short_clip", "short_aligned", "short_repeat", "passed"
@@ -44,7 +44,7 @@ def annotate(insertions: DataFrame, parts: DataFrame, hits: DataFrame, mappings:
     insertions: insertion. parts: insertion, side ('L' or 'R'), seq. hits: insertion, side, model, score, line_no.
     mappings: insertion, side, flag, mapq, contig, start, end, is_forward, line_no; of several the last counts. A clip
     without a hit that is a tail is named polyA. The place is the end of the mapping next to the insertion, lifted by
-    chain where given; a place that cannot be lifted is null. left_needs_right keeps a known slip: a left mapping is
+    chain (blocks with score and chain) where given, to the first hit; a place that cannot be lifted is null. left_needs_right keeps a known slip: a left mapping is
     told only if there is a right one. All joins are by insertion and side.
     """
     keys = ["insertion", "side"]
@@ -55,10 +55,9 @@ def annotate(insertions: DataFrame, parts: DataFrame, hits: DataFrame, mappings:
     if chain is None:
         placed = at.withColumn("place", F.concat("contig", F.lit(":"), "pos", strand))
     else:
-        lifted = lift_over(at.select(*keys, "contig", "pos", "is_forward"), chain)
+        first = first_hits(lift_over(at.select(*keys, "contig", "pos"), chain), keys)
         turned = F.when(F.col("lifted_strand") == "-", ~forward).otherwise(forward)
-        first = lifted.groupBy(*keys).agg(F.min(F.concat("lifted_contig", F.lit(":"), "lifted_pos", F.when(turned, "+").otherwise("-"))).alias("place"))
-        placed = at.join(first, keys, "left")
+        placed = at.join(first, keys, "left").withColumn("place", F.concat("lifted_contig", F.lit(":"), "lifted_pos", F.when(turned, "+").otherwise("-")))
     sides = parts.join(best_hit(hits, keys, "model", "score", "line_no").select(*keys, "model"), keys, "left").join(placed.select(*keys, "align", "place"), keys, "left")
     sides = sides.withColumn("model", polya_label(F.col("model"), F.col("side"), F.col("seq")))
     of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
@@ -108,5 +107,5 @@ def compare_discoveries(a: DataFrame, b: DataFrame, name: str, most: int = 10) -
 
 
 def most_memory(stats: DataFrame, mem: str = "mem") -> DataFrame:
-    """One row: the greatest memory as text, in the order of text, as it is written."""
+    """One row: the greatest memory as text, in the order of text, as it is written; null if there is none."""
     return stats.agg(F.max(mem).alias(mem))

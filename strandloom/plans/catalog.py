@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import MOUSE
 from ..functions import sequence as S
 from ..operators import consensus, genotypes, insertions, intervals, ordered, reports
-from ..sources import records
+from ..sources import genomes, records
 
 HEX = "0123456789abcdef"
 SPELT, POOR = "ACGTACGTACGTACGT", "AAAAAATTTTTTACGT"
@@ -270,6 +270,36 @@ def liftover_points(spark, sf_dir):
     return intervals.lift_over(_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber"), blocks, "l_suppkey", "l_orderkey", width=2000)
 
 
+@query("""
+WITH b AS (SELECT s_suppkey AS t, s_suppkey % 7 * 1000 AS s, s_suppkey % 7 * 1000 + 5000 AS e, s_suppkey * 10 AS q, s_suppkey % 3 * 50 AS score, 2 * s_suppkey AS nr FROM supplier
+           UNION ALL SELECT s_suppkey, s_suppkey % 7 * 1000 + 2500, s_suppkey % 7 * 1000 + 9000, 50 * s_suppkey, s_suppkey % 2 * 50, 2 * s_suppkey + 1 FROM supplier),
+p AS (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem)
+SELECT l_suppkey, l_orderkey, concat('q', nr) AS lifted_contig, q + l_orderkey - s AS lifted_pos, '+' AS lifted_strand FROM p JOIN b ON l_suppkey = t AND l_orderkey >= s AND l_orderkey < e
+QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_orderkey ORDER BY score DESC, nr) = 1""")
+def liftover_first_hits(spark, sf_dir):
+    s, key = _table(spark, sf_dir, "supplier"), F.col("s_suppkey")
+
+    def block(lo, hi, q, score, nr):
+        return s.select(key.alias("t_contig"), lo.alias("t_start"), hi.alias("t_end"), F.concat(F.lit("q"), nr).alias("q_contig"), q.alias("q_start"), F.lit(10**9).alias("q_size"), F.lit("+").alias("q_strand"), score.cast("double").alias("score"), F.struct(nr).alias("chain"))
+
+    at = key % 7 * 1000
+    blocks = block(at, at + 5000, key * 10, key % 3 * 50, 2 * key).unionAll(block(at + 2500, at + 9000, 50 * key, key % 2 * 50, 2 * key + 1))
+    points = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey").distinct()
+    return intervals.first_hits(intervals.lift_over(points, blocks, "l_suppkey", "l_orderkey", width=2000), ["l_suppkey", "l_orderkey"])
+
+
+_ASKED = "CASE o_custkey % 5 WHEN 0 THEN concat('', o_custkey % 30) WHEN 1 THEN concat('chr', o_custkey % 30) WHEN 2 THEN 'MT' WHEN 3 THEN concat('GL', o_custkey % 30, '.1') ELSE concat('K', o_custkey % 9) END"
+_NAMED = "CASE WHEN n_nationkey < 15 THEN concat('chr', n_nationkey) WHEN n_nationkey = 15 THEN 'chrM' WHEN n_nationkey < 20 THEN concat('GL', n_nationkey, 'v2') WHEN n_nationkey < 23 THEN concat('un_GL', n_nationkey - 4, '_random') ELSE concat('K', n_nationkey - 20) END"
+
+
+@query(f"""
+WITH w AS (SELECT DISTINCT {_ASKED} AS contig FROM orders), g AS (SELECT {_NAMED} AS g FROM nation)
+SELECT contig, coalesce((SELECT g FROM g WHERE g = contig), (SELECT g FROM g WHERE contig = 'MT' AND g = 'chrM'), (SELECT g FROM g WHERE g = concat('chr', contig)),
+                        CASE WHEN length(contig) > 2 THEN (SELECT min(g) FROM g WHERE contains(g, regexp_replace(contig, '\\.1$', ''))) END) AS genome_contig FROM w""")
+def contig_names(spark, sf_dir):
+    return genomes.resolve_contigs(_table(spark, sf_dir, "orders").select(F.expr(_ASKED).alias("contig")), _table(spark, sf_dir, "nation").select(F.expr(_NAMED).alias("contig")))
+
+
 @query(f"""
 WITH g AS (SELECT p_partkey % 20 AS c, p_partkey // 20 * 32 AS g0, {_sql_bases('p_partkey')} AS s FROM part),
 t AS (SELECT *, row_number() OVER () AS id, l_suppkey % 20 AS c, l_orderkey % 3000 AS a FROM lineitem)

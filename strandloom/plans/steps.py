@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MOUSE, Config
 from ..functions import sequence as S
 from ..operators import breakpoints, genotypes, insertions, intervals, ordered, reports
+from ..sources import genomes
 from ..staging import staged
 
 
 def discover(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
-    """Discovered insertions of all samples: sample, contig, left, right, kind, left_/right_ clipped, aligned and mates.
+    """The discovered insertions alone; see discover_with_outcomes."""
+    return discover_with_outcomes(reads, config)[0]
+
+
+def discover_with_outcomes(reads: DataFrame, config: Config = MOUSE) -> tuple[DataFrame, DataFrame]:
+    """Discovered insertions of all samples: sample, contig, left, right, kind, left_/right_ clipped, aligned and mates; and counters.
+
+    The counters are sample, side, outcome, n_clusters, from the one clustering that the insertions come from.
 
     reads: sample, ordinal, qname, flag, contig, pos, end, mapq, cigar, seq, qual, sa. Breakpoints and mates, far fewer
     than reads, are staged because several joins read them. A breakpoint's number is its first read's place among the
     reads of its sample, with its side: no two clusters of one side share a read.
     """
-    found, wanted, _ = breakpoints.merge_clusters(breakpoints.clipped_reads(reads, config), config)
+    found, wanted, ends = breakpoints.merge_clusters(breakpoints.clipped_reads(reads, config), config)
+    counts = reports.outcome_counts(ends, ["sample", "side"])
     found = staged(found.withColumn("id", 4 * F.col("first") + F.when(F.col("side") == "L", 0).otherwise(1)), "breakpoints")
     polya = staged(breakpoints.polya_reads(reads, config).withColumn("id", 4 * F.col("ordinal") + 2), "polya-reads")
     claims = wanted.join(found.select(*breakpoints.CLUSTER, "id", "first"), breakpoints.CLUSTER)
@@ -51,46 +58,60 @@ def discover(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
 
     kind = F.when(F.col("kind") == "pair", insertions.FULL).when(F.col("kind") == "polya_right", insertions.RIGHT_POLYA).otherwise(insertions.LEFT_POLYA)
     both = pairs.withColumn("kind", kind).join(ends("left", "L"), ["sample", "left_id"]).join(ends("right", "R"), ["sample", "right_id"])
-    return staged(both.drop("left_id", "right_id"), "discoveries")
+    return staged(both.drop("left_id", "right_id"), "discoveries"), counts
 
 
-def outcomes(reads: DataFrame, config: Config = MOUSE) -> DataFrame:
-    """Counters of the discovery step: sample, side, outcome, n_clusters."""
-    return reports.outcome_counts(breakpoints.merge_clusters(breakpoints.clipped_reads(reads, config), config)[2], ["sample", "side"])
+def combine(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None = None, clip_hits: DataFrame | None = None, chain: DataFrame | None = None, chunk: int = 10_000, config: Config = MOUSE) -> DataFrame:
+    """The targets alone; see combine_with_reasons."""
+    return combine_with_reasons(found, genome, whole_hits, clip_hits, chain, chunk, config)[0]
 
 
-def combine(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None = None, clip_hits: DataFrame | None = None, chain: DataFrame | None = None, chunk: int = 10_000, config: Config = MOUSE) -> DataFrame:
-    """Targets for genotyping from the discoveries of many files: name, contig, l, r, l_alt, l_ref, r_alt, r_ref.
+def combine_with_reasons(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None = None, clip_hits: DataFrame | None = None, chain: DataFrame | None = None, chunk: int = 10_000, config: Config = MOUSE) -> tuple[DataFrame, DataFrame]:
+    """Targets for genotyping from the discoveries of many files: name, contig, l, r, l_alt, l_ref, r_alt, r_ref; and (name, reason) of what was dropped.
 
     found: discover's columns with file (or sample) and order. whole_hits, clip_hits: query (name:side), contig, start,
     end, is_forward of an external aligner; without them the alignment filters are skipped. clip_hits are lifted over
-    by chain where given.
+    by chain where given. The genome's contigs are found under the names of genomes.resolve_contigs. Reasons are the
+    first that applies: hot_bin, mapped_whole, mapped_near and those of insertions.reference_problem; rows that were
+    merged into others, too unlike to be merged, or in files with too many insertions have none. The rows with their
+    reasons are staged, so that targets, reasons and their counts come from one pass.
     """
     full = found.filter((F.col("kind") == insertions.FULL) & S.usable_contig(F.col("contig"), config))
     full = insertions.cap_by_file(full, "file", config.max_insertions_per_file)
     seqs = ["right_clipped", "left_clipped", "left_aligned", "right_aligned"]
     rows = staged(insertions.merge_insertions(full.withColumn("files", F.array("file")), ["contig", "left", "right"], seqs, "order", config, ("files",)), "merged")
-    rows = intervals.without_hot_bins(rows, "contig", "right", config.bin_width, config.bin_hot, config.bin_margin)
     rows = rows.withColumn("name", S.insertion_name(F.col("contig"), F.col("left"), F.col("right")))
+    cool = intervals.without_hot_bins(rows, "contig", "right", config.bin_width, config.bin_hot, config.bin_margin)
+    rows = _marked(rows, cool.select("name"), "__cool")
     if whole_hits is not None:
-        mapped = whole_hits.select(F.regexp_replace("query", ":[LR]$", "").alias("name")).distinct()
-        rows = rows.join(mapped, "name", "left_anti")
+        rows = _marked(rows, whole_hits.select(F.regexp_replace("query", ":[LR]$", "").alias("name")), "__whole")
     if clip_hits is not None:
         hits = clip_hits.withColumn("at", F.when(F.col("is_forward"), F.col("start")).otherwise(F.col("end")))
         hits = intervals.lift_over(hits.withColumnRenamed("contig", "hit_contig"), chain, "hit_contig", "at") if chain is not None else hits.withColumn("lifted_contig", F.col("contig")).withColumn("lifted_pos", F.col("at"))
         hits = hits.withColumn("n", S.parse_name(F.col("query")))
         near = (S.with_chr(F.col("n.contig")) == S.with_chr(F.col("lifted_contig"))) & (F.abs(F.when(F.col("n.side") == "R", F.col("n.right")).otherwise(F.col("n.left")) - F.col("lifted_pos")) < config.remap_distance)
-        rows = rows.join(hits.filter(near).select(F.regexp_replace("query", ":[LR]$", "").alias("name")).distinct(), "name", "left_anti")
+        rows = _marked(rows, hits.filter(near).select(F.regexp_replace("query", ":[LR]$", "").alias("name")), "__near")
     k = config.kmer
-    rows = staged(rows, "kept-insertions")
+    has = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in rows.columns else F.lit(False)
+    before = F.when(~has("__cool"), "hot_bin").when(has("__whole"), "mapped_whole").when(has("__near"), "mapped_near")
+    rows = rows.withColumn("reason", before).drop("__cool", "__whole", "__near")
     rows = rows.withColumn("r_alt", F.substring(F.upper("right_clipped.seq"), 1, k)).withColumn("l_alt", S.revcomp(F.upper(F.substring("left_clipped.seq", 1, k))))
-    known = genome.withColumn("contig", S.with_chr(F.col("contig")))
-    places = rows.select("name", S.with_chr(F.col("contig")).alias("c"), "left", "right").withColumns({"l0": F.col("left") - k, "r1": F.col("right") + k})
-    left = intervals.genome_slices(places, known, ["name"], "c", "l0", "left", chunk, "l_ref")
-    right = intervals.genome_slices(places, known, ["name"], "c", "right", "r1", chunk, "r_ref")
-    rows = rows.join(left.withColumn("l_ref", F.upper("l_ref")), "name").join(right.withColumn("r_ref", F.upper("r_ref")), "name")
+    rows = staged(rows.select("name", "contig", "left", "right", "l_alt", "r_alt", "files", "reason"), "marked-insertions")
+    names = genomes.resolve_contigs(rows, genome)
+    kept = rows.filter("reason is null").select("name", "contig", "left", "right").join(names, "contig", "left")
+    places = kept.select("name", "genome_contig", "left", "right").withColumns({"l0": F.col("left") - k, "r1": F.col("right") + k})
+    left = intervals.genome_slices(places, genome, ["name"], "genome_contig", "l0", "left", chunk, "l_ref")
+    right = intervals.genome_slices(places, genome, ["name"], "genome_contig", "right", "r1", chunk, "r_ref")
+    rows = rows.join(left.withColumn("l_ref", F.upper("l_ref")), "name", "left").join(right.withColumn("r_ref", F.upper("r_ref")), "name", "left")
     problem = insertions.reference_problem(F.lit(insertions.FULL), F.col("l_ref"), F.col("l_alt"), F.col("r_ref"), F.col("r_alt"))
-    return rows.filter(problem.isNull()).select("name", "contig", F.col("left").alias("l"), F.col("right").alias("r"), "l_alt", "l_ref", "r_alt", "r_ref", "files")
+    rows = staged(rows.withColumn("reason", F.coalesce("reason", problem)), "targets")
+    targets = rows.filter("reason is null").select("name", "contig", F.col("left").alias("l"), F.col("right").alias("r"), "l_alt", "l_ref", "r_alt", "r_ref", "files")
+    return targets, rows.filter("reason is not null").select("name", "reason")
+
+
+def _marked(rows: DataFrame, names: DataFrame, into: str) -> DataFrame:
+    """rows + into: true where names has the row's name, else null."""
+    return rows.join(names.distinct().withColumn(into, F.lit(True)), "name", "left")
 
 
 def genotype(reads: DataFrame, targets: DataFrame, samples: list[str], config: Config = MOUSE) -> DataFrame:
@@ -100,16 +121,16 @@ def genotype(reads: DataFrame, targets: DataFrame, samples: list[str], config: C
     wanted = wanted.withColumns({"lo": F.least("l", "r"), "hi": F.greatest("l", "r") + 1})
     # Every read counts for the coverage, voting reads alone are scored; crowded targets are dropped before.
     at = reads.withColumnRenamed("pos", "start")
-    covered = intervals.overlap_join(wanted.select("insertion", "contig", "lo", "hi"), at.select("sample", "contig", "start", "end"), ["contig"], ("lo", "hi"), ("start", "end"))
-    crowded = covered.groupBy(*ids).agg(F.count("*").alias("n")).filter(F.col("n") > config.max_coverage)
+    every = wanted.select(F.explode(F.array(*map(F.lit, samples))).alias("sample"), "insertion", "contig", "lo", "hi")
+    covered = intervals.count_overlaps(every, at.select("sample", "contig", "start", "end"), ["sample", "contig"], ("lo", "hi"), ("start", "end"), ids)
+    crowded = staged(covered.filter(F.col("n") > config.max_coverage), "crowded")
     voting = at.filter(genotypes.evidence_read(F.col("flag"), F.col("mapq"), config)).select("sample", "contig", "start", "end", "cigar", "seq", "qual")
     pairs = intervals.overlap_join(wanted.withColumn("lo", F.col("lo") - 1), voting, ["contig"], ("lo", "hi"), ("start", "end")).join(crowded.select(*ids), ids, "left_anti")
     args = [F.col(c) for c in ("seq", "qual", "cigar", "start", "end")]
     scored = pairs.select(*ids, genotypes.side_scores("L", *args, F.col("l"), F.col("l_ref"), F.col("l_alt"), config).alias("left"), genotypes.side_scores("R", *args, F.col("r"), F.col("r_ref"), F.col("r_alt"), config).alias("right"))
     scored = staged(scored, "side-scores")
     calls = genotypes.call_genotypes(scored, ids, config=config)
-    every = wanted.select(F.explode(F.array(*map(F.lit, samples))).alias("sample"), "insertion")
-    return genotypes.complete_calls(every, calls, crowded, ids)
+    return genotypes.complete_calls(every.select(*ids), calls, crowded, ids)
 
 
 def collect(calls: DataFrame, samples: list[str], config: Config = MOUSE) -> DataFrame:
@@ -117,10 +138,6 @@ def collect(calls: DataFrame, samples: list[str], config: Config = MOUSE) -> Dat
     return genotypes.to_matrix(genotypes.filter_matrix(calls, len(samples), config), samples)
 
 
-Aligner = Callable[[DataFrame], DataFrame]
-"""(query, seq, qual) -> (query, contig, start, end, is_forward, mapq, flag): an external aligner, or a table of its output."""
-
-
 def with_order(df: DataFrame, *by: str) -> DataFrame:
     """df + order: the place of each row within its file."""
     return df.withColumn("order", F.row_number().over(Window.partitionBy("file").orderBy(*by)))

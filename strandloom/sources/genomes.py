@@ -9,7 +9,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -101,22 +101,35 @@ class TwoBitSource(DataSource):
 def resolve_contigs(wanted: DataFrame, contigs: DataFrame) -> DataFrame:
     """(contig) x (contig) -> (contig, genome_contig): itself, chrM for MT, with chr, or the first that holds it without .1; null if none.
 
-    Both tables have a row for each contig name, not for each base.
+    The rules give ranked candidates, which are looked up by equality; the best one known is taken. For the last rule
+    every known name is listed under each of its parts, as names are short. Both tables have a row for each contig name,
+    not for each base.
     """
-    names = F.transform(F.array_sort(F.col("__all")), lambda x: x)
-    every = contigs.agg(F.collect_set("contig").alias("__all"))
+    names = wanted.select("contig").filter("contig is not null").distinct()
+    known = contigs.select(F.col("contig").alias("genome_contig")).filter("genome_contig is not null").distinct()
     c = F.col("contig")
-    has = lambda x: F.array_contains(names, x)
-    bare = F.regexp_replace(c, r"\.1$", "")
-    partly = F.get(F.filter(names, lambda x: F.contains(x, bare)), F.lit(0))
-    found: Column = F.when(has(c), c).when((c == "MT") & has(F.lit("chrM")), "chrM").when(has(F.concat(F.lit("chr"), c)), F.concat(F.lit("chr"), c)).when(F.length(c) > 2, partly)
-    one = wanted.select("contig").distinct().withColumn("__k", F.lit(1)).join(F.broadcast(every.withColumn("__k", F.lit(1))), "__k")
-    return one.select("contig", found.alias("genome_contig"))
+    exact = F.array(F.struct(F.lit(0).alias("rule"), c.alias("key")), F.struct(F.lit(1).alias("rule"), F.when(c == "MT", F.lit("chrM")).alias("key")), F.struct(F.lit(2).alias("rule"), F.concat(F.lit("chr"), c).alias("key")))
+    asked = names.select("contig", F.explode(exact).alias("x")).select("contig", "x.rule", "x.key").filter("key is not null")
+    found = asked.join(known, asked["key"] == known["genome_contig"]).select("contig", "rule", "genome_contig")
+    bare = names.filter(F.length(c) > 2).select("contig", F.regexp_replace(c, r"\.1$", "").alias("part"))
+    n = F.length("genome_contig")
+    places = F.explode(F.sequence(F.lit(1), n)).alias("from")
+    parts = known.filter(n > 0).select("genome_contig", places).select("genome_contig", "from", F.explode(F.sequence(F.lit(1), n - F.col("from") + 1)).alias("size"))
+    parts = parts.select("genome_contig", F.expr("substring(genome_contig, from, size)").alias("part")).distinct()
+    partly = bare.join(parts, "part").select("contig", F.lit(3).alias("rule"), "genome_contig")
+    best = found.unionByName(partly).groupBy("contig").agg(F.min(F.struct("rule", "genome_contig"))["genome_contig"].alias("genome_contig"))
+    return names.join(best, "contig", "left")
 
 
 def read_chain(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks of a chain file: t_contig, t_start, t_end, q_contig, q_start, q_size, q_strand. Chains are separated by empty lines."""
-    chains = spark.read.text(path, lineSep="\n\n").withColumn("l", F.filter(F.split("value", "\n"), lambda x: (x != "") & ~x.startswith("#"))).filter(F.size("l") > 1)
+    """Blocks of a chain file: t_contig, t_start, t_end, q_contig, q_start, q_size, q_strand, score, chain.
+
+    score is the chain's, chain its place among the chains of the file, which breaks ties of the score. Chains are
+    separated by empty lines; a head without all its fields, and lines that are no numbers, fail.
+    """
+    texts = spark.read.text(path, lineSep="\n\n").select("value", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("k"))
+    chains = texts.withColumn("l", F.filter(F.split("value", "\n"), lambda x: (x != "") & ~x.startswith("#"))).filter(F.size("l") > 1)
+    chains = chains.withColumn("chain", F.struct("at", "k"))
     head = F.split(F.col("l")[0], r"\s+")
     zero = F.lit(0).cast("long")
     state = F.struct(zero.alias("t"), zero.alias("q"), F.array().cast("array<struct<t:bigint,q:bigint,n:bigint>>").alias("out"))
@@ -127,6 +140,6 @@ def read_chain(spark: SparkSession, path: str) -> DataFrame:
         block = F.struct(st["t"].alias("t"), st["q"].alias("q"), n.alias("n"))
         return F.struct((st["t"] + n + dt).alias("t"), (st["q"] + n + dq).alias("q"), F.concat(st["out"], F.array(block)).alias("out"))
 
-    rows = chains.select(head.alias("h"), F.explode(F.aggregate(F.slice("l", 2, 100_000_000), state, step, lambda st: st["out"])).alias("b"))
+    rows = chains.select(head.alias("h"), "chain", F.explode(F.aggregate(F.slice("l", 2, 100_000_000), state, step, lambda st: st["out"])).alias("b"))
     t, q = F.col("h")[5].cast("long") + F.col("b.t"), F.col("h")[10].cast("long") + F.col("b.q")
-    return rows.select(F.col("h")[2].alias("t_contig"), t.alias("t_start"), (t + F.col("b.n")).alias("t_end"), F.col("h")[7].alias("q_contig"), q.alias("q_start"), F.col("h")[8].cast("long").alias("q_size"), F.col("h")[9].alias("q_strand"))
+    return rows.select(F.col("h")[2].alias("t_contig"), t.alias("t_start"), (t + F.col("b.n")).alias("t_end"), F.col("h")[7].alias("q_contig"), q.alias("q_start"), F.col("h")[8].cast("long").alias("q_size"), F.col("h")[9].alias("q_strand"), F.col("h")[1].cast("double").alias("score"), "chain")
