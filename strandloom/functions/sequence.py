@@ -1,14 +1,18 @@
-"""Column functions over bases, base qualities and alignments. All are built-in expressions: null in, null out.
+"""Column functions over bases, base qualities and alignments. All but allele_scores are built-in expressions: null in, null out.
 
 A quality sequence is struct<seq: string, qual: array<int>> with as many qualities as bases.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MOUSE, Config
+from ..staging import importable
 
 # The codes of alignment operations.
 MATCH, INSERT, DELETE, SKIP, SOFT, HARD, PAD, EQUAL, DIFFER = range(9)
@@ -177,29 +181,49 @@ def longest_run(seq: Column, base: str) -> Column:
     return F.when(seq.isNull(), None).otherwise(F.struct(start.cast("int").alias("start"), size.alias("size")))
 
 
-def allele_scores(seq: Column, qual: Column, ref: Column, alt: Column, direction: str) -> Column:
-    """struct<q_ref, q_alt, q_art>: quality for and against two alleles over the compared ends; N is left out.
+_SCORES = "struct<q_ref:double,q_alt:double,q_art:double>"
+
+
+def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of texts as bytes, one after another, and the length of each; null is empty, letters outside ASCII are '?'."""
+    plain = pa.compute.replace_substring_regex(texts.fill_null(""), r"[^\x00-\x7F]", "?")
+    body = np.frombuffer("".join(plain.to_pylist()).encode(), np.uint8)
+    return body, pa.compute.binary_length(plain).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    Each base adds its quality to an allele that it equals and takes it from one that it does not; a quarter of it
-    counts for an artefact either way.
-    """
-    n = F.least(F.length(seq), F.length(ref), F.length(alt))
-    zero = F.struct(*(F.lit(0.0).alias(c) for c in ("q_ref", "q_alt", "q_art")))
 
-    def end(s):
-        return F.split(F.substring(s, F.lit(1) if direction == LEFT_TO_RIGHT else F.length(s) - n + 1, n), "")
+def _end_scores(from_left: bool):
+    def scores(seq: pa.Array, qual: pa.Array, ref: pa.Array, alt: pa.Array) -> pa.Array:
+        texts = [_letters(x) for x in (seq, ref, alt)]
+        n = np.minimum.reduce([size for _, size in texts])
+        ends = np.cumsum(n)
+        row = np.repeat(np.arange(len(n)), n)
+        within = np.arange(len(row)) - (ends - n)[row]
+        back = lambda size: 0 if from_left else (size - n)[row]
+        letters = [body[(np.cumsum(size) - size)[row] + back(size) + within] for body, size in texts]
+        sizes = qual.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = np.append(pa.compute.fill_null(qual.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.float64), 0.0)
+        at = back(texts[0][1]) + within
+        # A base without a quality has none.
+        weight = flat[np.where(at < sizes[row], (np.cumsum(sizes) - sizes)[row] + at, len(flat) - 1)]
+        weight[letters[0] == ord("N")] = 0.0
+        total = lambda w: np.bincount(row, w, len(n))
+        every = total(weight)
+        columns = [2 * total(weight * (letters[0] == x)) - every for x in letters[1:]] + [every / 4]
+        known = np.logical_and.reduce([x.is_valid().to_numpy(zero_copy_only=False) for x in (seq, qual, ref, alt)])
+        return pa.StructArray.from_arrays([pa.array(c) for c in columns], ["q_ref", "q_alt", "q_art"], mask=pa.array(~known))
 
-    weight = F.slice(qual, F.lit(1) if direction == LEFT_TO_RIGHT else F.length(seq) - n + 1, n)
-    # The ends are arrays of the fold, so that they are made once and not at each place.
-    places = F.arrays_zip(end(seq).alias("s"), end(ref).alias("r"), end(alt).alias("a"), weight.alias("q"))
+    return F.arrow_udf(scores, _SCORES)
 
-    def step(st, x):
-        q = x["q"].cast("double")
-        side = lambda allele: F.when(x["s"] == allele, q).otherwise(-q)
-        grown = F.struct((st["q_ref"] + side(x["r"])).alias("q_ref"), (st["q_alt"] + side(x["a"])).alias("q_alt"), (st["q_art"] + q / 4).alias("q_art"))
-        return F.when(x["s"] == "N", st).otherwise(grown)
 
-    return F.when(n.isNull(), None).when(n == 0, zero).otherwise(F.aggregate(places, zero, step))
+def allele_scores(seq: Column, qual: Column, ref: Column, alt: Column, direction: str) -> Column:
+    """struct<q_ref, q_alt, q_art>: quality for and against two alleles over the compared ends; N is left out.
+
+    Each base adds its quality to an allele that it equals and takes it from one that it does not; a quarter of it
+    counts for an artefact either way. Null if any of the four is. Whole batches are compared at once in Arrow; a fold
+    over places in built-in functions makes a struct for each base and takes several times longer.
+    """
+    importable(SparkSession.getActiveSession())
+    return _end_scores(direction == LEFT_TO_RIGHT)(seq, qual.cast("array<int>"), ref, alt)
 
 
 def query_offset(cigar: Column, start: Column, pos: Column) -> Column:

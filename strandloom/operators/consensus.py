@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.sequence import BASES
+from ..staging import importable
 
 
 #: Places whose weights a task holds before it passes them on.
@@ -111,6 +112,7 @@ def weighted_consensus(df: DataFrame, keys: list[str], seq: str, qual: str) -> D
     numbers of places at a time; these are summed by place, and what is collected for a key is as long as its
     sequences. The input is scanned once.
     """
+    importable(df.sparkSession)
     rows = df.select(*keys, F.col(seq).alias("__s"), F.col(qual).cast("array<int>").alias("__q"))
     fields = [*(rows.schema[k] for k in keys), T.StructField("__p", T.IntegerType()), *(T.StructField(b, T.LongType()) for b in (*BASES, "__n")), T.StructField("__s", T.StringType()), T.StructField("__q", T.ArrayType(T.IntegerType()))]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MOUSE, Config
-from ..staging import staged
+from ..staging import importable, staged
 from . import axis
 
 #: Stretches of breakpoints that are worked out together.
@@ -69,6 +69,7 @@ def pairs_with_rescue(left: DataFrame, right: DataFrame, polya: DataFrame, keys:
     pairs and what waits behind it; these are composed in order, and the pairs of the right case are kept. A run holds
     the breakpoints, not reads, of a number of stretches; a stretch without a gap is not divided.
     """
+    importable(left.sparkSession)
     tag = lambda df, t, side: df.select(*keys, F.lit(t).alias("__t"), F.col("bp").cast("long").alias("bp"), F.col("id").cast("long").alias("id"), side.alias("side"))
     none = F.lit(None).cast("string")
     rows = tag(left, 0, none).unionByName(tag(right, 1, none)).unionByName(tag(polya, 2, F.col("side"))).filter("bp is not null")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import MOUSE
 from ..functions import sequence as S
-from ..operators import consensus, genotypes, insertions, intervals, ordered, reports
+from ..operators import consensus, genotypes, insertions, intervals, ordered, reports, seeds
 from ..sources import genomes, records
 
 HEX = "0123456789abcdef"
@@ -314,6 +314,29 @@ def genome_kmers(spark, sf_dir):
     return places.select(*ids).join(found, ids)
 
 
+# A stretch of two neighbouring parts' bases, with one base changed in some, turned round in others; every fifth is of no part.
+_STRETCH = f"substr(concat(CASE WHEN o_orderkey % 5 = 0 THEN {{own}} ELSE {{one}} END, {{two}}), CAST(1 + o_orderkey % 30 AS INTEGER), 34)"
+_SPOILT = "CASE WHEN o_orderkey % 3 = 0 THEN concat(substr(s, 1, CAST(o_orderkey % 34 AS INTEGER)), 'A', substr(s, CAST(o_orderkey % 34 + 2 AS INTEGER))) ELSE s END"
+
+
+@query(f"""
+WITH t AS (SELECT string_agg({_sql_bases('p_partkey')}, '' ORDER BY p_partkey // 20) AS g, p_partkey % 20 AS contig FROM part WHERE p_partkey >= 20 GROUP BY 2),
+k AS (SELECT contig, unnest(range(1, length(g) - 32)) AS p, g FROM t),
+w AS (SELECT contig, p - 1 AS start, substr(g, p, 17) AS a, substr(g, p + 17, 17) AS b FROM k),
+s AS (SELECT o_orderkey, {_STRETCH.format(own=_sql_bases('o_orderkey'), one=_sql_bases('p_partkey'), two=_sql_bases('p_partkey + 20'))} AS s FROM orders JOIN part ON p_partkey = o_custkey WHERE p_partkey >= 20),
+q AS (SELECT o_orderkey, {_SPOILT} AS s FROM s),
+d AS (SELECT o_orderkey, TRUE AS is_forward, s FROM q UNION ALL SELECT o_orderkey, FALSE, reverse(translate(s, 'ACGT', 'TGCA')) FROM q),
+m AS (SELECT o_orderkey, is_forward, contig, start, s, concat(a, b) AS g FROM d JOIN w ON substr(s, 1, 17) = a UNION SELECT o_orderkey, is_forward, contig, start, s, concat(a, b) FROM d JOIN w ON substr(s, 18, 17) = b)
+SELECT o_orderkey AS query, contig, start + 32 AS start, start + 66 AS "end", is_forward, CAST(hamming(s, g) AS INTEGER) AS mismatches FROM m WHERE length(g) = length(s) AND hamming(s, g) <= 1""")
+def seed_search(spark, sf_dir):
+    part = _table(spark, sf_dir, "part").filter("p_partkey >= 20").select("p_partkey", bases("p_partkey").alias("b"), bases(F.col("p_partkey") + 20).alias("next"))
+    genome = part.select((F.col("p_partkey") % 20).alias("contig"), F.expr("p_partkey div 20 * 32").alias("chunk_start"), F.col("b").alias("seq"))
+    asked = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", bases("o_orderkey").alias("own")).join(part, F.col("p_partkey") == F.col("o_custkey"))
+    asked = asked.withColumn("s", F.expr(_STRETCH.format(own="own", one="b", two="next").replace("INTEGER", "INT")))
+    asked = asked.select(F.col("o_orderkey").alias("query"), F.expr(_SPOILT.replace("INTEGER", "INT")).alias("seq"))
+    return seeds.find_places(asked, genome, seeds.genome_minimisers(genome), 32)
+
+
 _SCORES = {"lr": "(l_orderkey * 7) % 200 - 60", "la": "(l_partkey * 3 + l_orderkey) % 200 - 110", "lx": "(l_linenumber * 5) % 40", "rr": "(l_orderkey * 11 + l_linenumber) % 220 - 60", "ra": "(l_suppkey * 13 + l_orderkey) % 180 - 110", "rx": "(l_orderkey + l_linenumber) % 40"}
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import MOUSE, Config
 from ..functions import sequence as S
-from ..operators import breakpoints, genotypes, insertions, intervals, ordered, reports
+from ..operators import breakpoints, genotypes, insertions, intervals, ordered, reports, seeds
 from ..sources import genomes
 from ..staging import staged
 
@@ -66,12 +66,13 @@ def combine(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None =
     return combine_with_reasons(found, genome, whole_hits, clip_hits, chain, chunk, config)[0]
 
 
-def combine_with_reasons(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None = None, clip_hits: DataFrame | None = None, chain: DataFrame | None = None, chunk: int = 10_000, config: Config = MOUSE) -> tuple[DataFrame, DataFrame]:
+def combine_with_reasons(found: DataFrame, genome: DataFrame, whole_hits: DataFrame | None = None, clip_hits: DataFrame | None = None, chain: DataFrame | None = None, chunk: int = 10_000, config: Config = MOUSE, index: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Targets for genotyping from the discoveries of many files: name, contig, l, r, l_alt, l_ref, r_alt, r_ref; and (name, reason) of what was dropped.
 
     found: discover's columns with file (or sample) and order. whole_hits, clip_hits: query (name:side), contig, start,
-    end, is_forward of an external aligner; without them the alignment filters are skipped. clip_hits are lifted over
-    by chain where given. The genome's contigs are found under the names of genomes.resolve_contigs. Reasons are the
+    end, is_forward of an external aligner; index: the genome's minimisers, by which both are looked for here (see
+    seeds.find_places). Without either the alignment filters are skipped. clip_hits are lifted over by chain where
+    given. The genome's contigs are found under the names of genomes.resolve_contigs. Reasons are the
     first that applies: hot_bin, mapped_whole, mapped_near and those of insertions.reference_problem; rows that were
     merged into others, too unlike to be merged, or in files with too many insertions have none. The rows with their
     reasons are staged, so that targets, reasons and their counts come from one pass.
@@ -81,6 +82,12 @@ def combine_with_reasons(found: DataFrame, genome: DataFrame, whole_hits: DataFr
     seqs = ["right_clipped", "left_clipped", "left_aligned", "right_aligned"]
     rows = staged(insertions.merge_insertions(full.withColumn("files", F.array("file")), ["contig", "left", "right"], seqs, "order", config, ("files",)), "merged")
     rows = rows.withColumn("name", S.insertion_name(F.col("contig"), F.col("left"), F.col("right")))
+    if index is not None:
+        side = lambda s, q: F.struct(F.concat("name", F.lit(f":{s}")).alias("query"), q["seq"].alias("seq"))
+        of = lambda *sides: seeds.find_places(rows.select(F.explode(F.array(*sides)).alias("q")).select("q.*"), genome, index, chunk)
+        lc, la, rc, ra = (F.col(c) for c in ("left_clipped", "left_aligned", "right_clipped", "right_aligned"))
+        whole_hits = of(side("L", S.consensus_text(lc, la, "L")), side("R", S.consensus_text(rc, ra, "R"))) if whole_hits is None else whole_hits
+        clip_hits = of(side("L", lc), side("R", rc)) if clip_hits is None else clip_hits
     cool = intervals.without_hot_bins(rows, "contig", "right", config.bin_width, config.bin_hot, config.bin_margin)
     rows = _marked(rows, cool.select("name"), "__cool")
     if whole_hits is not None:

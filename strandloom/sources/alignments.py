@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
+from ..staging import importable
 from .bgzf import POSITIONS, Index, Stream, first_record
 
 SCHEMA = (
@@ -234,6 +235,7 @@ def write_index(path: str) -> str:
 
 def index_files(spark: SparkSession, paths: list[str]) -> list[str]:
     """Write the indexes of files in shared storage, a task for each."""
+    importable(spark)
     rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)), "path")
     return [r.written for r in rows.mapInPandas(lambda frames: (f.assign(written=[write_index(p) for p in f["path"]])[["written"]] for f in frames), "written string").collect()]
 
@@ -294,6 +296,7 @@ class BamSource(DataSource):
 
 def read_bam(spark: SparkSession, path: str, **options) -> DataFrame:
     """BAM files, with conditions that reach the source: the setting for that is switched on in the session."""
+    importable(spark)
     spark.dataSource.register(BamSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("bam").options(pushdown="true", **options).load(path)

@@ -54,8 +54,8 @@ def read_discoveries(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def discovery_records(found: DataFrame) -> DataFrame:
-    """Discovered insertions -> value: the records of each, in the written orientation, as one text."""
+def discovery_records(found: DataFrame, *keep: str | Column) -> DataFrame:
+    """Discovered insertions -> what keep names, and value: the records of each, in the written orientation, as one text."""
     name = F.concat(F.col("contig"), F.lit(":"), F.coalesce(F.col("left").cast("string"), F.concat(F.lit("polyA_"), F.col("left_bp"))), F.lit("-"), F.coalesce(F.col("right").cast("string"), F.concat(F.lit("polyA_"), F.col("right_bp"))))
     rec = lambda s, field, q: F.when(q.isNotNull(), S.fastq(F.concat(name, F.lit(f":{s}:{field}")), q)).otherwise("")
     col = F.col
@@ -65,7 +65,7 @@ def discovery_records(found: DataFrame) -> DataFrame:
         F.when(left_polya, rec("LEFT", "CLIPPED_POLYA", S.q_revcomp(col("left_clipped")))).otherwise(F.concat(rec("LEFT", "CLIPPED", S.q_revcomp(col("left_clipped"))), rec("LEFT", "ALIGNED", col("left_aligned")), mates(col("left_mates"), "LEFT"))),
         F.when(right_polya, rec("RIGHT", "CLIPPED_POLYA", col("right_clipped"))).otherwise(F.concat(rec("RIGHT", "ALIGNED", S.q_revcomp(col("right_aligned"))), rec("RIGHT", "CLIPPED", col("right_clipped")), mates(col("right_mates"), "RIGHT"))),
     )
-    return found.select(F.rtrim(text, F.lit("\n")).alias("value"))
+    return found.select(*keep, F.rtrim(text, F.lit("\n")).alias("value"))
 
 
 def consensus_records(found: DataFrame, clipped_only: bool = False) -> DataFrame:
@@ -101,6 +101,15 @@ def read_calls(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return last.select("sample", "insertion", F.col("f")[1].alias("genotype"), F.col("f")[2].cast("long").alias("score_genotype"), F.col("f")[3].cast("long").alias("score_alternative"))
 
 
+#: First line of a call file.
+CALL_HEADER = "insertion\tgenotype\tscore_genotype\tscore_alternative"
+
+
+def call_lines(calls: DataFrame) -> DataFrame:
+    """Calls -> sample, insertion, value: the line of each in its sample's file."""
+    return calls.select("sample", "insertion", F.concat_ws("\t", "insertion", "genotype", "score_genotype", "score_alternative").alias("value"))
+
+
 def write_calls(calls: DataFrame, path: str, *order: str) -> None:
     calls.orderBy(*order).select("insertion", "genotype", "score_genotype", "score_alternative").write.csv(path, sep="\t", header=True, compression="gzip")
 
@@ -139,7 +148,7 @@ def read_models(spark: SparkSession, path: str, species: str) -> DataFrame:
 
 
 def write_models(models: DataFrame, path: str) -> None:
-    models.write.option("lineSep", "").text(path)
+    models.select(F.regexp_replace("value", r"\n$", "").alias("value")).write.text(path)
 
 
 def read_loci(spark: SparkSession, path: str) -> DataFrame:

@@ -1,11 +1,22 @@
-"""Intermediate tables of the batch steps, in the folder that all executors share."""
+"""What the batch steps need of a session: intermediate tables in the folder that all executors share, and this package in Python workers."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_ROOT = str(Path(__file__).resolve().parents[1])
+
+
+def importable(spark: SparkSession | None) -> None:
+    """Let Python workers import this package even where the driver alone has it on its path."""
+    if spark is not None:
+        env = spark.sparkContext.environment
+        if _ROOT not in env.get("PYTHONPATH", "").split(":"):
+            env["PYTHONPATH"] = ":".join(x for x in (env.get("PYTHONPATH", ""), _ROOT) if x)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
