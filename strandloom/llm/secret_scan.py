@@ -3,9 +3,9 @@
 Spans are code-point offsets, end exclusive. A pattern's spans come from its matches and the gaps between them, whose
 lengths are added up in running sums of two levels (within blocks, then over the blocks' totals), so many matches in
 one text cost little more than proportionally. The entropy part takes runs of key-like characters, moves a window over
-each, updates the counts of the character that enters and the one that leaves, and keeps the stretch whose windows
-reach the threshold of the run's character class; a run costs a fold in proportion to its length. Runs on the allow
-list are suppressed; spans of the fixed patterns always stay.
+each, updates the counts of the character that enters and the one that leaves, and keeps the maximal stretches that are
+covered by windows which reach the threshold of the run's character class; a run costs a fold in proportion to its
+length. Windows that overlap a string of the allow list are suppressed; spans of the fixed patterns always stay.
 """
 
 from __future__ import annotations
@@ -24,17 +24,19 @@ MAYBE = {"assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 #: The runs that hex keeps, without the short ones that would be dropped: the runs are maximal either way.
 LONG_HEX = r"[0-9a-f]{16,}"
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[+/_=-]*+[A-Za-z0-9])[A-Za-z0-9+/_=-]{20,}+"
-#: Runs under a window's length that can reach the bits of their class: log2(8) is 3.0, log2(14) is 3.81.
-SHORT = r"(?<![A-Za-z0-9+/_=-])(?:(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{8,19}+|[A-Za-z+/_=-]{14,19}+)(?![A-Za-z0-9+/_=-])"
+_KEY = r"[A-Za-z0-9+/_=-]"
+#: Runs of key-like characters: of a window's length at least, or shorter ones that can reach the bits of their class: log2(8) is 3.0, log2(14) is 3.81.
+CANDIDATE = rf"(?<!{_KEY})(?:(?=[+/_=-]*+[A-Za-z0-9]){_KEY}{{20,}}+|(?:(?=[A-Za-z+/_=-]*+[0-9]){_KEY}{{8,19}}+|[A-Za-z+/_=-]{{14,19}}+)(?!{_KEY}))"
 WINDOW = 20
 #: (class, what a run of that class matches, least bits a character in a window); the first that fits counts.
 CLASSES = (("digits", r"^[0-9_=+/-]+$", 3.0), ("hex", r"^[0-9a-fA-F-]+$", 3.0), ("letters", r"^[A-Za-z_=+/-]+$", 3.8), ("base64", r"^.*$", 3.7))
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUIDs name things
-    r"(?i)example|sample|placeholder|dummy|x{6}|your[_-]",
+    r"(?i:example|sample|placeholder|dummy|x{6}|your[_-])",
     r"0123456789|abcdefghij|ABCDEFGHIJ",
 )
+#: Stands for characters that the allow list names; no run has it.
+BARRED = "\x01"
 _EMPTY = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -88,10 +90,14 @@ def _clog(c: Column) -> Column:
     return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
 
-def _hot_stretch(run: Column, least: Column, window: Column) -> Column:
-    """(first, last): ends of the stretch of run, from 0, last exclusive, that windows of at least least bits cover; first is -1 if none."""
+def _hot_stretches(run: Column, least: Column, window: Column) -> Column:
+    """array<struct<first, last>>: the maximal stretches of run, from 0, last exclusive, that windows of at least least bits cover. No window with a BARRED character counts."""
     # H = log2(w) - sum(c log2 c) / w; the sum changes in two terms at each step. counts has the characters in the window alone.
-    state = F.struct(F.array().cast("array<struct<code:int,n:int>>").alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+    stretches = F.array().cast("array<struct<first:int,last:int>>")
+    state = F.struct(F.array().cast("array<struct<code:int,n:int>>").alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("barred"), F.lit(-1).alias("first"), F.lit(-1).alias("last"), stretches.alias("done"))
+
+    def with_last(st):
+        return F.when(st["first"] >= 0, F.concat(st["done"], F.array(F.struct(st["first"].alias("first"), st["last"].alias("last"))))).otherwise(st["done"])
 
     def steps(codes: Column) -> Column:
         """(place from 1, the code that enters, the code that leaves or -1)."""
@@ -110,17 +116,22 @@ def _hot_stretch(run: Column, least: Column, window: Column) -> Column:
                 same = x["new"] == x["old"]
                 total = F.when(same, st["sum"]).otherwise(st["sum"] - _clog(n["new"]) + _clog(n["new"] + 1) + F.when(x["old"] >= 0, _clog(n["old"] - 1) - _clog(n["old"])).otherwise(F.lit(0.0)))
                 counts = F.when(same, st["counts"]).when(n["new"] > 0, moved).otherwise(F.concat(moved, entered))
-                hot = (x["i"] >= window) & (bound >= total)
+                barred = F.when(x["new"] == F.ascii(F.lit(BARRED)), x["i"]).otherwise(st["barred"])
+                from_ = x["i"] - window
+                hot = (from_ >= 0) & (barred <= from_) & (bound >= total)
+                apart = hot & ((st["first"] < 0) | (from_ > st["last"]))
                 return F.struct(
                     counts.alias("counts"),
                     total.alias("sum"),
-                    F.when(hot & (st["first"] < 0), x["i"] - window).otherwise(st["first"]).alias("first"),
+                    barred.alias("barred"),
+                    F.when(apart, from_).otherwise(st["first"]).alias("first"),
                     F.when(hot, x["i"]).otherwise(st["last"]).alias("last"),
+                    F.when(apart, with_last(st)).otherwise(st["done"]).alias("done"),
                 )
 
             return _let(F.struct(n_of(x["new"]).alias("new"), n_of(x["old"]).alias("old")), moved_on)
 
-        return _let(codes, lambda codes: F.aggregate(steps(codes), state, step, lambda st: F.struct(st["first"].alias("first"), st["last"].alias("last"))))
+        return _let(codes, lambda codes: F.aggregate(steps(codes), state, step, with_last))
 
     # The most that the sum may be in a window of enough bits.
     bound = lambda w: w.cast("double") * (F.log2(w.cast("double")) - least) + 1e-9
@@ -128,7 +139,10 @@ def _hot_stretch(run: Column, least: Column, window: Column) -> Column:
 
 
 def entropy_spans(text: Column, window: int = WINDOW, classes=CLASSES, allowed=ALLOWED, candidate: str = CANDIDATE, number: int = len(BASE)) -> Column:
-    """Spans (of kind number) of candidate runs whose windows reach their class's entropy, without runs on the allow list. A run shorter than a window is one window."""
+    """Spans of the stretches of candidate runs whose windows reach their class's entropy; windows that overlap a string of the allow list do not count.
+
+    Spans of kind number; a run shorter than a window is one window, and its span of kind number + 1.
+    """
     allow = "|".join(f"(?:{p})" for p in allowed)
     least = F.lit(99.0)
 
@@ -138,14 +152,17 @@ def entropy_spans(text: Column, window: int = WINDOW, classes=CLASSES, allowed=A
             out = F.when(run.rlike(fits), F.lit(bound)).otherwise(out)
         return out
 
+    def barred(run):
+        """The run with BARRED for each character of a string of the allow list."""
+        parts = F.zip_with(F.split(run, allow, -1), F.regexp_extract_all(run, F.lit(allow), F.lit(0)), lambda gap, m: F.concat(gap, F.coalesce(F.repeat(F.lit(BARRED), F.length(m)), F.lit(""))))
+        return F.when(run.rlike(allow), F.array_join(parts, "")).otherwise(run)
+
     # No window has more bits than the run's different characters allow.
     can = lambda m: F.log2(F.size(F.array_distinct(F.split(m, ""))).cast("double")) >= bits(m) - 1e-9
-    runs = _located(text, candidate, lambda m: can(m) & ~m.rlike(allow))
-    marked = F.transform(runs, lambda x: F.struct(x["start"].alias("start"), _hot_stretch(x["match"], bits(x["match"]), F.least(F.lit(window), F.length(x["match"]))).alias("hot")))
-    spans = F.transform(
-        F.filter(marked, lambda x: x["hot"]["first"] >= 0),
-        lambda x: F.struct((x["start"] + x["hot"]["first"]).alias("start"), F.lit(number).alias("kind"), (x["start"] + x["hot"]["last"]).alias("end")),
-    )
+    runs = _located(text, candidate, can)
+    size = lambda x: F.length(x["match"])
+    marked = F.transform(runs, lambda x: F.struct(x["start"].alias("start"), F.when(size(x) < window, number + 1).otherwise(number).alias("kind"), _hot_stretches(barred(x["match"]), bits(x["match"]), F.least(F.lit(window), size(x))).alias("hot")))
+    spans = F.flatten(F.transform(marked, lambda x: F.transform(x["hot"], lambda h: F.struct((x["start"] + h["first"]).alias("start"), x["kind"].alias("kind"), (x["start"] + h["last"]).alias("end")))))
     return F.when(text.rlike(candidate), spans).otherwise(F.array().cast(_EMPTY))
 
 
@@ -156,7 +173,7 @@ def find_secrets(df: DataFrame, text_col: str = "text", into: str = "secret_span
     rows. Spans of different kinds may overlap. Other columns stay; one that is named as into is replaced.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    parts = F.array(*(base_spans(text, k) for k in BASE), entropy_spans(text), entropy_spans(text, candidate=SHORT, number=len(BASE) + 1))
+    parts = F.array(*(base_spans(text, k) for k in BASE), entropy_spans(text))
     return df.withColumn(into, F.array_sort(F.flatten(parts)))
 
 
@@ -186,7 +203,7 @@ def _joined(spans: Column) -> Column:
 
 
 def op4(spark, sf_dir) -> DataFrame:
-    """Secrets of every document as counts, a digest of the fixed patterns' spans, all spans but those of short runs, and these."""
+    """Secrets of every document as counts, a digest of the fixed patterns' spans, and all spans."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = find_secrets(docs)
     count = lambda k: F.size(F.filter("secret_spans", lambda x: x["kind"] == k)).cast("long")
@@ -196,6 +213,5 @@ def op4(spark, sf_dir) -> DataFrame:
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
         F.sha2(_joined(F.filter("secret_spans", lambda x: x["kind"] < len(BASE))), 256).alias("base_sha256"),
-        _joined(F.filter("secret_spans", lambda x: x["kind"] <= len(BASE))).alias("spans"),
-        _joined(F.filter("secret_spans", lambda x: x["kind"] > len(BASE))).alias("short_spans"),
+        _joined(F.col("secret_spans")).alias("spans"),
     )
