@@ -86,6 +86,22 @@ def stretches(body: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[first], first, n, piece[at[begin]], content
 
 
+#: Bytes of a longer text that are looked at together; neighbouring parts overlap by all but one byte of a string.
+PART = 2 << 20
+
+
+def _by_parts(body: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+    """stretches() of rows of any length: a stretch that a part ends in is two, which are compared like others that differ."""
+    out = []
+    step = PART - LENGTH + 1
+    for row in range(len(off) - 1) if len(body) > PART else ():
+        for at in range(off[row], max(off[row] + 1, off[row + 1] - LENGTH + 1), step):
+            part = body[at : min(off[row + 1], at + PART)]
+            _, first, n, piece, content = stretches(part, np.array([0, len(part)]))
+            out.append((np.full(len(first), row), first + at, n, piece, content))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else stretches(body, off)
+
+
 _FOUND = ["piece", "content", "doc", "twin", "at", "n", "again"]
 
 
@@ -93,7 +109,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches of all texts. again: the same stretch starts earlier in this batch, so nothing else need see it."""
     for batch in pieces(batches, limit=2 << 20):
         body, off = raw_bytes(batch.column("text"))
-        row, first, n, piece, content = stretches(body, off)
+        row, first, n, piece, content = _by_parts(body, off)
         doc, twin = (batch.column(c).to_numpy()[row] for c in ("doc", "twin"))
         at = first - off[row]
         order = np.lexsort((at, twin, doc, content, piece))

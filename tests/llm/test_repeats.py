@@ -97,3 +97,25 @@ def test_suffix_order():
         for depth in (5, 20):
             got = [b[i : i + depth] for i in suffix_order(t, depth)]
             assert got == sorted(got)
+
+
+def test_long_texts_are_looked_at_in_parts(monkeypatch):
+    monkeypatch.setattr(repeats, "PART", 450)
+    r = np.random.default_rng(4)
+    body = r.integers(97, 100, 5000).astype(np.uint8)
+    off = np.array([0, 1700, 1750, 1849, 1949, 1949, 5000])
+    row, first, n, piece, _ = repeats._by_parts(body, off)
+    starts = sorted((a, f + k) for a, f, m in zip(row.tolist(), first.tolist(), n.tolist(), strict=True) for k in range(m))
+    assert starts == [(a, p) for a in range(6) for p in range(off[a], off[a + 1] - 99)]
+    whole = repeats.stretches(body, off)
+    of = lambda rows: {f + k: p for f, m, p in zip(*rows, strict=True) for k in range(m)}
+    assert of((first.tolist(), n.tolist(), piece.tolist())) == of((whole[1].tolist(), whole[2].tolist(), whole[3].tolist()))
+
+
+def test_a_passage_over_the_end_of_a_part(spark, tmp_path):
+    r = random.Random(12)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(repeats.PART + 300_000))
+    passage = text[1000:1700]
+    long = text[: repeats.PART - 350] + passage + text[repeats.PART - 350 :]
+    rows = repeats.op2(spark, tables(spark, tmp_path, [(1, long), (2, "other words " + passage[100:400])])).collect()
+    assert sorted((x.doc_id, x.n_removed, x.n_spans, x.kept_sha256) for x in rows) == [(1, 700, 1, hashlib.sha256(text.encode()).hexdigest()), (2, 300, 1, hashlib.sha256(b"other words ").hexdigest())]
