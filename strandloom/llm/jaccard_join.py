@@ -256,6 +256,9 @@ def link_components(docs: DataFrame) -> DataFrame:
     group = stored(components(links), "groups")
     rows = stored(_apart(kept.select("sig", "node"), group), "apart")
     discard(kept, group)
+    # Most sets are settled; the rest are all that later rounds move.
+    sets, before = stored(sets.join(rows.select("node").distinct(), "node", "left_semi"), "sets-apart"), sets
+    discard(before)
     # Those still apart meet pivots that hashes pick.
     for salt in range(MORE_PIVOTS):
         links = links.union(stored(_verified(_with_pivots(rows, salt), sets), "links-more"))
