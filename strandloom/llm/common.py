@@ -50,9 +50,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """stored(), in buckets of key: later joins on key do not move the table again."""
+    spark, n = df.sparkSession, shuffle_partitions(df.sparkSession)
+    own = f"{name}-{uuid.uuid4().hex[:12]}"
+    path, view = f"{shared_dir(spark)}/{own}", own.replace("-", "_")
+    df.repartition(n, key).write.bucketBy(n, key).option("path", path).format("parquet").saveAsTable(view)
+    out = spark.table(view)
+    out._strandloom_path, out._strandloom_table = path, view
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete tables made by stored() that no later plan reads."""
+    """Delete tables made by stored() or stored_by() that no later plan reads."""
     for df in tables:
+        if view := getattr(df, "_strandloom_table", None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {view}")
         if path := getattr(df, "_strandloom_path", None):
             sc = df.sparkSession.sparkContext
             at = sc._jvm.org.apache.hadoop.fs.Path(path)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, pieces, prepare, stored
+from .common import discard, pieces, prepare, stored, stored_by
 from .components import components
 from .shingles import long_lists, mix64, shingle_sets
 
@@ -35,10 +35,16 @@ SIMILAR = 80
 SECOND = ((0, 1), (0, 2), (1, 2))
 #: Pivots that a set is verified against after the first one, while a signature of it has sets of other components.
 MORE_PIVOTS = 2
+#: Bytes of texts that a task makes sets of at a time; its arrays take about fifty times as much.
+TEXT = 1 << 18
 #: Words of 64 parity bits.
 PARITY = 16
 #: Signatures before one, in order, that are looked at for an earlier meeting of the same pair.
 BEFORE = 8
+#: Sets that share a signature from which on it is crowded: its sets are asked first how much they have in common at most.
+CROWDED = 16
+#: Bits for each document, and in all, of the map that tells most documents without a similar one before texts move.
+BITS, MOST_BITS = 8, 1 << 26
 
 
 def _low_sizes(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +60,7 @@ def _hashed(x: np.ndarray, off: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=TEXT):
         x, off = shingle_sets(batch.column("text"))
         n = np.diff(off)
         low, need = _low_sizes(n)
@@ -63,7 +69,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _low_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=TEXT):
         x, off = shingle_sets(batch.column("text"))
         low, _ = _low_sizes(np.diff(off))
         ends = np.cumsum(low)
@@ -80,11 +86,11 @@ def _parity(x: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=TEXT):
         x, off = shingle_sets(batch.column("text"))
         parity = _parity(x, off)
         bits = long_lists(parity.reshape(-1), np.arange(len(parity) + 1) * PARITY)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("w"), pa.array(np.diff(off)), bits, long_lists(x, off)], ["node", "w", "n", "parity", "elements"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off)), bits, long_lists(x, off)], ["node", "n", "parity", "elements"])
 
 
 def band_of(n: int) -> tuple[int, int, int]:
@@ -172,6 +178,23 @@ def _hopeful(docs: DataFrame, profile: DataFrame) -> DataFrame:
     return kept.groupBy("node").agg(F.max(shared).cast("int").alias("w"))
 
 
+def _possible(docs: DataFrame, hopeful: DataFrame, rows: int) -> DataFrame:
+    """Of docs (rows of them) those in hopeful, and few others: their ids are marked in a map of bits, by a hash.
+
+    The map is a table of up to MOST_BITS bits (8 MB), whatever docs has; when it is crowded, more of the others pass.
+    """
+    bits = min(max(1 << 15, rows * BITS), MOST_BITS)
+
+    def bit(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(bits)) + 1
+
+    marks = hopeful.groupBy(F.bitmap_bucket_number(bit("node")).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit("node"))).alias("__bits"))
+    place = F.bitmap_bit_position(bit("doc_id")).cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    marked = docs.join(F.broadcast(marks), F.bitmap_bucket_number(bit("doc_id")) == F.col("__bucket"))
+    return marked.filter(F.getbit(byte, place.bitwiseAND(7)) == 1).select(*docs.columns)
+
+
 def _most_shared(pairs: DataFrame) -> DataFrame:
     """(sig, pivot, node) -> (a, b): each node b with its pivot a of most signatures."""
     counted = pairs.groupBy("pivot", "node").agg(F.count("*").alias("c"))
@@ -192,37 +215,43 @@ def _apart(kept: DataFrame, group: DataFrame) -> DataFrame:
 
 
 def _one_of_alike(rows: DataFrame) -> DataFrame:
-    """(sig, node, g) of one signature for each set of nodes: signatures that the same nodes have give the same pairs.
+    """(sig, node, g, often) of one signature for each set of nodes: signatures that the same nodes have give the same pairs.
 
     Two long texts share thousands of signatures. Sets of nodes are told apart by their number and two hashes.
     """
     hashes = [F.bit_xor(F.xxhash64("node", F.lit(s))).alias(f"h{s}") for s in (0, 1)]
     nodes = rows.groupBy("sig").agg(F.count("*").alias("often"), *hashes)
-    return rows.join(nodes.groupBy("often", "h0", "h1").agg(F.min("sig").alias("sig")).select("sig"), "sig")
+    return rows.join(nodes.groupBy("often", "h0", "h1").agg(F.min("sig").alias("sig")).select("sig", "often"), "sig")
 
 
 def _left_over(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, g, n, common) of the sets in rows that may have a link to one of another component.
+    """(node, n, common) of the sets in rows that may have a link to one in rows of another component.
 
     Elements that no set of another component has cannot be shared: common, the number of the others, bounds what a
     pair has in common, so sets that all differ a little too much from one text are not compared with each other.
     """
     elements = sets.join(rows.select("node", "g").distinct(), "node").select("node", "g", "n", F.explode("elements").alias("x"))
     both = elements.groupBy("x").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("x")
-    common = elements.join(both, "x").groupBy("node", "g", "n").agg(F.count("*").alias("common"))
+    common = elements.join(both, "x").groupBy("node", "n").agg(F.count("*").alias("common"))
     return common.filter(100 * F.col("common") >= SIMILAR * F.col("n"))
 
 
-def _pairs_apart(rows: DataFrame, common: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a signature and whose parities allow a link.
+def _pairs_apart(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a signature of rows (sig, node, g, often) and whose parities allow a link.
 
-    A pair meets at its least shared signature, before which nothing is shared, so none is lost; at most later ones it
-    is passed over, as long texts would meet thousands of times.
+    At a crowded signature sets meet only if what they have in common with sets at crowded ones allows a link; two that
+    have a link and meet there both count what they share. A pair meets at its least shared signature, before which
+    nothing is shared, so none is lost; at most later ones it is passed over, as long texts would meet thousands of times.
     """
     bits = [f"p{i}" for i in range(PARITY)]
-    about = common.join(sets.select("node", *(F.col("parity")[i].alias(c) for i, c in enumerate(bits))), "node")
-    last = Window.partitionBy("node").orderBy("sig").rowsBetween(-BEFORE, -1)
-    rows = rows.select("sig", "node").join(about, "node").withColumn("before", F.collect_list("sig").over(last))
+    crowded = F.col("often") > CROWDED
+    common = _left_over(rows.filter(crowded), sets)
+    about = sets.select("node", "n", *(F.col("parity")[i].alias(c) for i, c in enumerate(bits))).join(common, ["node", "n"], "left")
+    rows = rows.join(about, "node").filter(~crowded | F.col("common").isNotNull())
+    rows = rows.select("sig", "node", "g", "n", F.when(crowded, F.col("common")).otherwise(F.col("n")).alias("common"), *bits)
+    # Unlike texts under one id are different sets of a node, each with its own order.
+    last = Window.partitionBy("node", "n", *bits).orderBy("sig").rowsBetween(-BEFORE, -1)
+    rows = rows.withColumn("before", F.collect_list("sig").over(last))
     other = rows.select("sig", *(F.col(c).alias(f"{c}_b") for c in ("node", "g", "n", "common", "before", *bits)))
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in bits), F.lit(0))
     total = F.col("n") + F.col("n_b")
@@ -243,9 +272,10 @@ def link_components(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profile = stored(docs.mapInArrow(_profiles, "doc_id long, n long, low long, need long, h1 long, h2 long"), "profiles")
     hopeful = stored(_hopeful(docs, profile), "hopeful")
-    sets = docs.join(hopeful, docs["doc_id"] == hopeful["node"]).select("doc_id", "w", "text")
-    sets = stored(sets.mapInArrow(_whole_sets, "node long, w int, n long, parity array<long>, elements array<long>").filter("n > 0"), "sets")
-    written = stored(sets.mapInArrow(_signed, "node long, w int, sigs array<long>"), "signatures")
+    texts = _possible(docs, hopeful, profile.count())
+    sets = stored_by(texts.mapInArrow(_whole_sets, "node long, n long, parity array<long>, elements array<long>").filter("n > 0"), "sets", "node")
+    signing = sets.join(hopeful, "node").select("node", "w", "n", "elements")
+    written = stored(signing.mapInArrow(_signed, "node long, w int, sigs array<long>"), "signatures")
     signed = written.select("node", "w", F.explode("sigs").alias("sig"))
     # A set has a signature once. The most ordinary set comes first, equal ones in the order of a hash.
     place = F.least("w", F.lit(1 << 22)) * F.lit(1 << 40) + F.shiftrightunsigned(F.xxhash64("node"), 24)
@@ -257,7 +287,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     rows = stored(_apart(kept.select("sig", "node"), group), "apart")
     discard(kept, group)
     # Most sets are settled; the rest are all that later rounds move.
-    sets, before = stored(sets.join(rows.select("node").distinct(), "node", "left_semi"), "sets-apart"), sets
+    sets, before = stored_by(sets.join(rows.select("node").distinct(), "node", "left_semi"), "sets-apart", "node"), sets
     discard(before)
     # Those still apart meet pivots that hashes pick.
     for salt in range(MORE_PIVOTS):
@@ -267,8 +297,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         discard(before, group)
     rows, before = stored(_one_of_alike(rows), "alike"), rows
     discard(before)
-    common = _left_over(rows, sets)
-    second = stored(_verified(_pairs_apart(rows, common, sets), sets), "links-second")
+    second = stored(_verified(_pairs_apart(rows, sets), sets), "links-second")
     links = components(links.union(second))
     nodes = profile.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
     by_set = nodes.join(links, "node", "left").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.coalesce("component", "node").alias("component"))

@@ -87,3 +87,46 @@ def test_repeated_rows_null_ids_and_nothing(spark, tmp_path):
     rows = J.op7(spark, tables(spark, tmp_path, [(5, text), (5, text), (3, text), (None, "a b"), (9, None)])).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=repr) == sorted([(5, 2, 3), (5, 2, 3), (3, 2, 3), (None, 1, None), (9, 0, 9)], key=repr)
     assert J.op7(spark, tables(spark, tmp_path, [])).count() == 0
+
+
+def test_texts_without_a_similar_one_do_not_move(spark, tmp_path):
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=40)) for _ in range(300)) for _ in range(240)]
+    folder = tables(spark, tmp_path, [*texts, texts[7] + " end"])
+    sc = spark.sparkContext
+
+    def stages():
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return {found.apply(i).stageId(): found.apply(i).shuffleWriteBytes() for i in range(found.size())}
+
+    before, broadcast = max(stages(), default=-1), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = J.op7(spark, folder).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert {x.doc_id: x.component_id for x in rows} == {i: 7 if i == 240 else i for i in range(241)}
+    assert 0 < sum(v for k, v in stages().items() if k > before) < sum(map(len, texts)) / 2
+
+
+def test_map_of_bits_loses_no_document(spark, monkeypatch):
+    docs = spark.range(4000).selectExpr("if(id = 5, null, id * 1000003 - 7000000) AS doc_id", "'x' AS text")
+    hopeful = docs.filter("doc_id % 3 = 0").selectExpr("doc_id AS node", "1 AS w")
+    want = {x.node for x in hopeful.collect()}
+    got = [x.doc_id for x in J._possible(docs, hopeful, 4000).collect()]
+    assert want <= set(got) and len(got) == len(set(got)) < 1800
+    monkeypatch.setattr(J, "BITS", 0)
+    monkeypatch.setattr(J, "MOST_BITS", 64)
+    assert want <= {x.doc_id for x in J._possible(docs, hopeful, 4000).collect()}
+
+
+@pytest.mark.parametrize("often", [2, J.CROWDED + 1])
+def test_sets_of_one_id_meet_apart(spark, often):
+    r = np.random.default_rng(8)
+    x = [np.sort(r.integers(0, 1 << 62, 60, dtype=np.uint64)) for _ in range(4)]
+    x[3] = np.sort(np.concatenate([x[1][3:], x[3][:3]]))
+    sets = spark.createDataFrame([(i // 2, 60, J._parity(s, np.array([0, 60]))[0].tolist(), s.view(np.int64).tolist()) for i, s in enumerate(x)], "node long, n long, parity array<long>, elements array<long>")
+    rows = spark.createDataFrame([(sig, node, node, often) for sig in (7, 9) for node in (0, 1)], "sig long, node long, g long, often long")
+    pairs = J._pairs_apart(rows, sets)
+    assert [tuple(p) for p in J._verified(pairs, sets).distinct().collect()] == [(0, 1)]
