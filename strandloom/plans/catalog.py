@@ -329,12 +329,14 @@ d AS (SELECT o_orderkey, TRUE AS is_forward, s FROM q UNION ALL SELECT o_orderke
 m AS (SELECT o_orderkey, is_forward, contig, start, s, concat(a, b) AS g FROM d JOIN w ON substr(s, 1, 17) = a UNION SELECT o_orderkey, is_forward, contig, start, s, concat(a, b) FROM d JOIN w ON substr(s, 18, 17) = b)
 SELECT o_orderkey AS query, contig, start + 32 AS start, start + 66 AS "end", is_forward, CAST(hamming(s, g) AS INTEGER) AS mismatches FROM m WHERE length(g) = length(s) AND hamming(s, g) <= 1""")
 def seed_search(spark, sf_dir):
-    part = _table(spark, sf_dir, "part").filter("p_partkey >= 20").select("p_partkey", bases("p_partkey").alias("b"), bases(F.col("p_partkey") + 20).alias("next"))
-    genome = part.select((F.col("p_partkey") % 20).alias("contig"), F.expr("p_partkey div 20 * 32").alias("chunk_start"), F.col("b").alias("seq"))
-    asked = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", bases("o_orderkey").alias("own")).join(part, F.col("p_partkey") == F.col("o_custkey"))
+    part = _table(spark, sf_dir, "part").filter("p_partkey >= 20").select("p_partkey")
+    genome = part.select((F.col("p_partkey") % 20).alias("contig"), F.expr("p_partkey div 20 * 32").alias("chunk_start"), bases("p_partkey").alias("seq"))
+    # Bases are spelt behind the join, so that it moves numbers only.
+    asked = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(part, F.col("p_partkey") == F.col("o_custkey"))
+    asked = asked.withColumns({"own": bases("o_orderkey"), "b": bases("p_partkey"), "next": bases(F.col("p_partkey") + 20)})
     asked = asked.withColumn("s", F.expr(_STRETCH.format(own="own", one="b", two="next").replace("INTEGER", "INT")))
     asked = asked.select(F.col("o_orderkey").alias("query"), F.expr(_SPOILT.replace("INTEGER", "INT")).alias("seq"))
-    return seeds.find_places(asked, genome, seeds.genome_minimisers(genome), 32)
+    return seeds.find_places(asked, genome, seeds.genome_minimisers(genome), 32, longest=34)
 
 
 _SCORES = {"lr": "(l_orderkey * 7) % 200 - 60", "la": "(l_partkey * 3 + l_orderkey) % 200 - 110", "lx": "(l_linenumber * 5) % 40", "rr": "(l_orderkey * 11 + l_linenumber) % 220 - 60", "ra": "(l_suppkey * 13 + l_orderkey) % 180 - 110", "rx": "(l_orderkey + l_linenumber) % 40"}

@@ -44,6 +44,38 @@ def test_places_against_all_offsets(spark):
         assert {tuple(x) for x in found} == want and len(found) == len(want) > 40
 
 
+def test_places_of_odd_sequences_and_of_common_seeds(spark):
+    """Other letters, chunks that do not begin at 0, palindromes, one k-mer over and over; no pair of a seed and a place is passed on that the bases beside them rule out."""
+    r = random.Random(3)
+    text = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    motif = text(13)
+    genome = {"odd": (0, text(90) + "RYN-" + text(60) + "R" + text(80)), "late": (500, text(400)), "crowd": (0, "".join(motif + text(21) for _ in range(200))), "twin": (0, text(50) + "ACGT" * 20 + "A" * 60 + text(30))}
+    cut = spark.createDataFrame([(c, o + s, g[s : s + 37]) for c, (o, g) in genome.items() for s in range(0, len(g), 37)], "contig string, chunk_start long, seq string")
+    queries = [(1, genome["odd"][1][120:160]), (2, genome["odd"][1][70:110]), (3, rc(genome["odd"][1][140:180])), (4, "ACGT" * 10), (5, "A" * 40), (6, genome["late"][1][:35]), (7, genome["late"][1][350:]), (8, genome["late"][1][201:600])]
+    queries += [(100 + i, genome["crowd"][1][34 * i : 34 * i + 34]) for i in range(200)]
+    queries += [(9, genome["odd"][1][140:180] + "é"), (10, None), (11, "")]
+    queries = queries + queries[:5]
+    want = set()
+    for i, q in queries:
+        for c, (o, g) in genome.items():
+            for at in range(len(g) - len(q or "") + 1 if len(q or "") >= 33 else 0):
+                for forward, s in ((True, q), (False, rc(q))):
+                    unlike = sum(x != y or y == "N" for x, y in zip(s, g[at : at + len(q)], strict=True))
+                    if unlike <= 1:
+                        want.add((i, c, o + at, o + at + len(q), forward, unlike))
+    index = seeds.genome_minimisers(cut)
+    asked = spark.createDataFrame(queries, "query int, seq string")
+    found = seeds.find_places(asked, cut, index, 37)
+    rows = [tuple(x) for x in found.collect()]
+    assert set(rows) == want and len(rows) == len(want) and {i for i, *_ in rows} >= {1, 3, 4, 5, 6, 7, 8, *range(100, 300)}
+    # What goes to the genome grows with the places found, not with sequences times places that share a k-mer.
+    crowd = asked.filter("query >= 100").select("query", F.col("seq").alias("s"))
+    met = seeds._met(seeds._seeds(crowd, 1, seeds.K, seeds.W, 34), index, seeds.K).count()
+    assert met < 200 * 200 / 20
+    with pytest.raises(Exception, match="longer than 34"):
+        seeds.find_places(asked, cut, index, 37, longest=34).collect()
+
+
 def test_sample_files(spark, tmp_path):
     r = random.Random(1)
     rows = [(f"s{i % 3}", i, r.choice([f"line {i}", None, "two\nlines"])) for i in range(300)]
