@@ -223,6 +223,33 @@ def test_consensus_over_several_tasks_and_odd_sequences(spark, monkeypatch):
     assert consensus.weighted_consensus(odd.filter("k > 5"), ["k"], "s", "q").count() == 0
 
 
+@pytest.mark.parametrize(("held", "batch", "most"), [(1 << 22, 10_000, 40), (30, 3, 40), (300, 1, 300), (200, 7, 1 << 40)])
+def test_consensus_is_dealt_once(spark, monkeypatch, held, batch, most):
+    """Keys of few and of many sequences, in any order, with odd letters and qualities: the same, and each key's parts are dealt out once and not by place."""
+    monkeypatch.setattr(consensus, "HELD", held)
+    r = random.Random(held)
+    groups = {(None if k == 3 else k, r.choice([None, "x"])): [] for k in range(40)}
+    for n, g in enumerate(groups.values()):
+        for _ in range(r.choice([1, 2, 3, 60])):
+            s = "".join(r.choice("ACGTN") if r.random() < 0.2 else "ACGT"[(i + n) % 4] for i in range(r.randrange(0, 12)))
+            g.append((s, [r.randrange(1, min(most, 1 << 24)) for _ in s]))
+    if most > 40:
+        groups[40, "x"] = [("ACé", [most >> 12, 1, 2])]
+        groups[41, "x"] = [("AC", [-5, 9])] * 4 + [("AA", [30, 9])]
+    rows = [(*k, s, q) for k, g in groups.items() for s, q in g]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, j string, s string, q array<int>").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        made = consensus.weighted_consensus(df, ["k", "j"], "s", "q")
+        out = made.collect()
+        plan = made._jdf.queryExecution().executedPlan().initialPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(out) == len(groups) and {(x.k, x.j): (x.s, list(x.q)) for x in out} == {k: brute_consensus(g) for k, g in groups.items()}
+    assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan
+
+
 @pytest.mark.parametrize(
     ("reads", "call"),
     [
