@@ -238,7 +238,8 @@ def _targets(spark, sf_dir):
 
 @query(f"SELECT t.contig, o_orderkey, target_start, l_orderkey, l_partkey, l_linenumber, read_start, read_end FROM ({_TARGETS}) t JOIN ({_READS}) r ON t.contig = r.contig AND target_start < read_end AND read_start < target_end")
 def interval_overlap(spark, sf_dir):
-    pairs = intervals.overlap_join(_targets(spark, sf_dir), _reads(spark, sf_dir), ["contig"], ("target_start", "target_end"), ("read_start", "read_end"), width=16)
+    # The fewer targets of a bin are held and the reads go past them.
+    pairs = intervals.overlap_join(_reads(spark, sf_dir), _targets(spark, sf_dir), ["contig"], ("read_start", "read_end"), ("target_start", "target_end"), width=16)
     return pairs.select("contig", "o_orderkey", "target_start", "l_orderkey", "l_partkey", "l_linenumber", "read_start", "read_end")
 
 

@@ -38,3 +38,14 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).columns == ["sample", "insertion", "genotype", "score_genotype"]
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_overlaps_hold_the_fewer_targets(spark):
+    """The right side of the join is held bin by bin, and rows of the left one follow one another in the result."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = catalog.QUERIES["interval_overlap"](spark, SF)._jdf.queryExecution().executedPlan().initialPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and plan.index("l_shipdate") < plan.index("o_orderdate")
